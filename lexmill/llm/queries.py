@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, substring_dedup
+from . import mixing, packing, quality_rules, substring_dedup
 from .common import read
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.metrics(read(spark, sf_dir, "documents"))
 
@@ -18,9 +22,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.intervals(read(spark, sf_dir, "documents"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.counts(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_quality_rules, op5_substring_dedup)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_quality_rules, op5_substring_dedup, op9_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.sql(), "op5_substring_dedup": substring_dedup.sql()}
+    return {"op4_quality_rules": quality_rules.sql(), "op5_substring_dedup": substring_dedup.sql(), "op9_source_mixing": mixing.sql()}
