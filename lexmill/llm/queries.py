@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_rules, substring_dedup
+from . import jaccard_join, mixing, packing, quality_rules, substring_dedup
 from .common import read
 
 
@@ -22,13 +22,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.intervals(read(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_pairs(read(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.counts(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_quality_rules, op5_substring_dedup, op9_source_mixing)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_quality_rules, op5_substring_dedup, op8_ngram_jaccard_join, op9_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.sql(), "op5_substring_dedup": substring_dedup.sql(), "op9_source_mixing": mixing.sql()}
+    return {"op4_quality_rules": quality_rules.sql(), "op5_substring_dedup": substring_dedup.sql(), "op8_ngram_jaccard_join": jaccard_join.sql(), "op9_source_mixing": mixing.sql()}
