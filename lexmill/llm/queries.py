@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, mixing, packing, quality_rules, substring_dedup
+from . import importance, jaccard_join, license_scan, mixing, packing, ppm, quality_rules, substring_dedup
 from .common import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"))
 
@@ -22,6 +26,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.intervals(read(spark, sf_dir, "documents"))
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_pairs(read(spark, sf_dir, "documents"))
 
@@ -30,8 +38,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.counts(read(spark, sf_dir, "documents"))
 
 
+def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_quality_rules, op5_substring_dedup, op8_ngram_jaccard_join, op9_source_mixing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_packing, op4_quality_rules, op5_substring_dedup, op6_importance_resampling, op8_ngram_jaccard_join, op9_source_mixing, op10_ppm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
