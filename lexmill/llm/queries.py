@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import importance, jaccard_join, license_scan, mixing, packing, ppm, quality_rules, substring_dedup, suffix_index
+from . import flat_graph, importance, jaccard_join, license_scan, mixing, packing, ppm, quality_rules, substring_dedup, suffix_index
 from .common import read
 
 
@@ -34,6 +34,10 @@ def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_flat_graph_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_pairs(read(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_packing, op3_suffix_array_dedup, op4_quality_rules, op5_substring_dedup, op6_importance_resampling, op8_ngram_jaccard_join, op9_source_mixing, op10_ppm_scoring)}
+    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_packing, op3_suffix_array_dedup, op4_quality_rules, op5_substring_dedup, op6_importance_resampling, op7_flat_graph_near_dedup, op8_ngram_jaccard_join, op9_source_mixing, op10_ppm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
