@@ -7,14 +7,16 @@ Tokens of all sets are put in one global order, rare ones first, by the counts o
 whole table. A set x of m tokens that is similar to y misses at most tau = m - ceil(threshold * m) of its tokens in
 y. Tokens that the sketch knows as frequent form groups; x indexes single rare tokens, and for frequent ones the
 2-combinations within a group, of a prefix so long that not sharing any index entry would mean missing more than
-tau: a rare token adds one to that bound, a group of k frequent tokens adds k - 1, so that prefixes extend past
-tau + 1 tokens as far as frequent tokens are in them. Groups scale with the set: spaces by powers of two of the
+tau: a rare token adds one to that bound, a group of j frequent tokens adds j - 1, so that prefixes extend past
+tau + 1 tokens as far as frequent tokens are in them. They extend further until the bound is tau + k, k growing with
+the set; then similar sets share k entries at least, and pairs that share fewer are no candidates. Groups scale with the set: spaces by powers of two of the
 size, and each set indexes its own space and the one below, so that any two similar sets have a space in common;
 in the lowest spaces, frequent tokens are indexed singly too. Whichever prefix ends first in the global order holds
 for both sets, so no similar pair is lost.
 
 Index entries are exchanged packed, 8 bytes and a 2-byte document number each, by hash bucket. Each bucket pairs
-the sets that share an entry, within the length bound. Pairs are then verified exactly: sets meet in blocks of
+the sets that share an entry, within the length bound; a second exchange adds up how many entries a pair shares
+(10 bytes a pair). Candidates are then verified exactly: sets meet in blocks of
 documents, and a document is sent only to the blocks in which it has a partner. Equal sets are one set throughout.
 
 Result: (doc_a, doc_b, jaccard), doc_a < doc_b. A set stands for its first document; a pair of different sets is
@@ -22,7 +24,8 @@ one row between first documents, and every other document of a set is one row wi
 similar pairs follow, and groups of thousands of copies give thousands of rows instead of millions.
 
 Defined results: texts without words, null texts included, have no set and no partner; texts shorter than n words
-have one n-gram, the whole; rows without doc_id are left out; rows with the same doc_id and set are one document;
+have one n-gram, the whole; rows without doc_id are left out; rows with the same doc_id and set are one document,
+those with the same doc_id and different sets may each have partners, but never one another;
 an empty table gives no rows; other columns are ignored by ``similar_pairs`` and kept by ``keep_one``.
 """
 
@@ -32,22 +35,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, text_bytes
-from .kernels import SLICE_BYTES, U, WORD, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
+from .kernels import U, WORD, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
 
 NGRAM = 4
 THRESHOLD = 0.5
 SKETCH = 1 << 20
 _SLICES = 16
 #: Bytes of text whose index entries share a bucket, and documents that share a block of the verification.
-BUCKET_BYTES = 32 << 20
-BLOCK_DOCS = 4096
+BUCKET_BYTES = 16 << 20
+BLOCK_DOCS = 2048
+#: Index entries that a map task packs together.
+CHUNK_ENTRIES = 300_000
 #: Sets of fewer than 2^_TINY tokens are in spaces without combinations; a group has about _GROUP tokens.
 _TINY = 3
-_GROUP = 8
+_GROUP = 4
+#: A set of m tokens shares at least 1 + m // _EXTEND entries with similar ones, at most 255.
+_EXTEND = 32
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,11 +96,18 @@ def _needed(size: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(threshold * size - 1e-9).astype(np.int64)
 
 
+def shared_entries(size: np.ndarray, threshold: float) -> np.ndarray:
+    """k: how many index entries a set of this size shares with any similar one at least. With all tokens in the
+    prefix the bound is size - groups, so k cannot be more than that less tau."""
+    room = _needed(size, threshold) - np.maximum(1, size // _GROUP)
+    return np.clip(room, 1, np.minimum(255, 1 + size // _EXTEND))
+
+
 def index_entries(hashed: np.ndarray, row: np.ndarray, frequent: np.ndarray, n_rows: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(entry, row): what the prefix of each set puts into the index. Sets come by row, then global order."""
     starts = row_starts(row, n_rows)
     size = np.diff(starts)
-    tau = size - _needed(size, threshold)
+    tau = size - _needed(size, threshold) + shared_entries(size, threshold) - 1
     place = np.arange(len(row)) - starts[row]
     base = place <= tau[row]
     hot_row = np.zeros(n_rows, bool)
@@ -137,8 +151,17 @@ def index_entries(hashed: np.ndarray, row: np.ndarray, frequent: np.ndarray, n_r
     return np.concatenate(entries), np.concatenate(rows)
 
 
-def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold: float, most: int = 2_000_000) -> np.ndarray:
-    """Distinct pairs (a << 32 | b, a < b) of members that share an entry and whose sizes allow the threshold."""
+def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    key = np.concatenate([x[0] for x in found])
+    order = np.argsort(key)
+    key, count = key[order], np.concatenate([x[1] for x in found])[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(count, first) if len(key) else count
+
+
+def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold: float, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a << 32 | b, a < b) of members that share entries and whose sizes allow the threshold, and how many they
+    share."""
     order = np.argsort(entry)
     e, m = entry[order], member[order]
     same = np.zeros(len(e) + 1, bool)
@@ -152,8 +175,8 @@ def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold:
     e, m = e[new], m[new].astype(np.int64)
     end = np.searchsorted(e, e, "right") if len(e) else np.zeros(0, np.int64)
     left = end - np.arange(len(e)) - 1  # partners after each one
-    found, at = np.zeros(0, np.int64), 0
     total = np.cumsum(left)
+    found, held, limit, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0, 4 * most, 0
     while at < len(e):
         to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
         n = left[at:to]
@@ -161,9 +184,14 @@ def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold:
         b = a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         a, b = m[a], m[b]
         ok = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9
-        found = np.unique(np.concatenate([found, a[ok] << 32 | b[ok]]))
+        found.append((a[ok] << 32 | b[ok], np.ones(ok.sum(), np.int64)))
+        held += len(found[-1][0])
+        if held > limit:
+            found = [_added(found)]
+            held = len(found[0][0])
+            limit = max(4 * most, 2 * held)
         at = to
-    return found
+    return _added(found)
 
 
 def _clean(docs: DataFrame) -> DataFrame:
@@ -192,8 +220,9 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
     return found.reshape(-1)
 
 
-def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(kind, a, b): pairs of set fingerprints (kind 0) and (doc_id, fingerprint) of every document (kind 1)."""
+def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BUCKET_BYTES, chunk_entries: int = CHUNK_ENTRIES) -> DataFrame:
+    """(kind, a, b): pairs of set fingerprints that share enough entries (kind 0) and (doc_id, fingerprint) of every
+    document (kind 1)."""
     counts = sketch(docs, n)
     often = 2 * int(np.median(counts)) + 64
     shared = docs.sparkSession.sparkContext.broadcast(counts)
@@ -201,33 +230,46 @@ def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BU
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = lambda h: shared.value[(h % U(SKETCH)).astype(np.int64)].astype(np.int64)
+        held, size_held = [], 0
+
+        def flush():
+            entry, number, ids, prints, size = (np.concatenate(x) for x in zip(*held))
+            bucket = (mix(entry) % U(buckets)).astype(np.int64)
+            order = np.lexsort((number, bucket))
+            entry, number = entry[order], number[order]
+            used, starts = np.unique(bucket[order], return_index=True)
+            edges = np.append(starts, len(order))
+            out = {"bucket": [], "kind": [], "a": [], "b": [], "c": [], "d": []}
+            for i, b in enumerate(used.tolist()):
+                own, at = np.unique(number[edges[i] : edges[i + 1]], return_inverse=True)
+                for k, v in zip(out, (b, 0, entry[edges[i] : edges[i + 1]].tobytes(), at.astype(np.uint32 if len(own) > 1 << 16 else np.uint16).tobytes(), prints[own].tobytes(), size[own].astype(np.uint32).tobytes())):
+                    out[k].append(v)
+            full = size > 0
+            if full.any():
+                for k, v in zip(out, (int(ids[0] % buckets), 1, ids[full].tobytes(), prints[full].tobytes(), b"", b"")):
+                    out[k].append(v)
+            return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k in ("bucket", "kind") else pa.binary()) for k, v in out.items()})
+
+        rows = 0
         for batch in batches:
-            for piece in pieces(batch, most=2 * SLICE_BYTES):
+            for piece in pieces(batch):
                 hashed, row, key = sets(*utf8(piece.column("text")), n, rank)
-                n_rows = piece.num_rows
-                print_, size = fingerprints(hashed, row, n_rows)
-                ids = piece.column("doc_id").to_numpy()
-                entry, owner = index_entries(hashed, row, key > often, n_rows, threshold)
-                bucket = (mix(entry) % U(buckets)).astype(np.int64)
-                order = np.lexsort((owner, bucket))
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                entry, owner = entry[order], owner[order]
-                out = {"bucket": [], "kind": [], "a": [], "b": [], "c": [], "d": []}
-                for b in np.flatnonzero(np.diff(edges)):
-                    own, number = np.unique(owner[edges[b] : edges[b + 1]], return_inverse=True)
-                    for k, v in zip(out, (int(b), 0, entry[edges[b] : edges[b + 1]].tobytes(), number.astype(np.uint32 if len(own) > 1 << 16 else np.uint16).tobytes(), print_[own].tobytes(), size[own].astype(np.uint32).tobytes())):
-                        out[k].append(v)
-                full = size > 0
-                if full.any():
-                    for k, v in zip(out, (int(ids[0] % buckets), 1, ids[full].astype(np.int64).tobytes(), print_[full].tobytes(), b"", b"")):
-                        out[k].append(v)
-                yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k in ("bucket", "kind") else pa.binary()) for k, v in out.items()})
+                prints, size = fingerprints(hashed, row, piece.num_rows)
+                entry, owner = index_entries(hashed, row, key > often, piece.num_rows, threshold)
+                held.append((entry, owner + rows, piece.column("doc_id").to_numpy().astype(np.int64), prints, size))
+                rows += piece.num_rows
+                size_held += len(entry)
+                if size_held >= chunk_entries:
+                    yield flush()
+                    held, rows, size_held = [], 0, 0
+        if held:
+            yield flush()
 
     def pair(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
         a, b, c, d = (table.column(k).to_pylist() for k in "abcd")
         at, docs_at = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-        left, right, kinds = [], [], []
+        out = {"part": [], "kind": [], "a": [], "b": [], "c": [], "d": []}
         if len(at):
             entry = np.frombuffer(b"".join(a[i] for i in at), U)
             prints = np.frombuffer(b"".join(c[i] for i in at), np.int64)
@@ -238,18 +280,53 @@ def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BU
                 member.append(np.frombuffer(b[i], np.uint32 if k > 1 << 16 else np.uint16).astype(np.int64) + base)
                 base += k
             known, first, number = np.unique(prints, return_index=True, return_inverse=True)
-            found = pairs_of(entry, number[np.concatenate(member)], size[first], threshold)
-            left.append(known[found >> 32])
-            right.append(known[found & 0xFFFFFFFF])
-            kinds.append(np.zeros(len(found), np.int32))
+            size = size[first]
+            found, count = pairs_of(entry, number[np.concatenate(member)], size, threshold)
+            one, two = found >> 32, found & 0xFFFFFFFF
+            needs = shared_entries(size, threshold)
+            needs = np.minimum(needs[one], needs[two]).astype(np.uint8)
+            count = np.minimum(count, 255).astype(np.uint8)
+            part = (mix(known.view(U)) % U(buckets)).astype(np.int64)[one]
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(buckets + 1))
+            for p in np.flatnonzero(np.diff(edges)):
+                own = order[edges[p] : edges[p + 1]]  # still by a, then b
+                starts = np.flatnonzero(np.diff(one[own], prepend=-1))
+                lengths = np.diff(np.append(starts, len(own))).astype(np.uint32)
+                for k, v in zip(out, (int(p), 0, known[one[own][starts]].tobytes() + lengths.tobytes(), known[two[own]].tobytes(), count[own].tobytes(), needs[own].tobytes())):
+                    out[k].append(v)
         for i in docs_at:
-            left.append(np.frombuffer(a[i], np.int64))
+            for k, v in zip(out, (i % buckets, 1, a[i], b[i], b"", b"")):
+                out[k].append(int(v) if k == "part" else v)
+        return pa.table({k: pa.array(v, pa.int32() if k in ("part", "kind") else pa.binary()) for k, v in out.items()})
+
+    def add(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy()
+        a, b, c, d = (table.column(k).to_pylist() for k in "abcd")
+        left, right, count, needs, ids, prints = [], [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(len(kind)):
+            if kind[i]:
+                ids.append(np.frombuffer(a[i], np.int64))
+                prints.append(np.frombuffer(b[i], np.int64))
+                continue
+            runs = len(a[i]) // 12
+            left.append(np.repeat(np.frombuffer(a[i], np.int64, runs), np.frombuffer(a[i], np.uint32, runs, 8 * runs)))
             right.append(np.frombuffer(b[i], np.int64))
-            kinds.append(np.ones(len(left[-1]), np.int32))
-        return pa.table({"kind": np.concatenate(kinds), "a": np.concatenate(left), "b": np.concatenate(right)})
+            count.append(np.frombuffer(c[i], np.uint8))
+            needs.append(np.frombuffer(d[i], np.uint8))
+        if left:
+            left, right, count, needs = (np.concatenate(x) for x in (left, right, count, needs))
+            order = np.lexsort((right, left))
+            left, right = left[order], right[order]
+            first = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
+            some = first[np.add.reduceat(count[order].astype(np.int64), first) >= needs[order][first]]
+            left, right = left[some], right[some]
+        ids, prints = np.concatenate(ids), np.concatenate(prints)
+        return pa.table({"kind": np.repeat(np.array([0, 1], np.int32), [len(left), len(ids)]), "a": np.concatenate([np.asarray(left, np.int64), ids]), "b": np.concatenate([np.asarray(right, np.int64), prints])})
 
     packed = docs.mapInArrow(pack, "bucket int, kind int, a binary, b binary, c binary, d binary")
-    return packed.groupBy("bucket").applyInArrow(pair, "kind int, a long, b long")
+    paired = packed.groupBy("bucket").applyInArrow(pair, "part int, kind int, a binary, b binary, c binary, d binary")
+    return paired.groupBy("part").applyInArrow(add, "kind int, a long, b long")
 
 
 def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket_bytes: int = BUCKET_BYTES, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -260,18 +337,23 @@ def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESH
     found = stored(candidates(docs, ngram, threshold, bucket_bytes), "jaccard-candidates")
     members = found.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("b").alias("print"))
     firsts = members.groupBy("print").agg(F.min("doc_id").alias("first"))
-    pairs = stored(found.where("kind = 0").select("a", "b").distinct(), "jaccard-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("print"))
-    blocks = max(1, -(-int(ends.agg(F.approx_count_distinct("print")).first()[0]) // block_docs))
-    block = lambda c: F.pmod(F.col(c), F.lit(blocks))
-    placed = pairs.withColumn("block", F.least(block("a"), block("b")) * blocks + F.greatest(block("a"), block("b")))
+    pairs = found.where("kind = 0").select("a", "b")
+    # copies of one text mostly share their least partner: by it they come into one block, and hardly any pair is across
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("print"), F.col("b").alias("other")), F.struct(F.col("b").alias("print"), F.col("a").alias("other")))).alias("x")).select("x.*")
+    label = ends.groupBy("print").agg(F.least(F.col("print"), F.min("other")).alias("label"))
+    size = F.count("*").over(Window.partitionBy("label"))
+    label = stored(label.withColumn("part", F.pmod(F.col("print"), F.ceil(size / F.lit(block_docs)))), "jaccard-labels")
+    blocks = max(1, -(-label.count() // block_docs))
+    label = label.select("print", F.pmod(F.xxhash64("label", "part"), F.lit(blocks)).alias("block"))
+    placed = pairs.join(label.toDF("a", "block_a"), "a").join(label.toDF("b", "block_b"), "b")
+    placed = placed.select("a", "b", (F.least("block_a", "block_b") * blocks + F.greatest("block_a", "block_b")).alias("block"))
     need = placed.select("block", F.explode(F.array("a", "b")).alias("print")).distinct().join(firsts, "print")
     wanted = need.groupBy("first").agg(F.collect_set("block").alias("blocks")).withColumnRenamed("first", "doc_id")
-    texts = docs.join(wanted, "doc_id").select("text", F.explode("blocks").alias("block"))
+    texts = docs.join(wanted, "doc_id").select("doc_id", "text", F.explode("blocks").alias("block"))
 
     def verify(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = left.column("a").to_numpy(), left.column("b").to_numpy()
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "jaccard": pa.array([], pa.float64())})
+        none = pa.table({"doc_a": pa.array([], pa.int64()), "doc_b": pa.array([], pa.int64()), "jaccard": pa.array([], pa.float64())})
         if not len(a) or not right.num_rows:
             return none
         hashes, rows, base = [], [], 0
@@ -281,7 +363,7 @@ def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESH
                 hashes.append(h)
                 rows.append(r + base)
                 base += piece.num_rows
-        hashed, row = np.concatenate(hashes), np.concatenate(rows)
+        hashed, row, ids = np.concatenate(hashes), np.concatenate(rows), right.column("doc_id").to_numpy()
         prints, size = fingerprints(hashed, row, base)
         token = np.unique(hashed, return_inverse=True)[1]
         starts = row_starts(row, base)
@@ -308,14 +390,12 @@ def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESH
             held[own] = False
         jaccard = shared / (size[i] + size[j] - shared)
         ok = jaccard >= threshold
-        return pa.table({"a": a[ok], "b": b[ok], "jaccard": jaccard[ok]})
+        one, two = ids[i[ok]], ids[j[ok]]
+        return pa.table({"doc_a": np.minimum(one, two), "doc_b": np.maximum(one, two), "jaccard": jaccard[ok]})
 
-    checked = placed.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(verify, "a long, b long, jaccard double")
-    checked = stored(checked, "jaccard-verified")
-    one, two = firsts.toDF("a", "one"), firsts.toDF("b", "two")
-    unlike = checked.join(one, "a").join(two, "b").select(F.least("one", "two").alias("doc_a"), F.greatest("one", "two").alias("doc_b"), "jaccard")
+    unlike = placed.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(verify, "doc_a long, doc_b long, jaccard double")
     alike = members.join(firsts, "print").where(F.col("doc_id") != F.col("first")).select(F.col("first").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard")).distinct()
-    return unlike.unionByName(alike)
+    return unlike.where("doc_a <> doc_b").unionByName(alike)
 
 
 def components(edges: DataFrame) -> DataFrame:

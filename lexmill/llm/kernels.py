@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

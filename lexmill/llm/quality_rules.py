@@ -18,10 +18,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import id_text
 from .kernels import mix, pieces, repeated, span_hashes, tokens, utf8, windows, U
@@ -77,6 +75,13 @@ def coverage(data: np.ndarray, offsets: np.ndarray, lengths: list[int]) -> dict[
     return out
 
 
+def passes(found: dict[str, np.ndarray], limits: dict[int, float], max_line: float, min_words: int) -> np.ndarray:
+    keep = (found["n_words"] >= min_words) & (found["dup_line_frac"] <= max_line)
+    for k, most in limits.items():
+        keep &= found[f"dup_{k}gram_frac"] <= most
+    return keep
+
+
 def metrics(docs: DataFrame, ngrams: dict[int, float] | None = None, max_line: float = MAX_LINE, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, n_words, n_chars_words, dup_*gram_frac.., dup_line_frac, keep), one row per document."""
     limits = dict(sorted((MAX_NGRAM if ngrams is None else ngrams).items()))
@@ -86,9 +91,7 @@ def metrics(docs: DataFrame, ngrams: dict[int, float] | None = None, max_line: f
         for batch in batches:
             for piece in pieces(batch):
                 found = coverage(*utf8(piece.column("text")), list(limits))
-                keep = (found["n_words"] >= min_words) & (found["dup_line_frac"] <= max_line)
-                for k, most in limits.items():
-                    keep &= found[f"dup_{k}gram_frac"] <= most
+                keep = passes(found, limits, max_line, min_words)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, found.values()), pa.array(keep)], names=["doc_id", *found, "keep"])
 
     return id_text(docs).mapInArrow(score, schema)
@@ -98,19 +101,13 @@ def keep_documents(docs: DataFrame, ngrams: dict[int, float] | None = None, max_
     """The rows that pass every rule, with all their columns; the decision is made in the scan, so texts never shuffle."""
     limits = dict(sorted((MAX_NGRAM if ngrams is None else ngrams).items()))
 
-    @F.pandas_udf("boolean")
-    def passes(text):
-        out = []
-        batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string())], names=["text"])
-        for piece in pieces(batch):
-            found = coverage(*utf8(piece.column("text")), list(limits))
-            keep = (found["n_words"] >= min_words) & (found["dup_line_frac"] <= max_line)
-            for k, most in limits.items():
-                keep &= found[f"dup_{k}gram_frac"] <= most
-            out.append(keep)
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
-
-    return docs.where(passes(F.col("text").cast("string")))
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                found = coverage(*utf8(piece.column("text")), list(limits))
+                yield piece.filter(pa.array(passes(found, limits, max_line, min_words)))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def sql(ngrams: dict[int, float] | None = None, max_line: float = MAX_LINE, min_words: int = MIN_WORDS) -> str:

@@ -29,11 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_bytes
-from .kernels import SLICE_BYTES, U, mix, pieces, repeated, row_starts, span_hashes, tokens, utf8, windows
+from .kernels import U, mix, pieces, repeated, row_starts, span_hashes, tokens, utf8, windows
 
 WIDTH = 50
 #: Bytes of text whose windows share a bucket.
 BUCKET_BYTES = 16 << 20
+#: Features that a map task packs together. Where buckets are many, raise both to what workers hold, so that a chunk
+#: has some dozens of features for each bucket.
+CHUNK_FEATURES = 500_000
 
 Feature = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -53,11 +56,7 @@ def _narrow(most: int) -> type:
     return np.uint8 if most <= 1 << 8 else np.uint16 if most <= 1 << 16 else np.uint32
 
 
-def _rows(name_values: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(name_values)
-
-
-def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BUCKET_BYTES, chunk_features: int = CHUNK_FEATURES) -> DataFrame:
     """(doc_id, text_hash, at): for each document that has any, the packed int32 positions of its features that
     occur at least twice in the table."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -65,33 +64,46 @@ def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BU
     code = _narrow(buckets)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, nth = TaskContext.get().partitionId(), 0
+        part, nth, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush():
+            hashed, row, at = (np.concatenate(x) for x in list(zip(*held))[:3])
+            ids = pa.concat_arrays([x[3].column("doc_id") for x in held])
+            texts = np.concatenate([x[3].column("text_hash").to_numpy() for x in held]).astype(np.int64)
+            null = np.packbits(ids.is_null().to_numpy(zero_copy_only=False))
+            ids = ids.fill_null(0).to_numpy().astype(np.int64)
+            chunk = int(mix(np.array([part << 32 | nth], U))[0] ^ np.bitwise_xor.reduce(mix(ids.view(U) + texts.view(U)))) >> 1
+            bucket = (hashed % U(buckets)).astype(code)
+            order = np.argsort(bucket, kind="stable")
+            full, starts = np.unique(bucket[order], return_index=True)
+            edges = np.append(starts, len(order))
+            ordered = hashed[order]
+            # positions travel only where they are not 0, 1, 2 and so on
+            meta = [ids.tobytes(), texts.tobytes(), null.tobytes(), np.bincount(row, minlength=len(ids)).astype(np.int32).tobytes(), at.astype(np.int32).tobytes() if not _dense(row, at) else b"", bucket.tobytes()]
+            full = full.tolist()
+            return pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array([*full, full[chunk % len(full)]], pa.int32()),
+                    "chunk": pa.array([chunk] * (len(full) + 1), pa.int64()),
+                    "part": pa.array([*full, -1], pa.int32()),
+                    "parts": pa.array([[ordered[edges[i] : edges[i + 1]].tobytes()] for i in range(len(full))] + [meta], pa.list_(pa.binary())),
+                }
+            )
+
+        rows = 0
         for batch in batches:
-            for piece in pieces(batch, most=2 * SLICE_BYTES):
+            for piece in pieces(batch):
                 hashed, row, at = features(*utf8(piece.column("text")))
                 if not len(hashed):
                     continue
-                ids = piece.column("doc_id")
-                null = np.packbits(ids.is_null().to_numpy(zero_copy_only=False))
-                ids = ids.fill_null(0).to_numpy().astype(np.int64)
-                texts = piece.column("text_hash").to_numpy().astype(np.int64)
-                chunk = int(mix(np.array([part << 32 | nth], U))[0] ^ np.bitwise_xor.reduce(mix(ids.view(U) + texts.view(U)))) >> 1
-                nth += 1
-                bucket = (hashed % U(buckets)).astype(code)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                ordered = hashed[order]
-                full = np.flatnonzero(np.diff(edges))
-                # positions within a row ascend: the first of each row, then the steps
-                meta = [ids.tobytes(), texts.tobytes(), null.tobytes(), np.bincount(row, minlength=len(ids)).astype(np.int32).tobytes(), at.astype(np.int32).tobytes() if not _dense(row, at) else b"", bucket.tobytes()]
-                yield _rows(
-                    {
-                        "bucket": pa.array([*map(int, full), int(full[chunk % len(full)])], pa.int32()),
-                        "chunk": pa.array([chunk] * (len(full) + 1), pa.int64()),
-                        "part": pa.array([*map(int, full), -1], pa.int32()),
-                        "parts": pa.array([[ordered[edges[b] : edges[b + 1]].tobytes()] for b in full] + [meta], pa.list_(pa.binary())),
-                    }
-                )
+                held.append((hashed, row + rows, at, piece.select(["doc_id", "text_hash"])))
+                rows += piece.num_rows
+                size += len(hashed)
+                if size >= chunk_features:
+                    yield flush()
+                    held, rows, size, nth = [], 0, 0, nth + 1
+        if held:
+            yield flush()
 
     def count(table: pa.Table) -> pa.Table:
         part = table.column("part").to_numpy()
@@ -111,11 +123,12 @@ def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BU
         null = np.unpackbits(np.frombuffer(null, np.uint8))[: len(ids)].astype(bool)
         bucket = np.frombuffer(bucket, code)
         order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        full, starts = np.unique(bucket[order], return_index=True)
+        edges = np.append(starts, len(order))
         marks = np.zeros(len(bucket), bool)
-        for b in np.flatnonzero(np.diff(edges)):
-            got = np.unpackbits(np.frombuffer(answers[int(b)][0], np.uint8))[: edges[b + 1] - edges[b]]
-            marks[order[edges[b] : edges[b + 1]]] = got.astype(bool)
+        for i, b in enumerate(full.tolist()):
+            got = np.unpackbits(np.frombuffer(answers[b][0], np.uint8))[: edges[i + 1] - edges[i]]
+            marks[order[edges[i] : edges[i + 1]]] = got.astype(bool)
         starts = np.concatenate([[0], np.cumsum(sizes)])
         at = np.frombuffer(at, np.int32) if at else (np.arange(len(bucket)) - np.repeat(starts[:-1], sizes)).astype(np.int32)
         some = np.flatnonzero(np.add.reduceat(np.append(marks, False).astype(np.int64), np.minimum(starts[:-1], len(marks))) * (sizes > 0))
