@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, text_bytes
-from .kernels import U, WORD, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
+from .kernels import U, WORD, lean, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
 
 NGRAM = 4
 THRESHOLD = 0.5
 SKETCH = 1 << 20
 _SLICES = 16
 #: Bytes of text whose index entries share a bucket, and documents that share a block of the verification.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 BLOCK_DOCS = 2048
 #: Index entries that a map task packs together.
 CHUNK_ENTRIES = 300_000
@@ -266,6 +266,7 @@ def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BU
             yield flush()
 
     def pair(table: pa.Table) -> pa.Table:
+        lean()
         kind = table.column("kind").to_numpy()
         a, b, c, d = (table.column(k).to_pylist() for k in "abcd")
         at, docs_at = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
@@ -301,6 +302,7 @@ def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BU
         return pa.table({k: pa.array(v, pa.int32() if k in ("part", "kind") else pa.binary()) for k, v in out.items()})
 
     def add(table: pa.Table) -> pa.Table:
+        lean()
         kind = table.column("kind").to_numpy()
         a, b, c, d = (table.column(k).to_pylist() for k in "abcd")
         left, right, count, needs, ids, prints = [], [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -352,6 +354,7 @@ def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESH
     texts = docs.join(wanted, "doc_id").select("doc_id", "text", F.explode("blocks").alias("block"))
 
     def verify(left: pa.Table, right: pa.Table) -> pa.Table:
+        lean()
         a, b = left.column("a").to_numpy(), left.column("b").to_numpy()
         none = pa.table({"doc_a": pa.array([], pa.int64()), "doc_b": pa.array([], pa.int64()), "jaccard": pa.array([], pa.float64())})
         if not len(a) or not right.num_rows:

@@ -6,6 +6,8 @@ made per token. All hashes are 64-bit and the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,7 +15,7 @@ import pyarrow.compute as pc
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -22,6 +24,15 @@ WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
 
 
+def lean() -> None:
+    """Makes a worker give large arrays back to the system as they are freed: it is used again by other stages and
+    otherwise keeps what its largest task needed. Without glibc it does nothing."""
+    tune = getattr(ctypes.CDLL(None), "mallopt", None)
+    if tune:
+        tune(-3, 4 << 20)  # M_MMAP_THRESHOLD, which else grows to 32 MB
+        tune(-1, 8 << 20)  # M_TRIM_THRESHOLD
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; a null counts as an empty text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -37,6 +48,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES):
     """Consecutive slices of a batch holding about ``most`` bytes of text, one row at least."""
+    lean()
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(lengths)
     at = 0

@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_bytes
-from .kernels import U, mix, pieces, repeated, row_starts, span_hashes, tokens, utf8, windows
+from .kernels import U, lean, mix, pieces, repeated, row_starts, span_hashes, tokens, utf8, windows
 
 WIDTH = 50
 #: Bytes of text whose windows share a bucket.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Features that a map task packs together. Where buckets are many, raise both to what workers hold, so that a chunk
 #: has some dozens of features for each bucket.
 CHUNK_FEATURES = 500_000
@@ -106,6 +106,7 @@ def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BU
             yield flush()
 
     def count(table: pa.Table) -> pa.Table:
+        lean()
         part = table.column("part").to_numpy()
         held = [x[0] for x, p in zip(table.column("parts").to_pylist(), part) if p >= 0]
         marks = repeated(np.frombuffer(b"".join(held), U))
@@ -115,6 +116,7 @@ def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BU
         return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "parts": pa.array(answer, pa.list_(pa.binary()))})
 
     def gather(table: pa.Table) -> pa.Table:
+        lean()
         answers = dict(zip(table.column("part").to_pylist(), table.column("parts").to_pylist()))
         if -1 not in answers:
             raise RuntimeError("a chunk came without its documents: the input gave other rows when it was read again")

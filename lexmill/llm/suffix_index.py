@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_text, text_bytes
-from .kernels import U, mix, pieces, row_starts, sliding_min, span_hashes, tokens, utf8, windows
+from .kernels import U, lean, mix, pieces, row_starts, sliding_min, span_hashes, tokens, utf8, windows
 from .substring_dedup import Feature, repeated_features
 
 WIDTH = 50
@@ -160,6 +160,7 @@ def matches(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batch: int =
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, {"shard": pa.int32(), "doc_id": pa.list_(pa.int64())}.get(k, pa.binary())) for k, v in out.items()})
 
     def index(table: pa.Table) -> pa.Table:
+        lean()
         ids = pa.concat_arrays([x.values if isinstance(x, pa.ListScalar) else x for x in table.column("doc_id")]) if table.num_rows else pa.array([], pa.int64())
         join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
         texts, first, count, words = join("text_hash", np.int64), join("first", np.int32).astype(np.int64), join("count", np.int32).astype(np.int64), join("tokens", np.uint32)
