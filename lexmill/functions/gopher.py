@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .stop_words import STOP_WORDS
-from .text import MARK, WS, col, lines, ratio, total_bytes, trim, words
+from .text import MARK, WS, col, let, lines, ratio, total_bytes, trim, words
 
 METRICS = (
     "mean_word_length",
@@ -75,8 +75,7 @@ def has_stop_words(text: Column | str, language: Column | str) -> Column:
     """1 where two entries of the language's list occur as lower-cased words, or the language has no list; else 0."""
     pairs = [x for lang, ws in STOP_WORDS.items() for x in (F.lit(lang), F.array(*[F.lit(w) for w in ws]))]
     known = F.try_element_at(F.create_map(*pairs), col(language))
-    own = words(F.lower(col(text)))
-    hits = F.size(F.filter(known, lambda w: F.array_contains(own, w)))
+    hits = let(words(F.lower(col(text))), lambda own: F.size(F.filter(known, lambda w: F.array_contains(own, w))))
     return F.when(known.isNull(), 1.0).when(hits >= 2, 1.0).otherwise(0.0)
 
 

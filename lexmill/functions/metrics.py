@@ -16,9 +16,17 @@ def _repeated_windows(data: bytes, n: int, first: int, last: int) -> int:
     """Windows of n bytes starting in [first, last) that equal an earlier one in that range."""
     if last - first <= 1:
         return 0
-    view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), n)[first:last]
-    rows = np.ascontiguousarray(view).view(f"V{n}").reshape(-1)
-    return len(rows) - len(pd.unique(rows.astype(f"S{n}") if b"\0" not in data else pd.Series(map(bytes, view)).to_numpy()))
+    whole, parts = np.frombuffer(data, np.uint8).astype(np.uint64), []
+    for at in range(0, n, 8):  # windows as columns of eight bytes
+        part = np.zeros(last - first, np.uint64)
+        for j in range(at, min(n, at + 8)):
+            part = part << np.uint64(8) | whole[first + j : last + j]
+        parts.append(part)
+    order = np.lexsort(parts)
+    new = np.zeros(len(order) - 1, bool)
+    for part in parts:
+        new |= part[order[1:]] != part[order[:-1]]
+    return int(len(new) - new.sum())
 
 
 def repetitions(text: Column | str, n: int = 20) -> Column:

@@ -52,6 +52,11 @@ def total_bytes(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("long"), lambda a, w: a + F.octet_length(w))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where body uses it inside other lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
 def flatten_newlines(text: Column | str) -> Column:
     """Newlines become spaces, as language identification wants one line."""
     return F.translate(col(text), "\n", " ")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stop_words import STOP_WORDS
-from ..functions.text import col, flatten_newlines, round2_single, round3, single, words
+from ..functions.text import col, flatten_newlines, let, round2_single, round3, single, words
 
 
 class TextClassifier(Protocol):
@@ -27,11 +27,12 @@ class TextClassifier(Protocol):
 def lexical_scores(text: Column | str, languages: list[str] | None = None) -> Column:
     """Share of words that are common words of each language, as a map; native, for tests and small vocabularies."""
     own = words(F.lower(flatten_newlines(text)))
-    pairs = []
-    for lang in sorted(languages or STOP_WORDS):
-        known = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS[lang]))])
-        pairs += [F.lit(lang), single(F.coalesce(F.try_divide(F.size(F.filter(own, lambda w, known=known: F.array_contains(known, w))).cast("double"), F.size(own).cast("double")), F.lit(0.0)))]
-    return F.create_map(*pairs)
+
+    def share(ws: Column, lang: str) -> Column:
+        hits = F.size(F.filter(ws, lambda w: w.isin(sorted(set(STOP_WORDS[lang])))))
+        return single(F.coalesce(F.try_divide(hits.cast("double"), F.size(ws).cast("double")), F.lit(0.0)))
+
+    return let(own, lambda ws: F.create_map(*[x for lang in sorted(languages or STOP_WORDS) for x in (F.lit(lang), share(ws, lang))]))
 
 
 def top_label(scores: Column | str) -> Column:
@@ -92,12 +93,12 @@ def with_scores(docs: DataFrame, load: Callable[[str], TextClassifier], key: str
     if supported is not None:
         unknown = ~F.col(language).isin(supported)
         docs = docs.withColumn(language, F.when(unknown, F.raise_error(F.concat(F.lit("unsupported language "), F.col(language)))).otherwise(F.col(language)))
-    found = weighted_scores(line_scores(docs, load, key, language)).withColumnsRenamed({"key": "__key", "scores": "__scores"})
+    found = weighted_scores(line_scores(docs, load, key, language)).withColumnsRenamed({"key": "__score_key", "scores": "__scores"})
     new = F.transform_values(F.transform_keys("__scores", lambda k, _: F.concat(F.lit(prefix), k)), lambda _, v: round3(v))
     old = F.coalesce(F.col("scores"), F.create_map().cast("map<string,double>")) if "scores" in docs.columns else F.create_map().cast("map<string,double>")
     fresh = F.map_filter(old, lambda k, _: ~F.coalesce(F.array_contains(F.map_keys(new), k), F.lit(False)))
     merged = F.when(new.isNull(), old).otherwise(F.map_concat(fresh, new))
-    out = docs.join(found, F.col(key) == F.col("__key"), "left").withColumn("scores", merged).drop("__key", "__scores")
+    out = docs.join(found, F.col(key) == F.col("__score_key"), "left").withColumn("scores", merged).drop("__score_key", "__scores")
     return out
 
 
