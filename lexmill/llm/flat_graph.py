@@ -4,10 +4,16 @@ Vectors go to the ``overlap`` nearest of k centroids, so that shards overlap. Ea
 nearest others in it, robustly pruned: a neighbour goes when one already taken is ``ALPHA`` times nearer to it than
 the vector itself, which leaves long edges as well as short ones; the very nearest always stay. The adjacency lists that
 a vector has in its shards are united. Every vector is then a query: in each of its shards a greedy best-first search
-runs from the shard's medoid over the united lists, and where it comes within the threshold the search expands over all
-vectors in range until none is new. Pairs found in any shard are verified with their exact cosine. An audit
-compares a fixed number of queries with brute force over all vectors; if the recall is below MIN_RECALL, the whole is
-built again with one more shard for each vector, until it is met or shards overlap completely.
+runs over the united lists from the vector itself and from the middles of the graph's connected components, the nearest
+BEAM of them, and where it comes within the threshold the search expands over all vectors in range until none is new. Pairs
+found in any shard are verified with their exact cosine.
+
+Two audits guard the recall, over pairs as well as on average over the queries that have any. In each shard
+SHARD_AUDIT queries are compared with brute force over the shard; a shard below SHARD_RECALL is searched exactly. Then
+queries are compared with brute force over all vectors, twice as many each time until they have AUDIT_PAIRS true pairs
+or are AUDIT_MOST or all; if the recall is below MIN_RECALL, the whole is built again with one more shard for each
+vector. Where that costs as much as comparing all vectors (overlap squared reaches the number of shards) or the overlap
+passes MOST_OVERLAP, all are compared, in blocks, and the result is exact.
 
 Equal vectors are one node. Result: (vec_a, vec_b, cosine), vec_a < vec_b: a row for each two different vectors within
 the threshold, between the first ids that have them, and a row at 1.0 between the first id of a vector and each
@@ -43,7 +49,13 @@ NEAREST = 4
 ALPHA = 1.2
 BEAM = 32
 AUDIT = 256
+AUDIT_PAIRS = 2000
+AUDIT_MOST = 8192
+SHARD_AUDIT = 256
+SHARD_RECALL = 0.99
 MIN_RECALL = 0.95
+MOST_OVERLAP = 16
+EXACT_BLOCK = 4096
 
 
 def matrix(column) -> np.ndarray:
@@ -96,13 +108,67 @@ def prune(x: np.ndarray, block: int = 512) -> np.ndarray:
     return out
 
 
+def entries(x: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """The row nearest to the middle of each connected component of the graph."""
+    a, col = np.nonzero(links >= 0)
+    b = links[a, col]
+    label = np.arange(len(x))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        low = low[low]
+        if np.array_equal(low, label):
+            break
+        label = low
+    label = np.unique(label, return_inverse=True)[1]
+    middle = np.zeros((int(label.max()) + 1, x.shape[1]))
+    np.add.at(middle, label, x)
+    order = np.lexsort((-np.einsum("nd,nd->n", x, middle[label]), label))
+    return order[np.flatnonzero(np.diff(label[order], prepend=-1))]
+
+
+def exact(x: np.ndarray, threshold: float, rows: np.ndarray | None = None, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query row, found row) within the threshold by brute force; the queries are ``rows``, or all."""
+    rows = np.arange(len(x)) if rows is None else rows
+    queries, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for s in range(0, len(rows), block):
+        q, f = np.nonzero(x[rows[s : s + block]] @ x.T >= threshold)
+        q = rows[s + q]
+        queries.append(q[q != f])
+        found.append(f[q != f])
+    return np.concatenate(queries), np.concatenate(found)
+
+
+def least_recall(true: np.ndarray, hit: np.ndarray) -> float:
+    """Of true and found pairs by query: the recall over pairs or the mean over queries, whichever is less; 1.0 without pairs."""
+    some = true > 0
+    return float(min(hit.sum() / true.sum(), (hit[some] / true[some]).mean())) if some.any() else 1.0
+
+
+def shard_pairs(x: np.ndarray, links: np.ndarray, threshold: float) -> np.ndarray:
+    """Pairs (a << 32 | b, a < b) of rows of a shard: by the graph, or exactly where a sample shows that it misses some."""
+
+    def packed(q, f):
+        return np.unique(np.minimum(q, f) << 32 | np.maximum(q, f))
+
+    pairs = packed(*search(x, links, threshold))
+    rows = np.unique(np.linspace(0, len(x) - 1, min(len(x), SHARD_AUDIT)).astype(np.int64))
+    q, f = exact(x, threshold, rows)
+    hit = np.isin(np.minimum(q, f) << 32 | np.maximum(q, f), pairs)
+    if least_recall(np.bincount(q, minlength=len(x)), np.bincount(q[hit], minlength=len(x))) < SHARD_RECALL:
+        pairs = packed(*exact(x, threshold))
+    return pairs
+
+
 def search(x: np.ndarray, links: np.ndarray, threshold: float, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query row, found row) within the threshold, every row being a query."""
     n = len(x)
     if n < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    medoid = int(np.argmax(x @ x.mean(0)))
+    start = entries(x, links)
     beam = min(BEAM, n)
+    most = min(beam - 1, len(start))
     queries, found = [], []
     for s in range(0, n, block):
         q = x[s : s + block]
@@ -111,8 +177,15 @@ def search(x: np.ndarray, links: np.ndarray, threshold: float, block: int = 256)
         sims = np.full((len(q), beam), -2.0)
         open_ = np.zeros((len(q), beam), bool)
         seen = np.zeros((len(q), n), bool)
-        ids[:, 0], sims[:, 0], open_[:, 0] = medoid, q @ x[medoid], True
-        seen[:, medoid] = True
+        ids[:, 0], sims[:, 0], open_[:, 0] = s + lines, np.einsum("nd,nd->n", q, q), True
+        seen[lines, s + lines] = True
+        near = q @ x[start].T
+        col = np.argpartition(-near, most - 1, axis=1)[:, :most]
+        other = start[col] != s + lines[:, None]
+        ids[:, 1 : most + 1] = np.where(other, start[col], -1)
+        sims[:, 1 : most + 1] = np.where(other, np.take_along_axis(near, col, 1), -2)
+        open_[:, 1 : most + 1] = other
+        seen[lines[:, None], start[col]] = True
         while open_.any():
             at = np.argmax(np.where(open_, sims, -3), 1)
             busy = open_[lines, at]
@@ -193,9 +266,7 @@ def _build(nodes: DataFrame, k: int, overlap: int, threshold: float) -> DataFram
         links = np.full((len(ids), max([1, *map(len, own)])), -1, np.int64)
         for i, a in enumerate(own):
             links[i, : len(a)] = a
-        q, f = search(x, links, threshold)
-        a, b = np.minimum(q, f), np.maximum(q, f)
-        pairs = np.unique(a << 32 | b) if len(a) else np.zeros(0, np.int64)
+        pairs = shard_pairs(x, links, threshold)
         a, b = pairs >> 32, pairs & 0xFFFFFFFF
         cosine = np.concatenate([np.einsum("nd,nd->n", x[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, max(1, len(a)), 65536)])
         ok = cosine >= threshold
@@ -208,23 +279,55 @@ def _build(nodes: DataFrame, k: int, overlap: int, threshold: float) -> DataFram
     return stored(found.groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "graph-pairs")
 
 
+def _compare_all(nodes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, cosine): all pairs of nodes within the threshold, from every two blocks of them."""
+    blocks = max(1, -(-nodes.count() // EXACT_BLOCK))
+    own = nodes.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
+    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    cells = cells.select("id", "v", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, x, block = table.column("id").to_numpy(), matrix(table.column("v")), table.column("block").to_numpy()
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for s in range(0, len(left), 512):
+            sims = x[left[s : s + 512]] @ x[right].T
+            i, j = np.nonzero(sims >= threshold)
+            a, b = ids[left[s + i]], ids[right[j]]
+            real = (a < b) if block.min() == block.max() else np.ones(len(a), bool)
+            out.append((np.minimum(a, b)[real], np.maximum(a, b)[real], np.minimum(sims[i, j][real], 1.0)))
+        a, b, cosine = (np.concatenate(c) for c in zip(*out))
+        if table.column("one")[0] != table.column("two")[0] and block.min() == block.max():  # the other block is empty
+            a, b, cosine = a[:0], b[:0], cosine[:0]
+        return pa.table({"a": a, "b": b, "cosine": cosine})
+
+    return stored(cells.groupBy("one", "two").applyInArrow(compare, "a long, b long, cosine double"), "graph-all-pairs")
+
+
 def recall(nodes: DataFrame, found: DataFrame, threshold: float, audit: int = AUDIT) -> float:
-    """Share of the true pairs of ``audit`` queries, the first in hash order, that were found; 1.0 where they have none."""
-    sample = nodes.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audit).toArrow()
-    ids, x = sample.column("id").to_numpy(), matrix(sample.column("v"))
+    """Share of the true pairs of audit queries, the first in hash order, that were found, over pairs or on average over
+    queries, whichever is less; 1.0 where they have none. ``audit`` doubles until there are enough true pairs."""
+    n = nodes.count()
+    while True:
+        sample = nodes.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audit).toArrow()
+        ids, x = sample.column("id").to_numpy(), matrix(sample.column("v"))
 
-    def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in range(0, batch.num_rows, 4096):
-                part = batch.slice(s, 4096)
-                other = part.column("id").to_numpy()
-                q, o = np.nonzero(x @ matrix(part.column("v")).T >= threshold)
-                real = ids[q] != other[o]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[q], other[o])[real]), pa.array(np.maximum(ids[q], other[o])[real])], names=["a", "b"])
+        def brute(batches: Iterator[pa.RecordBatch], ids=ids, x=x) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for s in range(0, batch.num_rows, 1024):
+                    part = batch.slice(s, 1024)
+                    other = part.column("id").to_numpy()
+                    q, o = np.nonzero(x @ matrix(part.column("v")).T >= threshold)
+                    q, o = ids[q], other[o]
+                    real = q != o
+                    yield pa.RecordBatch.from_arrays([pa.array(x[real]) for x in (q, np.minimum(q, o), np.maximum(q, o))], names=["q", "a", "b"])
 
-    true = nodes.mapInArrow(brute, "a long, b long").distinct()
-    total, hit = true.join(found.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").agg(F.count("*"), F.sum("hit")).first()
-    return (hit or 0) / total if total else 1.0
+        true = nodes.mapInArrow(brute, "q long, a long, b long")
+        by = true.join(found.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("q").agg(F.count("*").alias("true"), F.count("hit").alias("hit")).toArrow()
+        total, hit = by.column("true").to_numpy(), by.column("hit").to_numpy()
+        if total.sum() >= AUDIT_PAIRS or audit >= min(n, AUDIT_MOST):
+            return least_recall(total, hit)
+        audit *= 2
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, shard_vectors: int = SHARD_VECTORS, min_recall: float = MIN_RECALL) -> DataFrame:
@@ -234,11 +337,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: i
     n = nodes.count()
     dims = nodes.select(F.max(F.size("v"))).first()[0] or 1
     k = max(1, min(-(-n // shard_vectors), CENTROID_BYTES // (8 * dims)))
-    while True:
-        found = _build(nodes, k, overlap, threshold) if n else nodes.sparkSession.createDataFrame([], "a long, b long, cosine double")
-        if overlap >= k or recall(nodes, found, threshold) >= min_recall:
-            break
+    found = _build(nodes, k, overlap, threshold) if n else nodes.sparkSession.createDataFrame([], "a long, b long, cosine double")
+    while n and recall(nodes, found, threshold) < min_recall:
         overlap += 1
+        if overlap**2 >= k or overlap > MOST_OVERLAP:
+            found = _compare_all(nodes, threshold)
+            break
+        found = _build(nodes, k, overlap, threshold)
     firsts = rows.groupBy("v").agg(F.min("id").alias("first"), F.collect_set("id").alias("ids"))
     alike = firsts.select(F.col("first").alias("vec_a"), F.explode("ids").alias("vec_b"), F.lit(1.0).alias("cosine")).where("vec_a <> vec_b").distinct()
     return found.toDF("vec_a", "vec_b", "cosine").unionByName(alike)

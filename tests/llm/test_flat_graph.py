@@ -37,3 +37,40 @@ def test_copies_bad_rows_and_empty_tables(spark):
     got = sorted((r.vec_a, r.vec_b, r.cosine) for r in flat_graph.near_duplicates(spark.createDataFrame(rows, schema)).collect())
     assert got == [(3, 5, 1.0), (3, 6, 1.0), (3, 9, 1.0)]
     assert flat_graph.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
+def near_copies(seed, sizes, alone, dim=64, noise=0.02):
+    """Groups of different near copies of a vector each, and other vectors, in any order."""
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.normal(size=(alone, dim)), *(rng.normal(size=dim) + noise * rng.normal(size=(s, dim)) for s in sizes)])
+    return rng.permutation(x).astype(np.float32)
+
+
+def missed(spark, x, **sizes):
+    """How many pairs there are, and how many of them are not found."""
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = flat_graph.near_duplicates(vectors, 0.95, **sizes).toArrow()
+    pairs = got.column("vec_a").to_numpy() * len(x) + got.column("vec_b").to_numpy()
+    assert len(np.unique(pairs)) == len(pairs)
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(u @ u.T >= 0.95, 1))
+    assert np.isin(pairs, a * len(x) + b).all()
+    return len(a), len(a) - np.isin(a * len(x) + b, pairs).sum()
+
+
+@pytest.mark.parametrize("sizes, alone", [([60] * 8, 200), ([60, 300, 2000], 100)])
+def test_large_groups_of_different_near_copies_at_complete_overlap(spark, sizes, alone):
+    pairs, lost = missed(spark, near_copies(1, sizes, alone))
+    assert pairs >= sum(s * (s - 1) // 2 for s in sizes) and lost <= 0.01 * pairs
+
+
+def test_a_group_over_many_shards_is_found(spark):
+    pairs, lost = missed(spark, near_copies(2, [900, 60], 100), shard_vectors=60)
+    assert lost <= 0.05 * pairs
+
+
+def test_all_pairs_where_the_graph_is_not_enough(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "EXACT_BLOCK", 50)
+    pairs, lost = missed(spark, near_copies(3, [70, 80], 60), min_recall=1.1)
+    assert pairs and lost == 0
