@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of similar ones, and all others."""
-    return jaccard_join.keep_one(docs)
+    """The first row of each group of equal or similar texts, with a doc_id or without, and all others."""
+    return jaccard_join.keep_one_row(docs)
 
 
 def shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

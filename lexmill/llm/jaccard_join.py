@@ -26,7 +26,7 @@ similar pairs follow, and groups of thousands of copies give thousands of rows i
 Defined results: texts without words, null texts included, have no set and no partner; texts shorter than n words
 have one n-gram, the whole; rows without doc_id are left out; rows with the same doc_id and set are one document,
 those with the same doc_id and different sets may each have partners, but never one another;
-an empty table gives no rows; other columns are ignored by ``similar_pairs`` and kept by ``keep_one``.
+an empty table gives no rows; other columns are ignored by ``similar_pairs`` and kept by ``keep_one`` and ``keep_one_row``.
 """
 
 from __future__ import annotations
@@ -428,6 +428,43 @@ def keep_one(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD)
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__lexmill_id"], "left_anti")
 
 
+def keep_one_row(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of each group of equal or similar texts, whatever its rows have as doc_id.
+
+    As ``keep_one``, but rows with the same doc_id and text are one row, and those without doc_id, or with a doc_id that
+    has several texts, are documents of their own: they get keys after all doc_ids, in the order of doc_id (nulls last)
+    and text hash, so that a row with a doc_id of its own stays rather than they. Of equal rows the one with the least
+    hash of all columns stays. Where no room is left after the largest doc_id, every row gets such a key.
+    """
+    id_, one, two, key, rank = (f"__lexmill_{x}" for x in ("id", "hash", "hash2", "key", "rank"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    marked = docs.withColumns({id_: F.col("doc_id").cast("long"), one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)})
+    known = stored(marked.groupBy(id_, one, two).agg(F.count("*").alias("rows")), "jaccard-rows")
+    most = known.agg(F.max(id_)).first()[0] or 0
+    several = known.groupBy(id_).count().where("count > 1").select(id_)
+    if most < 1 << 62:
+        special = known.where("rows > 1").unionByName(known.where(F.col(id_).isNull())).unionByName(known.join(several, id_, "left_semi")).select(id_, one, two).distinct()
+    else:
+        special = known.select(id_, one, two)
+    # ids of partitions that are in order are in order too; written, they are the same for every reader
+    special = special.orderBy(F.col(id_).asc_nulls_last(), one, two).withColumn(key, F.monotonically_increasing_id() + (max(most, 0) + 1 if most < 1 << 62 else 0))
+    special = stored(special, "jaccard-keys")
+    if special.isEmpty():
+        return keep_one(docs, ngram, threshold)
+    same = lambda a, b: a[id_].eqNullSafe(b[id_]) & (a[one] == b[one]) & (a[two] == b[two])
+    if most < 1 << 62:  # the first text of a doc_id keeps it as its key
+        first = F.row_number().over(Window.partitionBy(id_, F.when(F.col(id_).isNull(), F.col(key))).orderBy(key)) == 1
+        special = special.withColumn(key, F.when(F.col(id_).isNotNull() & first, F.col(id_)).otherwise(F.col(key)))
+        special = stored(special, "jaccard-keys")
+    found = marked.join(special, same(marked, special)).select(*[marked[c] for c in docs.columns], special[key])
+    order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]), *[F.col(c) for c in docs.columns])
+    found = stored(found.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank), "jaccard-special")
+    plain = marked.join(special, same(marked, special), "left_anti").select(*docs.columns, F.col(id_).alias(key))
+    keyed = plain.unionByName(found)
+    gone = components(similar_pairs(keyed.select(F.col(key).alias("doc_id"), "text"), ngram, threshold).select("doc_a", "doc_b")).select(F.col("doc_id").alias(id_))
+    return keyed.join(gone, keyed[key] == gone[id_], "left_anti").drop(key)
+
+
 def sql(ngram: int = NGRAM, threshold: float = THRESHOLD) -> str:
     """The join in DuckDB, by counting the n-grams that each two sets share."""
     return f"""

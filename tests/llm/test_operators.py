@@ -217,6 +217,21 @@ def test_pipeline_equals_its_stages_in_brute_force(spark, tmp_path):
     assert got.groupby("bin_id").n_tokens.sum().max() <= packing.CAPACITY
 
 
+@pytest.mark.parametrize("large", [50, (1 << 63) - 1])
+def test_pipeline_keeps_one_row_of_repeated_rows_and_null_ids(spark, large):
+    rng = random.Random(8)
+    t = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(90)) for _ in range(8)]
+    near = lambda text: text.rsplit(" ", 1)[0] + " changed"
+    pairs = [(0, t[0]), (0, t[0]), (1, t[1]), (None, t[1]), (None, t[2]), (None, t[2]), (3, t[3]), (3, near(t[3])), (None, t[4]), (None, near(t[4])), (5, t[5]), (large, t[6]), (None, near(t[6])), (3, t[7]), (2, t[7])]
+    docs = spark.createDataFrame([(i, x, "en", f"s{n}", len(x)) for n, (i, x) in enumerate(pairs)], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, "")
+    got = [(r.doc_id, min(r.text, near(r.text))[:60]) for r in docs.collect()]
+    want = [(0, 0), (1, 1), (None, 2), (3, 3), (None, 4), (5, 5), (large, 6), (2, 7)]
+    assert sorted(got, key=str) == sorted(((i, t[n][:60]) for i, n in want), key=str)
+    assert all(len(r.text.split()) == 90 for r in docs.collect())
+
+
 def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.createDataFrame(corpus(2, 40), SCHEMA)
     for _, stage in corpus_pipeline.STAGES[:-1]:
