@@ -4,7 +4,8 @@ Templates and documents are sequences of lower-cased words (runs of ASCII letter
 characters). Every K words in a row have a hash; winnowing keeps the least hash of every W neighbours, so that any
 K + W - 1 words in common share a fingerprint. The templates' fingerprints form an inverted index from hash to
 (template, position); the templates are a fixed parameter, and so is the size of the index that travels with the
-task. Winnowed hashes of a document that are in the index are its hits. Hits of one template that lie on nearby
+task. Winnowed hashes of a document that are in the index are its hits; for templates of fewer than K + W - 1 words all
+hashes are looked up. Hits of one template that lie on nearby
 diagonals and not farther apart than the template is long are one candidate, and its stretch of the document is
 aligned with the template by a local alignment (match 1, mismatch and gap -1) within a band around those
 diagonals. Matches are reported when they cover ``min_coverage`` of the template; a match whose words lie wholly in a
@@ -44,6 +45,7 @@ TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "all-rights-reserved-notice": "All rights reserved.",
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
         '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
@@ -165,7 +167,7 @@ def matches(doc: np.ndarray, hits: list[tuple[int, int, int]], texts: list[np.nd
             at = max(0, low)
             stretch = doc[at : max(0, high + size)]
             matched, start, end = align(stretch, texts[t], low - at, high - at)
-            if matched >= min_matched and matched >= min_coverage * size:
+            if matched >= min(min_matched, size) and matched >= min_coverage * size:
                 found.append((t, matched, at + start, at + end))
     kept, reach = [], 0
     for m in sorted(set(found), key=lambda m: (m[2], -m[3], -m[1], m[0])):
@@ -179,6 +181,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, w
     templates = TEMPLATES if templates is None else templates
     hashed, which, place, texts = index(templates, k, w)
     names = list(templates)
+    short = hashed[np.isin(which, [t for t, x in enumerate(texts) if len(x) < k + w - 1])]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,6 +192,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, w
                 start, end, row = tokens(data, offsets, WORD)
                 word = span_hashes(data, start, end)
                 grams, first = winnow(word, row, k, w)
+                if len(short):  # winnowing may pass over what is shorter than K + W - 1 words
+                    every, place_of = windows(word, row, k)
+                    extra = np.isin(every, short) & ~np.isin(place_of, first)
+                    grams, first = np.concatenate([grams, every[extra]]), np.concatenate([first, place_of[extra]])
                 at = np.searchsorted(hashed, grams)
                 hit = np.flatnonzero(np.isin(grams, hashed))
                 by_row: dict[int, list] = {}

@@ -120,6 +120,13 @@ def test_licenses_are_found_with_changes_and_spans(spark):
     assert notice.template == "mit-notice" and notice.coverage == 1.0
 
 
+def test_the_shortest_notice_is_found_among_any_words(spark):
+    docs = spark.createDataFrame([(i, f"word{i} other{i}. All rights reserved. next{i} last{i}") for i in range(40)], "doc_id long, text string")
+    got = license_scan.scan(docs).collect()
+    assert sorted(r.doc_id for r in got) == list(range(40))
+    assert {(r.template, r.n_matched, r.start_token, r.end_token) for r in got} == {("all-rights-reserved-notice", 3, 2, 5)}
+
+
 def alignment(doc, template):
     """Score of the best local alignment without a band."""
     best, before = 0, [0] * (len(doc) + 1)
