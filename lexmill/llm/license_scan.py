@@ -164,11 +164,21 @@ def matches(doc: np.ndarray, hits: list[tuple[int, int, int]], texts: list[np.nd
                 near.append(groups[-1])
         for group in groups:
             low, high = min(d for _, d in group) - band, max(d for _, d in group) + band
-            at = max(0, low)
-            stretch = doc[at : max(0, high + size)]
-            matched, start, end = align(stretch, texts[t], low - at, high - at)
-            if matched >= min(min_matched, size) and matched >= min_coverage * size:
-                found.append((t, matched, at + start, at + end))
+            rest = [(max(0, low), min(len(doc), max(0, high + size)), group)]
+            while rest:  # what lies before and after a match may hold more of them
+                begin, stop, left = rest.pop()
+                if not left:
+                    continue
+                # a match that holds the first hit is shorter than two templates
+                a, b = max(begin, left[0][0] - 2 * size), min(stop, left[0][0] + 2 * size)
+                near_by = [d for j, d in left if a <= j < b] or [left[0][1]]
+                matched, start, end = align(doc[a:b], texts[t], min(near_by) - band - a, max(near_by) + band - a)
+                if matched >= min(min_matched, size) and matched >= min_coverage * size:
+                    found.append((t, matched, a + start, a + end))
+                    rest.append((begin, a + start, [x for x in left if x[0] < a + start]))
+                    rest.append((a + end, stop, [x for x in left if x[0] >= a + end]))
+                elif b < stop:
+                    rest.append((begin, stop, left[1:]))
     kept, reach = [], 0
     for m in sorted(set(found), key=lambda m: (m[2], -m[3], -m[1], m[0])):
         if m[3] > reach:  # else it lies in one that starts no later

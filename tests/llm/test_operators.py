@@ -127,6 +127,17 @@ def test_the_shortest_notice_is_found_among_any_words(spark):
     assert {(r.template, r.n_matched, r.start_token, r.end_token) for r in got} == {("all-rights-reserved-notice", 3, 2, 5)}
 
 
+def test_a_notice_on_successive_lines_is_found_on_each(spark):
+    texts = [license_scan.TEMPLATES[n] for n in ("mit-notice", "cc-by-nc-4.0-notice", "gpl-3.0-notice", "all-rights-reserved-notice")]
+    docs = spark.createDataFrame([(i, "\n".join([x] * 7)) for i, x in enumerate(texts)], "doc_id long, text string")
+    spans = defaultdict(list)
+    for r in license_scan.scan(docs).collect():
+        spans[r.doc_id].append((r.start_token, r.end_token))
+    for i, x in enumerate(texts):
+        n = len(license_scan.words(x))
+        assert sorted(spans[i]) == [(k * n, k * n + n) for k in range(7)]
+
+
 def alignment(doc, template):
     """Score of the best local alignment without a band."""
     best, before = 0, [0] * (len(doc) + 1)
