@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .stop_words import STOP_WORDS
@@ -43,26 +43,42 @@ def _or_zero(x: Column) -> Column:
 
 def mean_word_length(text: Column | str) -> Column:
     """Bytes of words per word; 0 without words."""
-    w = words(text)
+    return _mean_bytes(words(text))
+
+
+def _mean_bytes(w: Column) -> Column:
     return _or_zero(ratio(total_bytes(w), F.size(w)))
 
 
 def frac_words_with_alpha(text: Column | str) -> Column:
     """Share of words with an alphabetic character."""
-    w = words(text)
-    return _or_zero(ratio(F.size(F.filter(w, lambda x: x.rlike(r"\p{IsAlphabetic}"))), F.size(w)))
+    return _share(words(text), _has_alpha)
+
+
+def _has_alpha(word: Column) -> Column:
+    return word.rlike(r"\p{IsAlphabetic}")
+
+
+def _share(items: Column, test) -> Column:
+    return _or_zero(ratio(F.size(F.filter(items, test)), F.size(items)))
 
 
 def frac_lines_end_punctuation(text: Column | str) -> Column:
     """Share of lines, blank ones included, whose last character before white space is one of . ! ? ; :"""
-    ls = lines(text)
-    return _or_zero(ratio(F.size(F.filter(ls, lambda x: x.rlike(rf"[.!?;:]{WS}*\z"))), F.size(ls)))
+    return _share(lines(text), _ends_in_punctuation)
+
+
+def _ends_in_punctuation(line: Column) -> Column:
+    return line.rlike(rf"[.!?;:]{WS}*\z")
 
 
 def frac_lines_start_bullet(text: Column | str) -> Column:
     """Share of lines that start with - * + or with ASCII digits and a full stop."""
-    ls = lines(text)
-    return _or_zero(ratio(F.size(F.filter(ls, lambda x: x.rlike(rf"^{WS}*([-*+]|[0-9]+\.)"))), F.size(ls)))
+    return _share(lines(text), _starts_with_bullet)
+
+
+def _starts_with_bullet(line: Column) -> Column:
+    return line.rlike(rf"^{WS}*([-*+]|[0-9]+\.)")
 
 
 def frac_alphabetic_chars(text: Column | str) -> Column:
@@ -73,10 +89,21 @@ def frac_alphabetic_chars(text: Column | str) -> Column:
 
 def has_stop_words(text: Column | str, language: Column | str) -> Column:
     """1 where two entries of the language's list occur as lower-cased words, or the language has no list; else 0."""
-    pairs = [x for lang, ws in STOP_WORDS.items() for x in (F.lit(lang), F.array(*[F.lit(w) for w in ws]))]
-    known = F.try_element_at(F.create_map(*pairs), col(language))
-    hits = let(words(F.lower(col(text))), lambda own: F.size(F.filter(known, lambda w: F.array_contains(own, w))))
-    return F.when(known.isNull(), 1.0).when(hits >= 2, 1.0).otherwise(0.0)
+    return _stop_words(words(text), language)
+
+
+def _by_language(lists: dict[str, list[str]], language: Column | str) -> Column:
+    pairs = [x for lang, ws in lists.items() for x in (F.lit(lang), F.array(*[F.lit(w) for w in ws]).cast("array<string>"))]
+    return F.try_element_at(F.create_map(*pairs), col(language))
+
+
+def _stop_words(w: Column, language: Column | str) -> Column:
+    """Entries are counted as often as the list has them: by the set of words, its part on the list, and for each further
+    time its part on the entries that are listed so often."""
+    most = max(ws.count(x) for ws in STOP_WORDS.values() for x in ws)
+    listed = [_by_language({lang: sorted({x for x in ws if ws.count(x) > n}) for lang, ws in STOP_WORDS.items()}, language) for n in range(most)]
+    hits = let(F.transform(w, F.lower), lambda own: sum((F.size(F.array_intersect(own, ws)) for ws in listed[1:]), F.size(F.array_intersect(own, listed[0]))))
+    return F.when(listed[0].isNull(), 1.0).when(hits >= 2, 1.0).otherwise(0.0)
 
 
 def _duplicate_share(chunks: Column) -> Column:
@@ -88,28 +115,45 @@ def _chunks(parts: Column) -> Column:
     return F.filter(F.transform(parts, trim), lambda x: x != "")
 
 
+def _sentences(text: Column | str) -> Column:
+    t = F.translate(col(text), MARK, "")
+    return _chunks(F.split(F.regexp_replace(t, "([.!?;:])([ \\t\\n\\f\\r])", "$1" + MARK + "$2"), MARK))
+
+
+def _paragraphs(text: Column | str) -> Column:
+    return _chunks(F.split(col(text), "\n\n"))
+
+
 def frac_duplicate_sentences(text: Column | str) -> Column:
     """Share of the bytes of sentences, cut after . ! ? ; : before ASCII white space, that repeat an earlier one."""
-    t = F.translate(col(text), MARK, "")
-    return _duplicate_share(_chunks(F.split(F.regexp_replace(t, "([.!?;:])([ \\t\\n\\f\\r])", "$1" + MARK + "$2"), MARK)))
+    return _duplicate_share(_sentences(text))
 
 
 def frac_duplicate_paragraphs(text: Column | str) -> Column:
     """The same of paragraphs, which an empty line separates."""
-    return _duplicate_share(_chunks(F.split(col(text), "\n\n")))
-
-
-def metric_columns(text: Column | str, language: Column | str) -> dict[str, Column]:
-    return {
-        "mean_word_length": mean_word_length(text),
-        "frac_words_with_alpha": frac_words_with_alpha(text),
-        "frac_lines_end_punctuation": frac_lines_end_punctuation(text),
-        "frac_lines_start_bullet": frac_lines_start_bullet(text),
+    return _duplicate_share(_paragraphs(text))
+
+
+def with_metrics(docs: DataFrame, text: str = "text", language: str = "language", into: str = "gopher") -> DataFrame:
+    """Adds a struct of all metrics. Words, lines, sentences and paragraphs are made once, in a projection of their own,
+    and every metric reads them.
+
+    Null text: counts are null and shares 0; a null language has no list. Other columns stay, whatever their names, but for
+    ``into``, which is replaced."""
+    own = {n: f"__lexmill_{n}" for n in ("words", "lines", "sentences", "paragraphs")}
+    parts = docs.withColumns({own["words"]: words(text), own["lines"]: lines(text), own["sentences"]: _sentences(text), own["paragraphs"]: _paragraphs(text)})
+    w, ls = F.col(own["words"]), F.col(own["lines"])
+    found = {
+        "mean_word_length": _mean_bytes(w),
+        "frac_words_with_alpha": _share(w, _has_alpha),
+        "frac_lines_end_punctuation": _share(ls, _ends_in_punctuation),
+        "frac_lines_start_bullet": _share(ls, _starts_with_bullet),
         "frac_alphabetic_chars": frac_alphabetic_chars(text),
-        "has_stop_words": has_stop_words(text, language),
-        "frac_duplicate_sentences": frac_duplicate_sentences(text),
-        "frac_duplicate_paragraphs": frac_duplicate_paragraphs(text),
+        "has_stop_words": _stop_words(w, language),
+        "frac_duplicate_sentences": _duplicate_share(F.col(own["sentences"])),
+        "frac_duplicate_paragraphs": _duplicate_share(F.col(own["paragraphs"])),
     }
+    return parts.withColumn(into, F.struct(*[c.alias(n) for n, c in found.items()])).drop(*own.values())
 
 
 def rules(metrics: dict[str, Column], config: GateConfig = GateConfig()) -> list[tuple[str, Column]]:

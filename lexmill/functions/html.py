@@ -16,11 +16,19 @@ _BLOCK = {"p", "div", "section", "article", "main", "h1", "h2", "h3", "h4", "h5"
 
 
 def decode_bytes(data: bytes) -> str:
-    """UTF-8 where valid; else the declared character set, or Windows-1252, without what it can't decode."""
+    """UTF-8 where valid; else by a byte order mark, the first declared character set anywhere, UTF-16 where every other byte of
+    most is zero, or Windows-1252; without what that can't decode."""
+    for mark, name in ((b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")):
+        if data.startswith(mark):
+            return data[2:].decode(name, "ignore")
     try:
         return data.decode("utf-8")
     except UnicodeDecodeError:
-        found = re.search(rb"charset\s*=\s*[\"']?([\w-]+)", data[:4096], re.I)
+        found = re.search(rb"charset\s*=\s*[\"']?([\w-]+)", data, re.I)
+        if not found and len(data) > 1:
+            for at, name in ((1, "utf-16-le"), (0, "utf-16-be")):
+                if data[at::2].count(0) * 2 > len(data[at::2]):
+                    return data.decode(name, "ignore")
         try:
             return data.decode(found[1].decode() if found else "cp1252", "ignore")
         except LookupError:

@@ -10,6 +10,10 @@ from ..functions.text import col
 from ..schema import lid_label, lid_score
 
 
+#: The older tools' bound on ``rand``.
+LEGACY_MAX_RAND = 1.0
+
+
 def long_enough(text: Column | str = "text", min_length: int = 500) -> Column:
     """More than so many characters: of extracted text, before anything is removed."""
     return F.length(col(text)) > min_length

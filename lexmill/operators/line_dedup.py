@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bloom import known_lines
+
 
 def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit("lexmill"), line).alias("y"), F.octet_length(line).alias("n"))
@@ -22,19 +24,37 @@ def _lines(docs: DataFrame, scope: str, order: str) -> DataFrame:
 
 
 def first_lines(docs: DataFrame, scope: str = "group_idx", order: str = "record_idx", seen: DataFrame | None = None) -> DataFrame:
-    """(scope, ord, p, l, n): where each line occurs first; n its bytes. Lines in ``seen`` (column ``line``) have no first."""
-    lines = _lines(docs, scope, order)
-    first = lines.groupBy("scope", "h").agg(F.min(F.struct("ord", "p", "l")).alias("at"))
-    if seen is not None:
+    """(scope, ord, p, l, n): where each line occurs first; n its bytes. Lines in ``seen`` have no first: it has a column
+    ``line``, for every scope, or the columns of ``line_keys``, each line for its scope."""
+    first = _lines(docs, scope, order).groupBy("scope", "h").agg(F.min(F.struct("ord", "p", "l")).alias("at"))
+    if seen is not None and "line" in seen.columns:
         first = first.join(seen.select(_hash(F.col("line")).alias("h")), "h", "left_anti")
+    elif seen is not None:
+        known = seen.select(F.col("scope").alias("s"), F.struct("x", "y", "n").alias("k"))
+        first = first.join(known, F.col("scope").eqNullSafe(F.col("s")) & (F.col("h") == F.col("k")), "left_anti")
     return first.select("scope", "at.ord", "at.p", "at.l", F.col("h.n").alias("n"))
 
 
+def line_keys(docs: DataFrame, scope: str = "group_idx", order: str = "record_idx") -> DataFrame:
+    """(scope, x, y, n): the distinct lines of each scope as two hashes and their bytes."""
+    return _lines(docs, scope, order).select("scope", "h.*").distinct()
+
+
+def filtered_lines(docs: DataFrame, bloom: str) -> DataFrame:
+    """(line) distinct lines of the documents that a prebuilt filter has, for ``seen``: its false positives included. Only the
+    distinct lines are looked up."""
+    spark = docs.sparkSession
+    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).distinct()
+    return lines.where(known_lines(spark, bloom, "line"))
+
+
 def dedup_lines(docs: DataFrame, threshold: float = 0.2, scope: str = "group_idx", order: str = "record_idx", seen: DataFrame | None = None) -> DataFrame:
     """The documents with only the paragraphs of which new lines make up more than ``threshold`` of the bytes, each
     followed by an empty line. An empty paragraph has nothing new. No document goes, some become empty.
 
-    (scope, order) must identify a document. Comparison is in single precision.
+    (scope, order) must identify a document; rows that repeat one lose nothing to each other, as they are in one place. A null
+    text stays null, an empty one empty; a null scope is a scope of its own; a null order is never joined, and such a document becomes
+    empty. Columns other than text pass through. ``seen`` as in ``first_lines``. Comparison is in single precision.
     """
     new = first_lines(docs, scope, order, seen).groupBy("scope", "ord", "p").agg(F.sum("n").alias("new"))
     per_doc = new.groupBy("scope", "ord").agg(F.map_from_entries(F.collect_list(F.struct("p", "new"))).alias("__new"))
@@ -51,8 +71,14 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.2, scope: str = "group_idx
 
 
 def repeated_lines(docs: DataFrame, scope: str = "group_idx", order: str = "record_idx") -> DataFrame:
-    """(scope, ord, l, line): every line that occurred before, in place; paragraphs play no part."""
-    lines = docs.select(F.col(scope).alias("scope"), F.col(order).alias("ord"), F.posexplode(F.split("text", "\n", -1)).alias("l", "line"))
-    first = lines.groupBy("scope", "line").agg(F.min(F.struct("ord", "l")).alias("first"))
-    again = lines.join(first, ["scope", "line"]).where(F.struct("ord", "l") > F.col("first"))
-    return again.select("scope", "ord", "l", "line")
+    """(scope, ord, l, line): every line that occurred before, in place; paragraphs play no part.
+
+    Lines travel as hashes, to find where each occurs first; every document gets the places of its first lines, at most one for each
+    of its own, and all its other lines are repeated. A line that a million documents share is one row of the join. A null text
+    has no lines; (scope, order) must identify a document."""
+    hashed = docs.select(F.col(scope).alias("scope"), F.col(order).alias("ord"), F.posexplode(F.transform(F.split("text", "\n", -1), _hash)).alias("l", "h"))
+    first = hashed.groupBy("scope", "h").agg(F.min(F.struct("ord", "l")).alias("at"))
+    own = first.groupBy("scope", "at.ord").agg(F.collect_list("at.l").alias("own")).withColumnsRenamed({"scope": "s", "ord": "o"})
+    texts = docs.select(F.col(scope).alias("scope"), F.col(order).alias("ord"), "text").join(own, F.col("scope").eqNullSafe(F.col("s")) & (F.col("ord") == F.col("o")), "left")
+    lines = texts.select("scope", "ord", "own", F.posexplode(F.split("text", "\n", -1)).alias("l", "line"))
+    return lines.where(~F.coalesce(F.array_contains("own", F.col("l")), F.lit(False))).select("scope", "ord", "l", "line")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import found, open_stream, write_bytes
+
 
 def progress(written: DataFrame, archives: DataFrame, done: DataFrame | None = None) -> DataFrame:
     """(warc_file, last_record_seen, done): for each archive the highest record written, -1 where there is none.
@@ -24,6 +28,22 @@ def records_seen(state: DataFrame) -> DataFrame:
     return state.agg(F.coalesce(F.sum("last_record_seen"), F.lit(0)).alias("records_seen"))
 
 
+def save(state: DataFrame, path: str) -> None:
+    """Replaces the progress of a group by (warc_file, last_record_seen, done), as JSON; the old file stays until the new one is
+    whole. One row per archive, so that a file is as small as the archive list."""
+    rows = {r["warc_file"]: {"last_record_seen": r["last_record_seen"], "done": r["done"]} for r in state.collect()}
+    write_bytes(path, json.dumps({"persistent_path": path, "warcs_progress": rows}, indent=4).encode())
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """(warc_file, last_record_seen, done) as saved; no rows where nothing was."""
+    rows = []
+    if found(path, "*"):
+        with open_stream(path) as f:
+            rows = [(k, v["last_record_seen"], v["done"]) for k, v in json.loads(f.read())["warcs_progress"].items()]
+    return spark.createDataFrame(rows, "warc_file string, last_record_seen long, done boolean")
+
+
 def remaining(records: DataFrame, state: DataFrame) -> DataFrame:
     """Records of archives that are not done, beyond the last one seen."""
     known = state.select(F.col("warc_file").alias("__file"), F.col("last_record_seen").alias("__last"), F.col("done").alias("__done"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.stop_words import STOP_WORDS
 from ..functions.text import col, flatten_newlines, let, round2_single, round3, single, words
@@ -57,49 +57,62 @@ def identify_language(docs: DataFrame, load: Callable[[], TextClassifier], text:
     return docs.withColumn("__best", best(flatten_newlines(text))).withColumns({"lid_label": F.col("__best.label"), "lid_score": F.col("__best.score")}).drop("__best")
 
 
-def line_scores(docs: DataFrame, load: Callable[[str], TextClassifier], key: str, language: str = "language", text: str = "text") -> DataFrame:
-    """(key, weight, label, prob) for each line that is not empty, each label; the weight is its bytes with the newline.
+def line_means(load: Callable[[str], TextClassifier], language: Column, text: Column) -> Column:
+    """(labels, means) of a document: the mean over its lines that are not empty of the probability of each label, weighted by
+    the bytes of the line with its newline. Rows come with languages together where they are sorted, so that a
+    worker holds one model at a time."""
+    held: dict[str | None, TextClassifier] = {}
 
-    Documents come together by language, so that a worker mostly needs one model at a time."""
-    lines = docs.select(F.col(key).alias("key"), F.col(language).alias("language"), F.explode(F.split(text, "\n", -1)).alias("line")).where("line <> ''")
-
-    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models: dict[str, TextClassifier] = {}
-        for part in parts:
-            for lang, own in part.groupby("language", dropna=False):
-                if lang not in models:
-                    models.clear()
-                    models[lang] = load(lang)
-                texts = [t + "\n" for t in own["line"]]
-                rows = [(k, len(t.encode()), label, p) for k, t, found in zip(own["key"], texts, models[lang].predict(texts)) for label, p in found.items()]
-                yield pd.DataFrame(rows, columns=["key", "weight", "label", "prob"])
-
-    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("weight", T.LongType()), T.StructField("label", T.StringType()), T.StructField("prob", T.FloatType())])
-    return lines.repartition("language").mapInPandas(score, schema) if language in docs.columns else lines.mapInPandas(score, schema)
+    def score(lang: str | None, texts: pd.Series) -> list[dict]:
+        if lang not in held:
+            held.clear()
+            held[lang] = load(lang)
+        rows = [[line + "\n" for line in (t or "").split("\n") if line] for t in texts]
+        found = iter(held[lang].predict([line for own in rows for line in own]))
+        out = []
+        for own in rows:
+            total: dict[str, float] = {}
+            whole = 0
+            for line in own:
+                n = len(line.encode())
+                whole += n
+                for label, p in next(found).items():
+                    total[label] = total.get(label, 0.0) + float(np.float32(p)) * n
+            labels = sorted(total)
+            out.append({"labels": [x.removeprefix("__label__") for x in labels], "means": [total[x] / whole for x in labels]})
+        return out
 
+    @F.pandas_udf("struct<labels array<string>, means array<double>>")
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for langs, texts in parts:
+            out = pd.Series([None] * len(texts), dtype=object)
+            for lang in langs.drop_duplicates():
+                at = np.flatnonzero(langs.isna() if pd.isna(lang) else langs == lang)
+                for i, x in zip(at, score(None if pd.isna(lang) else lang, texts.iloc[at])):
+                    out.iloc[i] = x
+            yield pd.DataFrame(out.tolist(), columns=["labels", "means"])
 
-def weighted_scores(lines: DataFrame, key: str = "key") -> DataFrame:
-    """(key, scores): mean of the probabilities of each label weighted by line bytes, to two decimals; prefixes removed.
+    return run(language, text)
 
-    Documents without lines have no row here; their scores are an empty map after the join in ``with_scores``."""
-    whole = lines.groupBy(key, "label").agg(F.sum(F.col("prob").cast("double") * F.col("weight")).alias("pw"), F.sum("weight").alias("w"))
-    entry = F.struct(F.regexp_replace("label", "^__label__", "").alias("label"), round2_single(F.try_divide("pw", F.col("w").cast("double"))).alias("score"))
-    return whole.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("scores"))
 
+def with_scores(docs: DataFrame, load: Callable[[str], TextClassifier], supported: list[str] | None = None, prefix: str = "", language: str = "language", text: str = "text") -> DataFrame:
+    """Merges the weighted scores, to two decimals in single precision and then to three, under their labels with a prefix, into
+    ``scores``. A language that is not supported is an error.
 
-def with_scores(docs: DataFrame, load: Callable[[str], TextClassifier], key: str, supported: list[str] | None = None, prefix: str = "", language: str = "language") -> DataFrame:
-    """Merges the weighted scores, to three decimals and with a prefix, into ``scores``. A language that is not
-    supported is an error."""
+    Documents are scored whole, where they are: rows are sorted by language within their partition, nothing is exchanged. Null and empty
+    texts and texts of newlines have no lines and get no new scores; null scores count as none; repeated rows each get theirs; other
+    columns pass through."""
+    lang = F.col(language) if language in docs.columns else F.lit(None).cast("string")
     if supported is not None:
-        unknown = ~F.col(language).isin(supported)
-        docs = docs.withColumn(language, F.when(unknown, F.raise_error(F.concat(F.lit("unsupported language "), F.col(language)))).otherwise(F.col(language)))
-    found = weighted_scores(line_scores(docs, load, key, language)).withColumnsRenamed({"key": "__score_key", "scores": "__scores"})
-    new = F.transform_values(F.transform_keys("__scores", lambda k, _: F.concat(F.lit(prefix), k)), lambda _, v: round3(v))
+        lang = F.when(lang.isin(supported), lang).otherwise(F.raise_error(F.concat(F.lit("unsupported language "), F.coalesce(lang, F.lit("null")))))
+    if language in docs.columns:
+        docs = docs.sortWithinPartitions(language)
+    found = docs.withColumn("__lexmill_found", line_means(load, lang, F.col(text)))
+    names = F.transform("__lexmill_found.labels", lambda k: F.concat(F.lit(prefix), k))
+    new = F.map_from_arrays(names, F.transform("__lexmill_found.means", lambda v: round3(round2_single(v))))
     old = F.coalesce(F.col("scores"), F.create_map().cast("map<string,double>")) if "scores" in docs.columns else F.create_map().cast("map<string,double>")
-    fresh = F.map_filter(old, lambda k, _: ~F.coalesce(F.array_contains(F.map_keys(new), k), F.lit(False)))
-    merged = F.when(new.isNull(), old).otherwise(F.map_concat(fresh, new))
-    out = docs.join(found, F.col(key) == F.col("__score_key"), "left").withColumn("scores", merged).drop("__score_key", "__scores")
-    return out
+    fresh = F.map_filter(old, lambda k, _: ~F.coalesce(F.array_contains(names, k), F.lit(False)))
+    return found.withColumn("scores", F.map_concat(fresh, new)).drop("__lexmill_found")
 
 
 class LogisticLines:
@@ -112,8 +125,6 @@ class LogisticLines:
         return self.names
 
     def predict(self, texts: list[str]) -> list[dict[str, float]]:
-        import numpy as np
-
         out = []
         for t in texts:
             cells = [hash_word(w, self.cells) for w in t.split()]
@@ -131,8 +142,6 @@ def hash_word(word: str, cells: int) -> int:
 
 def train_classifier(rows: pd.DataFrame, cells: int = 1 << 14, rounds: int = 60, rate: float = 4.0) -> LogisticLines:
     """Fits labels to texts (columns ``text`` and ``label``) by full-batch gradient steps; rows are a bounded sample."""
-    import numpy as np
-
     names = sorted(rows["label"].unique())
     y = np.eye(len(names))[[names.index(x) for x in rows["label"]]]
     docs = [np.array([hash_word(w, cells) for w in t.split()], np.int64) for t in rows["text"]]

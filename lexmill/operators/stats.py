@@ -24,6 +24,16 @@ def archive_stats(records: DataFrame) -> DataFrame:
     )
 
 
+def archive_results(records: DataFrame, kept: DataFrame) -> DataFrame:
+    """(warc_file, success, processed, failed, error), one row per archive, from all records read with faults kept, and the documents
+    made of them. An archive that broke off has success false and the message; its records before that count."""
+    failed = F.col("warc_type") == "failed"
+    seen = records.groupBy("warc_file").agg(F.count_if(~failed).alias("seen"), F.max(F.when(failed, F.decode("payload", "UTF-8"))).alias("error"))
+    made = kept.groupBy("warc_file").agg(F.count("*").alias("processed"))
+    out = seen.join(made, "warc_file", "left").withColumn("processed", F.coalesce("processed", F.lit(0)))
+    return out.select("warc_file", F.col("error").isNull().alias("success"), "processed", (F.col("seen") - F.col("processed")).alias("failed"), "error")
+
+
 def run_stats(archives: DataFrame) -> DataFrame:
     """One row over all archives: archives, failed archives, and records with shares in percent.
 

@@ -6,27 +6,32 @@
 from __future__ import annotations
 
 import gzip
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import gopher, metrics
+from .functions.bloom import build
 from .functions.html import plain_text
 from .functions.stop_words import STOP_WORDS
 from .operators import filters, progress, stats
-from .operators.line_dedup import dedup_lines, repeated_lines
-from .operators.minhash import near_duplicate_ids, signature
+from .operators.line_dedup import dedup_lines, filtered_lines, repeated_lines
+from .operators.minhash import near_duplicate_ids, seeds, signature
 from .operators.scoring import lexical_scores, top_label, with_scores
 from .plans.curate import CurateConfig, curate, extract
+from .plans.create import create
+from .plans.legacy import legacy_filter
 from .schema import code_documents, with_document_columns
+from .sources.files import write_bytes
 from .sources.jsonl import read_jsonl, write_jsonl
-from .sources.manifest import archive_groups
+from .sources.manifest import archive_groups, parse_languages
 from .sources.warc import read_warc
-from .storage import shared_dir
+from .storage import new_folder, stored
+from .streaming.incremental import dedup_stream
 
 STOP_LANGS = ("en", "fr", "de", "es")
+SIGNATURE_VALUES = 2
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,10 +45,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metrics(spark, sf_dir, min_length: int | None = None) -> DataFrame:
-    docs = _docs(spark, sf_dir)
+    docs = _docs(spark, sf_dir).select("doc_id", "lang", "text")
     if min_length is not None:
         docs = docs.where(filters.long_enough("text", min_length))
-    return docs.select("doc_id", "lang", *[c.alias(n) for n, c in gopher.metric_columns("text", "lang").items()])
+    return gopher.with_metrics(docs, "text", "lang").select("doc_id", "lang", "gopher.*")
 
 
 def gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +86,9 @@ def duplicate_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", signature("text").alias("signature"))
+    """The first values of each signature."""
+    sig = _docs(spark, sf_dir).select("doc_id", signature("text", SIGNATURE_VALUES).alias("s"))
+    return sig.select("doc_id", *[F.col("s")[i].alias(f"value_{i}") for i in range(SIGNATURE_VALUES)])
 
 
 def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +112,7 @@ class LengthModel:
 
 def line_weighted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document scores as byte-weighted means over lines, and the filter on ``rand``."""
-    docs = _documents(spark, sf_dir).withColumn("key", F.col("record_idx"))
-    scored = with_scores(docs, lambda lang: LengthModel(), "key")
+    scored = with_scores(_documents(spark, sf_dir), lambda lang: LengthModel())
     return scored.where(F.map_contains_key("scores", "rand")).where(filters.not_random("scores", 0.6)).select(F.col("record_idx").alias("doc_id"), F.element_at("scores", "rand").alias("rand"))
 
 
@@ -119,15 +125,58 @@ def corpus_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("content"), F.pmod("doc_id", F.lit(20)).cast("float").alias("max_stars_count"))
-    return code_documents(raw).where(filters.code_gate()).select("doc_id", filters.unix_newlines().alias("text"))
+    """The verdict of the code gate on every document and its text with Unix newlines; a star for each 100 characters."""
+    raw = _docs(spark, sf_dir).select("doc_id", F.col("text").alias("content"), (F.col("n_chars") / 100.0).cast("float").alias("max_stars_count"))
+    return code_documents(raw).select("doc_id", filters.code_gate().alias("kept"), filters.not_generated().alias("hand_made"), filters.unix_newlines().alias("text"))
+
+
+def _language_score(n_chars="n_chars"):
+    """A stand-in for a detector's score: ascends with the length up to 1."""
+    return F.least(F.col(n_chars) / 2000.0, F.lit(1.0))
 
 
 def legacy_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language pair, bytes and the older gate, with scores made from doc_id."""
-    score = (F.pmod("doc_id", F.lit(100)) / 100.0).cast("string")
-    rows = _docs(spark, sf_dir).select("doc_id", "text", F.concat(F.lit('["'), "lang", F.lit('", '), score, F.lit("]")).alias("lid"), F.create_map(F.lit("rand"), F.pmod("doc_id", F.lit(7)) / 7.0).alias("scores"))
-    return rows.where(filters.legacy_language("lid", "en") & filters.long_enough_bytes("text", 200) & filters.legacy_gate()).select("doc_id")
+    """Verdicts of the older filters on every document: language of the pair, bytes, the gate and ``rand``, with
+    scores made from the length."""
+    lid = F.concat(F.lit('["'), "lang", F.lit('", '), _language_score().cast("string"), F.lit("]"))
+    rows = _docs(spark, sf_dir).select("doc_id", "text", lid.alias("lid"), F.create_map(F.lit("rand"), F.least(F.col("n_chars") / 8000.0, F.lit(1.0))).alias("scores"))
+    return rows.select("doc_id", filters.legacy_language("lid", "en").alias("language"), filters.long_enough_bytes("text", 200).alias("bytes"), filters.legacy_gate().alias("gate"), filters.not_random("scores", filters.LEGACY_MAX_RAND).alias("rand"))
+
+
+def language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on every document: language wanted, sure enough (French taken for Croatian, whose score counts twice), and not of low
+    quality."""
+    label = F.when(F.col("lang") == "fr", "hr").otherwise(F.col("lang"))
+    rows = _docs(spark, sf_dir).select("doc_id", label.alias("language"), _language_score().alias("score"), F.when(F.col("lang") != "de", F.create_map(F.lit("dclm_low"), _language_score())).otherwise(F.create_map().cast("map<string,double>")).alias("scores"))
+    score = filters.language_score("language", "score")
+    return rows.select("doc_id", score.alias("language_score"), filters.wanted_language("language", parse_languages("en,hr", ["en"])).alias("wanted"), filters.confident(score).alias("confident"), filters.not_low_quality("scores").alias("quality"))
+
+
+def legacy_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents through the older tools' chain: lines, bytes, scores, ``rand``."""
+    rows = _docs(spark, sf_dir).select("text", F.concat(F.lit('["'), "lang", F.lit('", 0.5]')).alias("lid"), F.col("doc_id").alias("record_idx"))
+    return legacy_filter(rows, "en", lambda lang: LengthModel(), threshold=0.2, min_bytes=300, max_rand=0.6).select(F.col("record_idx").alias("doc_id"), "text", F.element_at("scores", "rand").alias("rand"))
+
+
+def stream_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in two groups, English and others, that come in four batches by doc_id through the stream."""
+    docs = _documents(spark, sf_dir).withColumn("group_idx", F.when(F.col("language") == "en", 0).otherwise(1))
+    most = docs.agg(F.max("record_idx")).first()[0] or 0
+    folder = new_folder(spark, "stream")
+    for k in range(4):  # a stream reads files in the order of their times
+        docs.where(F.floor(F.col("record_idx") * 4 / F.lit(most + 1)) == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    source = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    dedup_stream(source, f"{folder}/out", f"{folder}/seen", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(docs.schema).parquet(f"{folder}/out/*").select(F.col("record_idx").alias("doc_id"), "group_idx", "text")
+
+
+def bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup where a prebuilt filter already has all lines of the German documents."""
+    docs = _documents(spark, sf_dir)
+    known = docs.where("language = 'de'").select(F.explode(F.split("text", "\n", -1)).alias("line")).distinct()
+    path = new_folder(spark, "bloom") + "/lines.bin"
+    write_bytes(path, build(known, "line", max(1 << 16, 64 * known.count()), 8).to_bytes())  # so large that no other line is taken for one of them
+    return dedup_lines(docs, seen=filtered_lines(docs, path)).select(F.col("record_idx").alias("doc_id"), "text")
 
 
 def archive_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,16 +205,16 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_pages_as_archives(spark: SparkSession, sf_dir: str, archives: int = 8) -> str:
     """A folder of archives with the pages as responses, each after a request record."""
-    folder = f"{shared_dir(spark)}/lexmill/archives-{os.urandom(8).hex()}".removeprefix("file://")
+    folder = new_folder(spark, "archives")
 
     def write(key, table):
-        os.makedirs(f"{folder}/segments/1700000000.0/warc", exist_ok=True)
-        with gzip.open(f"{folder}/segments/1700000000.0/warc/{int(key[0]):05d}.warc.gz", "wb") as out:
-            for r in table.sort_values("page_id").itertuples():
-                body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + r.html.encode()
-                for kind, data in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", body)):
-                    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{r.page_id}>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: {r.url}\r\nContent-Type: application/http; msgtype={kind}\r\nContent-Length: {len(data)}\r\n\r\n"
-                    out.write(head.encode() + data + b"\r\n\r\n")
+        out = []
+        for r in table.sort_values("page_id").itertuples():
+            body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + r.html.encode()
+            for kind, data in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", body)):
+                head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{r.page_id}>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: {r.url}\r\nContent-Type: application/http; msgtype={kind}\r\nContent-Length: {len(data)}\r\n\r\n"
+                out.append(head.encode() + data + b"\r\n\r\n")
+        write_bytes(f"{folder}/segments/1700000000.0/warc/{int(key[0]):05d}.warc.gz", gzip.compress(b"".join(out), 1))
         return table[["page_id"]].head(0)
 
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
@@ -184,9 +233,24 @@ def extracted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_warc(spark, write_pages_as_archives(spark, sf_dir)), CurateConfig(min_length=100)).select("url", "warc_id", "record_idx", "text")
 
 
+def archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of a run over the pages as archives, one of which is broken off."""
+    folder = write_pages_as_archives(spark, sf_dir)
+    write_bytes(f"{folder}/segments/1700000000.0/warc/99999.warc.gz", gzip.compress(b"WARC/1.0\r\nWARC-Type: request\r\nContent-Length: 2\r\n\r\nab\r\n\r\n")[:-9])
+    records = stored(read_warc(spark, folder, types="", on_error="keep"), "run-records")
+    return stats.run_stats(stats.archive_results(records, extract(records, CurateConfig(min_length=0))))
+
+
+def curated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole of it: pages as archives, extracted, curated and written as compressed lines, and those read back."""
+    folder = new_folder(spark, "curated")
+    create(spark, write_pages_as_archives(spark, sf_dir), folder, CurateConfig(min_length=100, gopher=True))
+    return read_jsonl(spark, folder).select("url", "warc_id", "record_idx", "group_idx", F.length("text").alias("n_chars"), "repetitions", "long_words")
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as compressed lines, a file per language group, and read back."""
-    path = f"{shared_dir(spark)}/lexmill/lines-{os.urandom(8).hex()}".removeprefix("file://")
+    path = new_folder(spark, "lines")
     write_jsonl(_documents(spark, sf_dir).withColumn("group_idx", F.pmod("record_idx", F.lit(4)).cast("int")), path)
     return read_jsonl(spark, path).select(F.col("record_idx").alias("doc_id"), "group_idx", "language", "warc_file", "text")
 
@@ -201,7 +265,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         gate_summary, gopher_metrics, pre_length_filter, repetitions, word_statistics, line_dedup, duplicate_line_report, minhash_signatures, minhash_dedup, lexical_language,
         line_weighted_scores, language_statistics, corpus_bytes, code_filter, legacy_filters, archive_progress, archive_statistics, manifest_groups, html_text, warc_scan, extracted_pages,
-        jsonl_roundtrip, curated,
+        jsonl_roundtrip, curated, language_filters, legacy_pipeline, stream_line_dedup, bloom_line_dedup, archive_run, curated_files,
     )
     return {f.__name__: f for f in own}
 
@@ -249,6 +313,24 @@ def _metrics_sql() -> str:
             WHEN frac_duplicate_sentences > 0.3::DOUBLE THEN 'duplicate_sentences' WHEN frac_duplicate_paragraphs > 0.3::DOUBLE THEN 'duplicate_paragraphs' END AS failed FROM m)"""
 
 
+def _lines_sql(last: str, scope: str = "0", known: str | None = None, source: str = "documents") -> str:
+    """Line dedup as common tables, the last of which is t (doc_id, text) of documents with some text left."""
+    new = "nth = 1" if known is None else f"nth = 1 AND line NOT IN ({known})"
+    return f"""WITH a AS (SELECT doc_id, sc, p, list_extract(ps, p) AS para FROM (SELECT doc_id, sc, ps, unnest(range(1, len(ps) + 1)) AS p FROM (SELECT doc_id, {scope} AS sc, regexp_split_to_array(text, '\\n\\n+') AS ps FROM {source}))),
+            l AS (SELECT doc_id, sc, p, para, l, list_extract(ls, l) AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS l FROM (SELECT *, string_split(para, chr(10)) AS ls FROM a))),
+            f AS (SELECT *, row_number() OVER (PARTITION BY sc, line ORDER BY doc_id, p, l) AS nth FROM l),
+            k AS (SELECT doc_id, p, para FROM f GROUP BY doc_id, p, para HAVING strlen(para) > 0 AND (sum(CASE WHEN {new} THEN strlen(line) ELSE 0 END)::DOUBLE / strlen(para))::FLOAT > 0.2::FLOAT),
+            t AS (SELECT doc_id, string_agg(para || chr(10) || chr(10), '' ORDER BY p) AS text FROM k GROUP BY doc_id) {last}"""
+
+
+def _fnv_sql(seed: int, size: int) -> str:
+    """FNV-1a of the bytes b0, b1, .. in 128-bit arithmetic."""
+    h = f"{seed}::UHUGEINT"
+    for k in range(size):
+        h = f"((xor({h}, b{k}) * 1099511628211::UHUGEINT) & 18446744073709551615::UHUGEINT)"
+    return h
+
+
 def oracle_sql() -> dict[str, str]:
     np = r"'[\p{N}!-/:-@\[-`{-~]'"
     count = lambda pattern: f"len(regexp_extract_all(text, {pattern}))"
@@ -268,11 +350,18 @@ def oracle_sql() -> dict[str, str]:
             {count(np)} AS n_numpunc, {_ratio(_bytes("list_filter(ws, lambda x: strlen(x) >= 15)"), "strlen(text)")} AS long_words,
             {_round2("len(list_filter(ws, lambda x: strlen(x) > 15))::DOUBLE / nullif(len(ws), 0)")} AS long_word_share, {_round2(f"{count(np)}::DOUBLE / nullif(length(text), 0)")} AS pnum,
             ({count(r"'\p{N}'")}::DOUBLE / nullif(length(text), 0))::FLOAT::DOUBLE AS numeric_share FROM p""",
-        "line_dedup": """WITH a AS (SELECT doc_id, p, list_extract(ps, p) AS para FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS p FROM (SELECT doc_id, regexp_split_to_array(text, '\\n\\n+') AS ps FROM documents))),
-            l AS (SELECT doc_id, p, para, l, list_extract(ls, l) AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS l FROM (SELECT *, string_split(para, chr(10)) AS ls FROM a))),
-            f AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, p, l) AS nth FROM l),
-            k AS (SELECT doc_id, p, para FROM f GROUP BY doc_id, p, para HAVING strlen(para) > 0 AND (sum(CASE WHEN nth = 1 THEN strlen(line) ELSE 0 END)::DOUBLE / strlen(para))::FLOAT > 0.2::FLOAT),
-            t AS (SELECT doc_id, string_agg(para || chr(10) || chr(10), '' ORDER BY p) AS text FROM k GROUP BY doc_id) SELECT doc_id, text FROM t WHERE length(text) >= 500""",
+        "line_dedup": _lines_sql("SELECT doc_id, text FROM t WHERE length(text) >= 500"),
+        "stream_line_dedup": _lines_sql("SELECT doc_id, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS group_idx, coalesce(t.text, '') AS text FROM documents LEFT JOIN t USING (doc_id)", scope="CASE WHEN lang = 'en' THEN 0 ELSE 1 END"),
+        "bloom_line_dedup": _lines_sql("SELECT doc_id, coalesce(t.text, '') AS text FROM documents LEFT JOIN t USING (doc_id)", known="SELECT DISTINCT unnest(string_split(text, chr(10))) FROM documents WHERE lang = 'de'"),
+        "legacy_pipeline": _lines_sql(f"""SELECT doc_id, text, rand FROM (SELECT doc_id, text, round_even({_round2("sum((w % 97 / 97.0::DOUBLE)::FLOAT::DOUBLE * w) / sum(w)")}, 3) AS rand
+            FROM (SELECT doc_id, text, strlen(line) + 1 AS w FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line FROM t WHERE strlen(text) >= 300) WHERE line <> '') GROUP BY doc_id, text) WHERE rand <= 0.6::DOUBLE""", source="documents WHERE lang = 'en'"),
+        "minhash_signatures": f"""WITH g AS (SELECT DISTINCT doc_id, substr(h, 2 * i + 1, 10) AS g FROM (SELECT doc_id, hex(encode(text)) AS h, unnest(range(0, strlen(text) - 4)) AS i FROM documents)),
+            b AS (SELECT doc_id, {", ".join(f"('0x' || substr(g, {2 * k + 1}, 2))::UHUGEINT AS b{k}" for k in range(5))} FROM g),
+            v AS (SELECT doc_id, {", ".join(f"min({_fnv_sql(int(s), 5)}) AS v{i}" for i, s in enumerate(seeds(SIGNATURE_VALUES)))} FROM b GROUP BY doc_id)
+            SELECT d.doc_id, {", ".join(f"(CASE WHEN v{i} IS NULL THEN -1::HUGEINT WHEN v{i} >= 9223372036854775808 THEN v{i}::HUGEINT - 18446744073709551616 ELSE v{i}::HUGEINT END)::BIGINT AS value_{i}" for i in range(SIGNATURE_VALUES))} FROM documents d LEFT JOIN v USING (doc_id)""",
+        "language_filters": """SELECT doc_id, language_score, lang IN ('en', 'fr') AS wanted, language_score >= 0.8::DOUBLE AS confident, lang = 'de' OR s <= 0.5::DOUBLE AS quality
+            FROM (SELECT doc_id, lang, s, CASE WHEN lang = 'fr' THEN 2 * s ELSE s END AS language_score FROM (SELECT doc_id, lang, least(n_chars / 2000.0::DOUBLE, 1.0::DOUBLE) AS s FROM documents))""",
+        "archive_run": "SELECT count(DISTINCT page_id % 8) + 1 AS archives, 1::BIGINT AS failed_archives, 100.0::DOUBLE / (count(DISTINCT page_id % 8) + 1) AS failed_archives_percent, count(*) AS processed, count(*) + 1 AS failed, (count(*) + 1) * 100.0::DOUBLE / (2 * count(*) + 1) AS failed_percent FROM pages",
         "duplicate_line_report": """SELECT doc_id, l - 1 AS line_no, line FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, l) AS nth FROM
             (SELECT doc_id, l, list_extract(ls, l) AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS l FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))) WHERE nth > 1""",
         "lexical_language": f"""WITH p AS (SELECT doc_id, regexp_extract_all(lower(text), '[^{_WS}]+') AS lw FROM documents), s AS (SELECT doc_id, {lexical} FROM p)
@@ -281,9 +370,10 @@ def oracle_sql() -> dict[str, str]:
             s AS (SELECT doc_id, {_round2("sum((w % 97 / 97.0::DOUBLE)::FLOAT::DOUBLE * w) / sum(w)")} AS x FROM l GROUP BY doc_id), r AS (SELECT doc_id, round_even(x, 3) AS rand FROM s) SELECT doc_id, rand FROM r WHERE rand <= 0.6::DOUBLE""",
         "language_statistics": "SELECT lang AS language, count(*) AS documents, count(*)::DOUBLE / (SELECT count(*) FROM documents) * 100 AS percent FROM documents GROUP BY lang",
         "corpus_bytes": "SELECT count(*) AS documents, sum(strlen(text))::BIGINT AS text_bytes FROM documents",
-        "code_filter": f"""SELECT doc_id, replace(text, chr(13) || chr(10), chr(10)) AS text FROM documents WHERE ({count(r"'\p{N}'")}::DOUBLE / nullif(length(text), 0))::FLOAT::DOUBLE < 0.2::DOUBLE AND doc_id % 20 > 10
-            AND NOT (regexp_matches(text, '[Gg]enerated by') AND strlen(list_extract(regexp_split_to_array(text, '[Gg]enerated by'), 1)) < 400)""",
-        "legacy_filters": "SELECT doc_id FROM documents WHERE lang = 'en' AND strlen(text) >= 200 AND (doc_id % 100 / 100.0)::FLOAT >= 0.85::FLOAT AND (doc_id % 7 / 7.0::DOUBLE)::FLOAT <= 0.8::FLOAT",
+        "code_filter": f"""SELECT doc_id, hand_made AND coalesce(share < 0.2::DOUBLE, false) AND (n_chars / 100.0::DOUBLE)::FLOAT > 10 AS kept, hand_made, replace(text, chr(13) || chr(10), chr(10)) AS text FROM (SELECT doc_id, n_chars, text,
+            ({count(r"'\p{N}'")}::DOUBLE / nullif(length(text), 0))::FLOAT::DOUBLE AS share, NOT (regexp_matches(text, '[Gg]enerated by') AND strlen(list_extract(regexp_split_to_array(text, '[Gg]enerated by'), 1)) < 400) AS hand_made FROM documents)""",
+        "legacy_filters": """SELECT doc_id, lang = 'en' AS language, strlen(text) >= 200 AS bytes, least(n_chars / 2000.0::DOUBLE, 1)::FLOAT >= 0.85::FLOAT AND least(n_chars / 8000.0::DOUBLE, 1)::FLOAT <= 0.8::FLOAT AS gate,
+            least(n_chars / 8000.0::DOUBLE, 1) <= 1.0 AS rand FROM documents""",
         "archive_progress": """WITH h AS (SELECT max(doc_id) // 2 AS half FROM documents), s AS (SELECT source, coalesce(max(doc_id) FILTER (doc_id <= half), -1) AS last FROM documents, h GROUP BY source)
             SELECT source AS warc_file, last AS last_record_seen, count(*) FILTER (doc_id > last) AS records_left FROM documents JOIN s USING (source) GROUP BY source, last""",
         "archive_statistics": "SELECT source AS warc_file, count(*) FILTER (length(text) > 500) AS processed, count(*) FILTER (length(text) <= 500) AS failed, count(*) FILTER (length(text) <= 500)::DOUBLE / count(*) * 100 AS failed_percent FROM documents GROUP BY source",

@@ -1,12 +1,11 @@
-"""Compressed JSON lines: a source with one partition per file, and a sink with a file per group, published at once."""
+"""Compressed JSON lines: a source with one partition per file, and a sink with a file per group, each whole or not there."""
 
 from __future__ import annotations
 
-import glob
 import io
-import os
 import uuid
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +13,11 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from ..schema import DOCUMENT
+from .files import found, open_stream, place
 
 SUFFIX = ".jsonl.zstd"
+#: Lines and characters that a batch holds about.
+BATCH_LINES, BATCH_CHARS = 2000, 16 << 20
 _LINES = T.StructType([T.StructField("file", T.StringType()), T.StructField("line", T.StringType())])
 
 
@@ -26,16 +28,24 @@ class _File(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.path = options["path"].removeprefix("file://").removeprefix("file:")
+        self.path = options["path"]
 
     def partitions(self):
-        return [_File(p) for p in sorted(glob.glob(os.path.join(self.path, "*" + SUFFIX)) if os.path.isdir(self.path) else glob.glob(self.path))]
+        return [_File(p) for p in found(self.path, "*" + SUFFIX)]
 
     def read(self, partition):
-        with open(partition.path, "rb") as raw:
+        lines, held = [], 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array([partition.path] * len(lines), pa.string()), pa.array(lines, pa.string())], names=["file", "line"])
+        with open_stream(partition.path) as raw:
             for line in io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True), "utf-8", newline="\n"):
                 if line.strip():
-                    yield partition.path, line.rstrip("\n")
+                    lines.append(line.rstrip("\n"))
+                    held += len(line)
+                    if len(lines) >= BATCH_LINES or held >= BATCH_CHARS:
+                        yield batch()
+                        lines, held = [], 0
+        if lines:
+            yield batch()
 
 
 class _Done(WriterCommitMessage):
@@ -44,37 +54,52 @@ class _Done(WriterCommitMessage):
 
 
 class _Writer(DataSourceWriter):
-    """Tasks write files under other names; commit() gives all of them their own, abort() removes them."""
+    """Tasks write files under other names; commit() gives them their own, abort() and a task that fails remove theirs."""
 
     def __init__(self, options):
-        self.path = options["path"].removeprefix("file://").removeprefix("file:")
+        self.path = options["path"].rstrip("/")
 
     def write(self, rows):
-        os.makedirs(self.path, exist_ok=True)
-        open_, files = {}, []
-        for row in rows:
-            group = row[0]
-            if group not in open_:
-                for stream in open_.values():  # groups come one after another
-                    stream.close()
-                name = os.path.join(self.path, f"{group}{SUFFIX}")
-                files.append((f"{name}.{uuid.uuid4().hex}.tmp", name))
-                open_ = {group: zstandard.ZstdCompressor().stream_writer(open(files[-1][0], "wb"))}
-            open_[group].write(row[1].encode() + b"\n")
-        for stream in open_.values():
-            stream.close()
+        where, base = place(self.path)
+        where.create_dir(base, recursive=True)
+        current, stream, sink, files = None, None, None, []
+        try:
+            for row in rows:
+                if row[0] != current:  # groups come one after another
+                    if stream:
+                        stream.close()
+                        sink.close()
+                    current = row[0]
+                    files.append((f"{base}/{current}{SUFFIX}.{uuid.uuid4().hex}.tmp", f"{base}/{current}{SUFFIX}"))
+                    sink = where.open_output_stream(files[-1][0], compression=None)
+                    stream = zstandard.ZstdCompressor().stream_writer(sink, closefd=False)
+                stream.write(row[1].encode() + b"\n")
+            if stream:
+                stream.close()
+                sink.close()
+        except BaseException:
+            _remove(where, files)
+            raise
         return _Done(files)
 
     def commit(self, messages):
+        where, _ = place(self.path)
         for m in messages:
             for tmp, name in m.files if m else ():
-                os.replace(tmp, name)
+                where.move(tmp, name)
 
     def abort(self, messages):
+        where, _ = place(self.path)
         for m in messages:
-            for tmp, _ in m.files if m else ():
-                if os.path.exists(tmp):
-                    os.remove(tmp)
+            _remove(where, m.files if m else ())
+
+
+def _remove(where, files) -> None:
+    for tmp, _ in files:
+        try:
+            where.delete_file(tmp)
+        except OSError:
+            pass
 
 
 class JsonlSource(DataSource):
@@ -93,7 +118,7 @@ class JsonlSource(DataSource):
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT) -> DataFrame:
-    """Documents of all files; a bad line fails the job."""
+    """Documents of all files; a bad line fails the job, blank lines are passed over, no files give no rows."""
     spark.dataSource.register(JsonlSource)
     stored_as = T.StructType([T.StructField("warc-id" if f.name == "warc_id" else f.name, f.dataType) for f in schema])
     row = F.from_json("line", stored_as, {"mode": "FAILFAST"})
@@ -103,15 +128,15 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT)
 
 def committed_groups(path: str) -> list[int]:
     """Groups whose file is there, and complete."""
-    return sorted(int(os.path.basename(p).removesuffix(SUFFIX)) for p in glob.glob(os.path.join(path, "*" + SUFFIX)))
+    return sorted(int(p.rpartition("/")[2].removesuffix(SUFFIX)) for p in found(path, "*" + SUFFIX))
 
 
 def write_jsonl(docs: DataFrame, path: str, group: str = "group_idx") -> None:
-    """A file for each group that has none yet."""
+    """A file for each group that has none yet, one task for a group. A null group is written as ``null``; no rows write no file."""
     spark = docs.sparkSession
     spark.dataSource.register(JsonlSource)
     done = committed_groups(path)
-    todo = docs.where(~F.col(group).isin(done)) if done else docs
+    todo = docs.where(~F.coalesce(F.col(group).isin(done), F.lit(False))) if done else docs
     fields = [F.col(c).alias("warc-id" if c == "warc_id" else c) for c in docs.columns]
     line = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    todo.select(F.col(group).cast("string").alias("file"), line.alias("line")).repartition("file").sortWithinPartitions("file").write.format("jsonl_zstd").mode("append").save(path)
+    todo.select(F.coalesce(F.col(group).cast("string"), F.lit("null")).alias("file"), line.alias("line")).repartition("file").sortWithinPartitions("file").write.format("jsonl_zstd").mode("append").save(path)

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Languages that a run takes by default.
+DEFAULT_LANGUAGES = tuple("bg cs da de el en es et fi fr ga hr hu it lt lv mt nl pl pt ro sk sl sv".split())
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(path) of a text file with one archive path per line, compressed or not."""
     return spark.read.text(path).where("value <> ''").withColumnRenamed("value", "path")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where the setting is unset."""
+    """The folder in spark.checkpoint.dir. Where the setting is unset, a temporary one on a local master, as in tests; on a cluster,
+    whose executors would not share it, an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = tempfile.mkdtemp(prefix="lexmill-")
@@ -22,8 +26,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
+    """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors. The table goes when the
+    session ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used, deleted when the session ends."""
+    path = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

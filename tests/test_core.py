@@ -129,7 +129,9 @@ def test_signatures_and_greedy_rounds_against_a_loop(spark):
 
 def test_weighted_scores(spark):
     docs = spark.createDataFrame([(1, "ab\n\nabcd", "en"), (2, "", "en")], "key long, text string, language string")
-    got = {r.key: r.scores for r in scoring.with_scores(docs, lambda lang: queries.LengthModel(), "key", prefix="q_").collect()}
+    scored = scoring.with_scores(docs, lambda lang: queries.LengthModel(), prefix="q_")
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r.key: r.scores for r in scored.collect()}
     assert math.isclose(got[1]["q_rand"], round((3 * 3 / 97 + 5 * 5 / 97) / 8, 2), abs_tol=0.0051) and got[2] == {}
 
 
