@@ -1,32 +1,13 @@
-"""Shared helpers of the operators: durable intermediate tables and input columns."""
+"""Shared helpers of the operators: input columns, sizes of exchanges and connected groups."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where the setting is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        app = spark.sparkContext.applicationId
-        path = _OWN.setdefault(app, "") or _OWN.update({app: tempfile.mkdtemp(prefix="lexmill-")}) or _OWN[app]
-    return path.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..storage import new_folder, stored  # noqa: F401 - for the operators
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,5 +24,30 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
-def lit_list(values) -> list:
-    return [F.lit(v) for v in values]
+def exchange_sizes(items: int, bucket: int, chunk: int, most_rows: int = 32) -> tuple[int, int]:
+    """Number of buckets and items of a chunk for a packed exchange of so many items.
+
+    A chunk is cut into a value for each bucket, so that these get small where there are many of both. Beyond the least sizes
+    ``bucket`` and ``chunk`` both grow with the square root of the table, and a value holds ``most_rows`` items on average at any
+    size: 30 million items for a bucket and a chunk at 3e13 items."""
+    both = math.isqrt(most_rows * max(0, items))
+    return max(1, -(-items // max(bucket, both))), max(chunk, both)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of the nodes that have edges to others, roots excepted: the least node of each connected group, by
+    alternating large-star and small-star rounds."""
+    edges = stored(edges.toDF("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "groups-0")
+    before = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        edges = stored(small, "groups")
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before = state

@@ -1,32 +1,41 @@
 """N-gram Jaccard self-join by token-combination prefixes.
 
-Documents are sets of word n-grams (lower-cased runs of letters, digits and non-ASCII characters); the join finds
-all pairs of sets with Jaccard similarity of at least ``threshold``, exactly.
+Documents are sets of word n-grams (lower-cased runs of letters, digits and non-ASCII characters), called tokens here; the
+join finds every two sets with a Jaccard similarity of at least ``threshold``, exactly.
 
-Tokens of all sets are put in one global order, rare ones first, by the counts of a fixed-size sketch over the
-whole table. A set x of m tokens that is similar to y misses at most tau = m - ceil(threshold * m) of its tokens in
-y. Tokens that the sketch knows as frequent form groups; x indexes single rare tokens, and for frequent ones the
+Tokens of all sets are in one global order, rare ones first, by their exact counts over the table. The counts come from a packed
+exchange: every token goes to the bucket of its hash (5 bytes, and 6 for each document in a bucket), and those that
+more than one document has come back to their documents with their counts. A set of m tokens must share at least threshold *
+m of them, so that a document with fewer of those is done. The tokens of the others, 6 bytes each, are all that is needed from
+here on; texts are read once and never cross the network.
+
+A set x that is similar to y misses at most tau = m - ceil(threshold * m) of its tokens in y. Tokens with more than OFTEN
+documents are frequent and form groups; x indexes single rare tokens, and for frequent ones the
 2-combinations within a group, of a prefix so long that not sharing any index entry would mean missing more than
-tau: a rare token adds one to that bound, a group of j frequent tokens adds j - 1, so that prefixes extend past
-tau + 1 tokens as far as frequent tokens are in them. They extend further until the bound is tau + k, k growing with
-the set; then similar sets share k entries at least, and pairs that share fewer are no candidates. Groups scale with the set: spaces by powers of two of the
-size, and each set indexes its own space and the one below, so that any two similar sets have a space in common;
+tau: a token that no other set has adds one to that bound and is no entry, a rare one adds one, a group of j frequent tokens
+adds j - 1, so that prefixes extend past tau + 1 tokens as far as frequent tokens are in them. Groups scale with the set: spaces
+by powers of two of the size, and each set indexes its own space and the one below, so that any two similar sets have a space in common;
 in the lowest spaces, frequent tokens are indexed singly too. Whichever prefix ends first in the global order holds
 for both sets, so no similar pair is lost.
 
-Index entries are exchanged packed, 8 bytes and a 2-byte document number each, by hash bucket. Each bucket pairs
-the sets that share an entry, within the length bound; a second exchange adds up how many entries a pair shares
-(10 bytes a pair). Candidates are then verified exactly: sets meet in blocks of
-documents, and a document is sent only to the blocks in which it has a partner. Equal sets are one set throughout.
+Each bucket of the index pairs the sets that share an entry, within the length bound. With every set come its SIGNATURE least
+entries: two sets that have some of these in common are a candidate only in the bucket of the least of them, others in each bucket
+in which they meet. Candidates are then verified exactly: sets meet in blocks, and a set is sent only to the blocks in which it has a
+partner. Blocks return the number of similar documents of each set and one edge for each set of a group, not pairs.
+Equal sets are one set throughout. Chunks and buckets grow with the square root of the table beyond their least sizes, so
+that the packed values keep their size.
+
+Result: (doc_id, class_id, n_links), one row per document: the least doc_id of all documents that are linked to it
+directly or through others, and how many other documents are similar to it, those with an equal set included. Similar texts
+are compared one by one: in a group of c different near copies that is c * c / 2 comparisons, in blocks, but not as many rows.
 
-Result: (doc_a, doc_b, jaccard), doc_a < doc_b. A set stands for its first document; a pair of different sets is
-one row between first documents, and every other document of a set is one row with its first, at 1.0. All
-similar pairs follow, and groups of thousands of copies give thousands of rows instead of millions.
+Defined results: texts without words, null texts included, have no set, no links and a class of their own; texts shorter
+than n words have one n-gram, the whole; rows without doc_id are left out; rows with the same doc_id and set are one document;
+those with the same doc_id and different sets are documents of their own with a row each, which may be linked to one another; of a doc_id
+that has sets, texts without words give no row; an empty table gives no rows; other columns are ignored by ``linked`` and
+kept by ``keep_one`` and ``keep_one_row``.
 
-Defined results: texts without words, null texts included, have no set and no partner; texts shorter than n words
-have one n-gram, the whole; rows without doc_id are left out; rows with the same doc_id and set are one document,
-those with the same doc_id and different sets may each have partners, but never one another;
-an empty table gives no rows; other columns are ignored by ``similar_pairs`` and kept by ``keep_one`` and ``keep_one_row``.
+Tokens are told apart by 64-bit hashes, cut to 40 bits within a bucket of the count and to 48 bits in the comparison of two sets.
 """
 
 from __future__ import annotations
@@ -35,26 +44,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
-from .kernels import U, WORD, lean, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
+from .common import components, exchange_sizes, stored, text_bytes
+from .kernels import U, WORD, group_roots, lean, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
 
 NGRAM = 4
 THRESHOLD = 0.5
-SKETCH = 1 << 20
-_SLICES = 16
-#: Bytes of text whose index entries share a bucket, and documents that share a block of the verification.
-BUCKET_BYTES = 8 << 20
+#: Tokens of more documents than this are frequent.
+OFTEN = 64
+#: Least numbers of tokens, or index entries, that share a bucket and that a map task packs together.
+BUCKET_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19
+#: Sets that share a block of the verification.
 BLOCK_DOCS = 2048
-#: Index entries that a map task packs together.
-CHUNK_ENTRIES = 300_000
 #: Sets of fewer than 2^_TINY tokens are in spaces without combinations; a group has about _GROUP tokens.
 _TINY = 3
 _GROUP = 4
-#: A set of m tokens shares at least 1 + m // _EXTEND entries with similar ones, at most 255.
-_EXTEND = 32
+#: Least entries of a set that travel with its other entries, 6 bytes each.
+SIGNATURE = 6
+_NONE = U((1 << 48) - 1)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,15 +83,14 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.concatenate(hashes), np.concatenate(rows)
 
 
-def sets(data: np.ndarray, offsets: np.ndarray, n: int, rank=None):
-    """(hash, row, order key) of each row's distinct n-grams, by row, then rank, then hash."""
+def sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of each row's distinct n-grams, by row, then hash."""
     hashed, row = shingles(data, offsets, n)
-    key = np.zeros(len(hashed), np.int64) if rank is None else rank(hashed)
-    order = np.lexsort((hashed, key, row))
-    hashed, row, key = hashed[order], row[order], key[order]
+    order = np.lexsort((hashed, row))
+    hashed, row = hashed[order], row[order]
     new = np.ones(len(hashed), bool)
     new[1:] = (hashed[1:] != hashed[:-1]) | (row[1:] != row[:-1])
-    return hashed[new], row[new], key[new]
+    return hashed[new], row[new]
 
 
 def fingerprints(hashed: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,18 +106,12 @@ def _needed(size: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(threshold * size - 1e-9).astype(np.int64)
 
 
-def shared_entries(size: np.ndarray, threshold: float) -> np.ndarray:
-    """k: how many index entries a set of this size shares with any similar one at least. With all tokens in the
-    prefix the bound is size - groups, so k cannot be more than that less tau."""
-    room = _needed(size, threshold) - np.maximum(1, size // _GROUP)
-    return np.clip(room, 1, np.minimum(255, 1 + size // _EXTEND))
-
-
-def index_entries(hashed: np.ndarray, row: np.ndarray, frequent: np.ndarray, n_rows: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(entry, row): what the prefix of each set puts into the index. Sets come by row, then global order."""
+def index_entries(hashed: np.ndarray, row: np.ndarray, frequent: np.ndarray, size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(entry, row): what the prefix of each set puts into the index. Tokens come by row, then global order, without those
+    that no other set has, which are the first of their set and use up its prefix; ``size`` counts them too."""
+    n_rows = len(size)
     starts = row_starts(row, n_rows)
-    size = np.diff(starts)
-    tau = size - _needed(size, threshold) + shared_entries(size, threshold) - 1
+    tau = size - _needed(size, threshold) - (size - np.diff(starts))
     place = np.arange(len(row)) - starts[row]
     base = place <= tau[row]
     hot_row = np.zeros(n_rows, bool)
@@ -151,32 +155,76 @@ def index_entries(hashed: np.ndarray, row: np.ndarray, frequent: np.ndarray, n_r
     return np.concatenate(entries), np.concatenate(rows)
 
 
-def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    key = np.concatenate([x[0] for x in found])
-    order = np.argsort(key)
-    key, count = key[order], np.concatenate([x[1] for x in found])[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(key) else count
-
-
-def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold: float, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (a << 32 | b, a < b) of members that share entries and whose sizes allow the threshold, and how many they
-    share."""
-    order = np.argsort(entry)
-    e, m = entry[order], member[order]
-    same = np.zeros(len(e) + 1, bool)
-    same[1:-1] = e[1:] == e[:-1]
-    shared = same[1:] | same[:-1]
-    e, m = e[shared], m[shared]
-    order = np.lexsort((m, e))
-    e, m = e[order], m[order]
+def short(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of 64-bit words."""
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def long(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8").reshape(-1)
+
+
+def runs(member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(member, length) of the runs of an array, none longer than 65,535."""
+    head = np.flatnonzero(np.diff(member, prepend=-1))
+    n = np.diff(np.append(head, len(member)))
+    parts = np.maximum(1, -(-n // 0xFFFF))
+    last = np.cumsum(parts) - 1
+    lengths = np.full(int(parts.sum()), 0xFFFF, np.int64)
+    lengths[last] = n - (parts - 1) * 0xFFFF
+    return np.repeat(member[head], parts), lengths
+
+
+def rarity(count: np.ndarray) -> np.ndarray:
+    """A byte that ascends with the count: itself up to 128, then eight steps for each doubling."""
+    steps = 128 + np.floor(np.log2(np.maximum(count, 128) / 128.0) * 8)
+    return np.where(count <= 128, count, np.minimum(steps, 255)).astype(np.uint8)
+
+
+def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold: float, most: int = 500_000, small: int = 24) -> np.ndarray:
+    """Pairs (a << 32 | b, a < b) of members that share an entry and whose sizes allow the threshold.
+
+    Entries with up to ``small`` members are paired one by one. Larger ones mostly have the same members, near copies, which would meet
+    hundreds of times: of every group of members that such entries link, the matrix of members by entries is multiplied with its
+    transpose, where that is less work."""
+    order = np.lexsort((member, entry))
+    e, m = entry[order], member[order].astype(np.int64)
     new = np.ones(len(e), bool)
     new[1:] = (e[1:] != e[:-1]) | (m[1:] != m[:-1])
-    e, m = e[new], m[new].astype(np.int64)
+    e, m = e[new], m[new]
+    head = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]])) if len(e) else np.zeros(0, np.int64)
+    length = np.diff(np.append(head, len(e)))
+    n_of = np.repeat(length, length)
+    found = [np.zeros(0, np.int64)]
+    large = np.flatnonzero(n_of > small)
+    if len(large):
+        number = np.repeat(np.arange(len(length)), length)[large]
+        who, own = np.unique(m[large], return_inverse=True)
+        root = group_roots(len(who), own, np.repeat(own[np.searchsorted(number, np.unique(number))], length[length > small]))
+        group = root[own]
+        order = np.argsort(group, kind="stable")
+        edge = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+        single = np.zeros(len(e), bool)
+        for s, t in zip(edge[:-1], edge[1:]):
+            at = order[s:t]
+            docs, row = np.unique(own[at], return_inverse=True)
+            entries, col = np.unique(number[at], return_inverse=True)
+            if len(docs) ** 2 * len(entries) > 500.0 * float((length[entries] ** 2).sum()):
+                single[large[at]] = True  # few of the members share each entry
+            else:
+                found.append(_multiplied(row, col, who[docs], len(entries), size, threshold))
+        single |= n_of <= small
+        e, m = e[single], m[single]
+    keep = np.zeros(len(e), bool)
+    keep[1:] = e[1:] == e[:-1]
+    keep[:-1] |= keep[1:]
+    e, m = e[keep], m[keep]
     end = np.searchsorted(e, e, "right") if len(e) else np.zeros(0, np.int64)
     left = end - np.arange(len(e)) - 1  # partners after each one
     total = np.cumsum(left)
-    found, held, limit, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0, 4 * most, 0
+    held, limit, at = sum(map(len, found)), 4 * most, 0
     while at < len(e):
         to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
         n = left[at:to]
@@ -184,162 +232,243 @@ def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold:
         b = a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         a, b = m[a], m[b]
         ok = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9
-        found.append((a[ok] << 32 | b[ok], np.ones(ok.sum(), np.int64)))
-        held += len(found[-1][0])
+        found.append(np.unique(a[ok] << 32 | b[ok]))
+        held += len(found[-1])
         if held > limit:
-            found = [_added(found)]
-            held = len(found[0][0])
+            found = [np.unique(np.concatenate(found))]
+            held = len(found[0])
             limit = max(4 * most, 2 * held)
         at = to
-    return _added(found)
+    return np.unique(np.concatenate(found))
+
+
+def _multiplied(row: np.ndarray, col: np.ndarray, docs: np.ndarray, width: int, size: np.ndarray, threshold: float, block: int = 1024, columns: int = 4096) -> np.ndarray:
+    """Pairs of the group of members ``docs``, which have an entry where (row, col) says; memory is a few blocks."""
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    parts = [(row[i:j], col[i:j] - c) for c in range(0, width, columns) for i, j in [np.searchsorted(col, [c, c + columns])]]
+    out = [np.zeros(0, np.int64)]
+    for s in range(0, len(docs), block):
+        for t in range(s, len(docs), block):
+            share = 0
+            for r, c in parts:
+                one = np.zeros((min(block, len(docs) - s), columns), np.float32)
+                mine = (r >= s) & (r < s + block)
+                one[r[mine] - s, c[mine]] = 1
+                two = one
+                if t > s:
+                    two = np.zeros((min(block, len(docs) - t), columns), np.float32)
+                    mine = (r >= t) & (r < t + block)
+                    two[r[mine] - t, c[mine]] = 1
+                share = share + one @ two.T
+            i, j = np.nonzero(share)
+            a, b = docs[s + i], docs[t + j]
+            ok = (a < b) & (np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9)
+            out.append(a[ok] << 32 | b[ok])
+    return np.concatenate(out)
+
+
+def least_common(one: np.ndarray, two: np.ndarray, block: int = 1 << 17) -> np.ndarray:
+    """Least value that two rows of signatures, padded with _NONE, have in common; _NONE where there is none."""
+    out = np.full(len(one), _NONE, U)
+    for s in range(0, len(one), block):
+        a, b = one[s : s + block], two[s : s + block]
+        for i in range(a.shape[1]):
+            x = a[:, i]
+            hit = (b == x[:, None]).any(1) & (x != _NONE)
+            out[s : s + block] = np.where(hit, np.minimum(out[s : s + block], x), out[s : s + block])
+    return out
 
 
 def _clean(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text")).where(F.col("doc_id").isNotNull())
 
 
-def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """Counts of all n-grams of the table in SKETCH cells; its size is the same for any table."""
+def token_sets(docs: DataFrame, n: int, threshold: float, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """(chunk, nth, doc_id, print, size, tokens, n_rare): every document that has a set, with the fingerprint and size of
+    it; (chunk, nth) identify the row. ``tokens`` are the n-grams that other sets have too, 6 bytes each, by exact count
+    over the table and then by hash, the first ``n_rare`` of them rare; null where there are too few for any partner."""
+    buckets, chunk_tokens = exchange_sizes(text_bytes(docs) // 6, bucket_tokens, chunk_tokens)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            for piece in pieces(batch):
-                counts += np.bincount((shingles(*utf8(piece.column("text")), n)[0] % U(SKETCH)).astype(np.int64), minlength=SKETCH)
-        parts = np.minimum(counts, (1 << 32) - 1).astype(np.uint32).reshape(_SLICES, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, nth, held, rows, held_tokens = TaskContext.get().partitionId(), 0, [], 0, 0
 
-    def total(table: pa.Table) -> pa.Table:
-        counts = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist())
-        return pa.table({"part": table.column("part")[:1], "counts": pa.array([np.minimum(counts, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())})
+        def flush():
+            hashed, number, ids, prints, size = (np.concatenate(x) for x in zip(*held))
+            chunk = int(mix(np.array([part << 32 | nth], U))[0] ^ np.bitwise_xor.reduce(mix(ids.view(U) + prints.view(U)))) >> 1
+            bucket = (hashed % U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+            order = np.argsort(bucket, kind="stable")
+            token, number, bucket = (hashed // U(buckets))[order], number[order], bucket[order]
+            starts = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+            edges = np.append(starts, len(order)).tolist()
+            full = bucket[starts].tolist() if len(order) else []
+            out = {"bucket": full, "chunk": [chunk] * len(full), "kind": [0] * len(full), "a": [], "b": [], "c": []}
+            for i in range(len(full)):
+                member, length = runs(number[edges[i] : edges[i + 1]])
+                out["a"].append(short(token[edges[i] : edges[i + 1]], 5))
+                out["b"].append(member.astype(np.uint32).tobytes())
+                out["c"].append(length.astype(np.uint16).tobytes())
+            for k, v in zip(out, (chunk % buckets, chunk, 1, ids.tobytes(), prints.tobytes(), size.astype(np.uint32).tobytes())):
+                out[k].append(v)
+            return pa.RecordBatch.from_pydict({k: pa.array(v, {"bucket": pa.int32(), "chunk": pa.int64(), "kind": pa.int32()}.get(k, pa.binary())) for k, v in out.items()})
 
-    rows = docs.mapInArrow(add, "part int, counts binary").groupBy("part").applyInArrow(total, "part int, counts binary").collect()
-    found = np.zeros((_SLICES, SKETCH // _SLICES), np.uint32)
-    for part, counts in rows:
-        found[part] = np.frombuffer(counts, np.uint32)
-    return found.reshape(-1)
+        for batch in batches:
+            for piece in pieces(batch):
+                hashed, row = sets(*utf8(piece.column("text")), n)
+                prints, size = fingerprints(hashed, row, piece.num_rows)
+                held.append((mix(hashed), row + rows, piece.column("doc_id").to_numpy().astype(np.int64), prints, size))
+                rows += piece.num_rows
+                held_tokens += len(hashed)
+                if held_tokens >= chunk_tokens or rows >= chunk_tokens:
+                    yield flush()
+                    held, rows, held_tokens, nth = [], 0, 0, nth + 1
+        if held:
+            yield flush()
 
+    def count(table: pa.Table) -> pa.Table:
+        lean()
+        bucket = U(table.column("bucket")[0].as_py())
+        kind, chunk = table.column("kind").to_numpy(), table.column("chunk").to_numpy()
+        a, b, c = (table.column(k) for k in "abc")
+        own = np.flatnonzero(kind == 0)
+        token = long(b"".join(a[i].as_py() for i in own), 5)
+        ends = np.cumsum([len(a[i].as_buffer()) // 5 for i in own], dtype=np.int64)
+        order = np.argsort(token)
+        ordered = token[order]
+        head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(order) else order
+        length = np.diff(np.append(head, len(order)))
+        code = np.empty(len(order), np.uint8)
+        code[order] = np.repeat(rarity(length), length)
+        token = mix(token * U(buckets) + bucket)
+        out = {k: [] for k in ("chunk", "kind", "a", "b", "c", "d")}
+        for i, s, e in zip(own.tolist(), (ends - np.diff(ends, prepend=0)).tolist(), ends.tolist()):
+            some = np.flatnonzero(code[s:e] > 1)
+            if len(some):
+                number = np.repeat(np.frombuffer(b[i].as_py(), np.uint32), np.frombuffer(c[i].as_py(), np.uint16))
+                member, length = runs(number[some].astype(np.int64))
+                for k, v in zip(out, (chunk[i], 0, short(token[s:e][some], 6), code[s:e][some].tobytes(), member.astype(np.uint32).tobytes(), length.astype(np.uint16).tobytes())):
+                    out[k].append(v)
+        for i in np.flatnonzero(kind == 1).tolist():
+            for k, v in zip(out, (chunk[i], 1, a[i].as_py(), b[i].as_py(), c[i].as_py(), b"")):
+                out[k].append(v)
+        return pa.table({k: pa.array(v, {"chunk": pa.int64(), "kind": pa.int32()}.get(k, pa.binary())) for k, v in out.items()})
 
-def candidates(docs: DataFrame, n: int, threshold: float, bucket_bytes: int = BUCKET_BYTES, chunk_entries: int = CHUNK_ENTRIES) -> DataFrame:
-    """(kind, a, b): pairs of set fingerprints that share enough entries (kind 0) and (doc_id, fingerprint) of every
-    document (kind 1)."""
-    counts = sketch(docs, n)
-    often = 2 * int(np.median(counts)) + 64
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
-    buckets = max(1, -(-text_bytes(docs) // bucket_bytes))
+    def gather(table: pa.Table) -> pa.Table:
+        lean()
+        kind = table.column("kind").to_numpy()
+        a, b, c, d = (table.column(k) for k in "abcd")
+        meta = np.flatnonzero(kind == 1)
+        if len(meta) != 1:
+            raise RuntimeError("a chunk came without its documents: the input gave other rows when it was read again")
+        ids, prints, size = (np.frombuffer(x[int(meta[0])].as_py(), t) for x, t in ((a, np.int64), (b, np.int64), (c, np.uint32)))
+        own = np.flatnonzero(kind == 0).tolist()
+        token = long(b"".join(a[i].as_py() for i in own), 6)
+        code = np.frombuffer(b"".join(b[i].as_py() for i in own), np.uint8)
+        number = np.repeat(np.frombuffer(b"".join(c[i].as_py() for i in own), np.uint32), np.frombuffer(b"".join(d[i].as_py() for i in own), np.uint16)).astype(np.int64)
+        left = np.bincount(number, minlength=len(ids))
+        may = (size > 0) & (left >= _needed(size.astype(np.int64), threshold))
+        some = np.flatnonzero(may[number])
+        token, code, number = token[some], code[some], number[some]
+        order = np.lexsort((token, code, number))
+        token, code, number = token[order], code[order], number[order]
+        edges = row_starts(number, len(ids))
+        rare = np.bincount(number[code <= OFTEN], minlength=len(ids))
+        full = np.flatnonzero(size > 0)
+        data = short(token, 6)
+        return pa.table(
+            {
+                "chunk": pa.array(np.full(len(full), table.column("chunk")[0].as_py()), pa.int64()),
+                "nth": pa.array(full, pa.int32()),
+                "doc_id": pa.array(ids[full], pa.int64()),
+                "print": pa.array(prints[full], pa.int64()),
+                "size": pa.array(size[full], pa.int64()),
+                "tokens": pa.array([data[6 * edges[i] : 6 * edges[i + 1]] if may[i] else None for i in full.tolist()], pa.binary()),
+                "n_rare": pa.array(rare[full], pa.int64()),
+            }
+        )
+
+    packed = docs.mapInArrow(pack, "bucket int, chunk long, kind int, a binary, b binary, c binary")
+    counted = packed.groupBy("bucket").applyInArrow(count, "chunk long, kind int, a binary, b binary, c binary, d binary")
+    return counted.groupBy("chunk").applyInArrow(gather, "chunk long, nth int, doc_id long, print long, size long, tokens binary, n_rare long")
+
+
+def candidates(sets_: DataFrame, threshold: float, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """(a, b): pairs of set fingerprints, a < b, that share an index entry, each pair once."""
+    own = sets_.where("tokens IS NOT NULL").select("print", "size", "tokens", "n_rare")
+    total = own.agg(F.sum(F.octet_length("tokens") / 6)).first()[0] or 0
+    buckets, chunk_tokens = exchange_sizes(int(total), bucket_tokens, chunk_tokens)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = lambda h: shared.value[(h % U(SKETCH)).astype(np.int64)].astype(np.int64)
-        held, size_held = [], 0
+        held, rows, held_entries = [], 0, 0
 
         def flush():
-            entry, number, ids, prints, size = (np.concatenate(x) for x in zip(*held))
-            bucket = (mix(entry) % U(buckets)).astype(np.int64)
+            entry, number, prints, size = (np.concatenate(x) for x in list(zip(*held))[:4])
+            sign = np.concatenate([x[4] for x in held])
+            bucket = (entry % U(buckets)).astype(np.int64)
             order = np.lexsort((number, bucket))
-            entry, number = entry[order], number[order]
-            used, starts = np.unique(bucket[order], return_index=True)
-            edges = np.append(starts, len(order))
-            out = {"bucket": [], "kind": [], "a": [], "b": [], "c": [], "d": []}
-            for i, b in enumerate(used.tolist()):
-                own, at = np.unique(number[edges[i] : edges[i + 1]], return_inverse=True)
-                for k, v in zip(out, (b, 0, entry[edges[i] : edges[i + 1]].tobytes(), at.astype(np.uint32 if len(own) > 1 << 16 else np.uint16).tobytes(), prints[own].tobytes(), size[own].astype(np.uint32).tobytes())):
-                    out[k].append(v)
-            full = size > 0
-            if full.any():
-                for k, v in zip(out, (int(ids[0] % buckets), 1, ids[full].tobytes(), prints[full].tobytes(), b"", b"")):
+            entry, number, bucket = entry[order], number[order], bucket[order]
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            edges = np.append(starts, len(order)).tolist()
+            out = {k: [] for k in ("bucket", "entry", "length", "print", "size", "sign")}
+            for i, b in enumerate(bucket[starts].tolist()):
+                member, length = runs(number[edges[i] : edges[i + 1]])
+                for k, v in zip(out, (b, short(entry[edges[i] : edges[i + 1]], 6), length.astype(np.uint16).tobytes(), prints[member].tobytes(), size[member].astype(np.uint32).tobytes(), short(sign[member].reshape(-1), 6))):
                     out[k].append(v)
-            return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k in ("bucket", "kind") else pa.binary()) for k, v in out.items()})
+            return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()})
 
-        rows = 0
         for batch in batches:
-            for piece in pieces(batch):
-                hashed, row, key = sets(*utf8(piece.column("text")), n, rank)
-                prints, size = fingerprints(hashed, row, piece.num_rows)
-                entry, owner = index_entries(hashed, row, key > often, piece.num_rows, threshold)
-                held.append((entry, owner + rows, piece.column("doc_id").to_numpy().astype(np.int64), prints, size))
-                rows += piece.num_rows
-                size_held += len(entry)
-                if size_held >= chunk_entries:
+            for s in range(0, batch.num_rows, 256):
+                part = batch.slice(s, 256)
+                data = part.column("tokens").to_pylist()
+                token = mix(long(b"".join(data), 6))
+                n = np.array([len(x) // 6 for x in data])
+                row = np.repeat(np.arange(len(data)), n)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                size, rare = part.column("size").to_numpy(), part.column("n_rare").to_numpy()
+                entry, owner = index_entries(token, row, place >= rare[row], size, threshold)
+                entry = mix(entry) >> U(16)
+                order = np.lexsort((entry, owner))
+                entry, owner = entry[order], owner[order]
+                new = np.concatenate([[True], (entry[1:] != entry[:-1]) | (owner[1:] != owner[:-1])]) if len(entry) else np.zeros(0, bool)
+                entry, owner = entry[new], owner[new]
+                nth = np.arange(len(owner)) - row_starts(owner, len(data))[owner]
+                sign = np.full((len(data), SIGNATURE), _NONE, U)
+                sign[owner[nth < SIGNATURE], nth[nth < SIGNATURE]] = entry[nth < SIGNATURE]
+                held.append((entry, owner + rows, part.column("print").to_numpy(), size, sign))
+                rows += part.num_rows
+                held_entries += len(entry)
+                if held_entries >= chunk_tokens:
                     yield flush()
-                    held, rows, size_held = [], 0, 0
+                    held, rows, held_entries = [], 0, 0
         if held:
             yield flush()
 
     def pair(table: pa.Table) -> pa.Table:
         lean()
-        kind = table.column("kind").to_numpy()
-        a, b, c, d = (table.column(k).to_pylist() for k in "abcd")
-        at, docs_at = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-        out = {"part": [], "kind": [], "a": [], "b": [], "c": [], "d": []}
-        if len(at):
-            entry = np.frombuffer(b"".join(a[i] for i in at), U)
-            prints = np.frombuffer(b"".join(c[i] for i in at), np.int64)
-            size = np.frombuffer(b"".join(d[i] for i in at), np.uint32).astype(np.int64)
-            member, base = [], 0
-            for i in at:
-                k = len(c[i]) // 8
-                member.append(np.frombuffer(b[i], np.uint32 if k > 1 << 16 else np.uint16).astype(np.int64) + base)
-                base += k
-            known, first, number = np.unique(prints, return_index=True, return_inverse=True)
-            size = size[first]
-            found, count = pairs_of(entry, number[np.concatenate(member)], size, threshold)
-            one, two = found >> 32, found & 0xFFFFFFFF
-            needs = shared_entries(size, threshold)
-            needs = np.minimum(needs[one], needs[two]).astype(np.uint8)
-            count = np.minimum(count, 255).astype(np.uint8)
-            part = (mix(known.view(U)) % U(buckets)).astype(np.int64)[one]
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(buckets + 1))
-            for p in np.flatnonzero(np.diff(edges)):
-                own = order[edges[p] : edges[p + 1]]  # still by a, then b
-                starts = np.flatnonzero(np.diff(one[own], prepend=-1))
-                lengths = np.diff(np.append(starts, len(own))).astype(np.uint32)
-                for k, v in zip(out, (int(p), 0, known[one[own][starts]].tobytes() + lengths.tobytes(), known[two[own]].tobytes(), count[own].tobytes(), needs[own].tobytes())):
-                    out[k].append(v)
-        for i in docs_at:
-            for k, v in zip(out, (i % buckets, 1, a[i], b[i], b"", b"")):
-                out[k].append(int(v) if k == "part" else v)
-        return pa.table({k: pa.array(v, pa.int32() if k in ("part", "kind") else pa.binary()) for k, v in out.items()})
-
-    def add(table: pa.Table) -> pa.Table:
-        lean()
-        kind = table.column("kind").to_numpy()
-        a, b, c, d = (table.column(k).to_pylist() for k in "abcd")
-        left, right, count, needs, ids, prints = [], [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in range(len(kind)):
-            if kind[i]:
-                ids.append(np.frombuffer(a[i], np.int64))
-                prints.append(np.frombuffer(b[i], np.int64))
-                continue
-            runs = len(a[i]) // 12
-            left.append(np.repeat(np.frombuffer(a[i], np.int64, runs), np.frombuffer(a[i], np.uint32, runs, 8 * runs)))
-            right.append(np.frombuffer(b[i], np.int64))
-            count.append(np.frombuffer(c[i], np.uint8))
-            needs.append(np.frombuffer(d[i], np.uint8))
-        if left:
-            left, right, count, needs = (np.concatenate(x) for x in (left, right, count, needs))
-            order = np.lexsort((right, left))
-            left, right = left[order], right[order]
-            first = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
-            some = first[np.add.reduceat(count[order].astype(np.int64), first) >= needs[order][first]]
-            left, right = left[some], right[some]
-        ids, prints = np.concatenate(ids), np.concatenate(prints)
-        return pa.table({"kind": np.repeat(np.array([0, 1], np.int32), [len(left), len(ids)]), "a": np.concatenate([np.asarray(left, np.int64), ids]), "b": np.concatenate([np.asarray(right, np.int64), prints])})
-
-    packed = docs.mapInArrow(pack, "bucket int, kind int, a binary, b binary, c binary, d binary")
-    paired = packed.groupBy("bucket").applyInArrow(pair, "part int, kind int, a binary, b binary, c binary, d binary")
-    return paired.groupBy("part").applyInArrow(add, "kind int, a long, b long")
-
-
-def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket_bytes: int = BUCKET_BYTES, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(doc_a, doc_b, jaccard) as said above."""
+        bucket = U(table.column("bucket")[0].as_py())
+        entry, length, prints, size, sign = (b"".join(table.column(k).to_pylist()) for k in ("entry", "length", "print", "size", "sign"))
+        known, first, number = np.unique(np.frombuffer(prints, np.int64), return_index=True, return_inverse=True)
+        size = np.frombuffer(size, np.uint32).astype(np.int64)[first]
+        sign = long(sign, 6).reshape(-1, SIGNATURE)[first]
+        found = pairs_of(long(entry, 6), np.repeat(number, np.frombuffer(length, np.uint16)), size, threshold)
+        one, two = found >> 32, found & 0xFFFFFFFF
+        common = least_common(sign[one], sign[two])
+        here = (common == _NONE) | (common % U(buckets) == bucket)
+        return pa.table({"a": known[one[here]], "b": known[two[here]]})
+
+    packed = own.mapInArrow(pack, "bucket int, entry binary, length binary, print binary, size binary, sign binary")
+    return packed.groupBy("bucket").applyInArrow(pair, "a long, b long").distinct()
+
+
+def linked_sets(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS, block_docs: int = BLOCK_DOCS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, print) of every document that has a set, and (print, docs, first, root, links): of every set how many
+    documents have it, the first of them, the root of its group and how many documents with other sets are similar."""
     if not 0.5 <= threshold <= 1:
         raise ValueError("the threshold must be in [0.5, 1]")
-    docs = _clean(docs)
-    found = stored(candidates(docs, ngram, threshold, bucket_bytes), "jaccard-candidates")
-    members = found.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("b").alias("print"))
-    firsts = members.groupBy("print").agg(F.min("doc_id").alias("first"))
-    pairs = found.where("kind = 0").select("a", "b")
+    found = stored(token_sets(_clean(docs), ngram, threshold, bucket_tokens, chunk_tokens), "jaccard-sets")
+    members = found.select("doc_id", "print").distinct()
+    known = members.groupBy("print").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
+    pairs = stored(candidates(found, threshold, bucket_tokens, chunk_tokens), "jaccard-candidates")
     # copies of one text mostly share their least partner: by it they come into one block, and hardly any pair is across
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("print"), F.col("b").alias("other")), F.struct(F.col("b").alias("print"), F.col("a").alias("other")))).alias("x")).select("x.*")
     label = ends.groupBy("print").agg(F.least(F.col("print"), F.min("other")).alias("label"))
@@ -349,74 +478,67 @@ def similar_pairs(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESH
     label = label.select("print", F.pmod(F.xxhash64("label", "part"), F.lit(blocks)).alias("block"))
     placed = pairs.join(label.toDF("a", "block_a"), "a").join(label.toDF("b", "block_b"), "b")
     placed = placed.select("a", "b", (F.least("block_a", "block_b") * blocks + F.greatest("block_a", "block_b")).alias("block"))
-    need = placed.select("block", F.explode(F.array("a", "b")).alias("print")).distinct().join(firsts, "print")
-    wanted = need.groupBy("first").agg(F.collect_set("block").alias("blocks")).withColumnRenamed("first", "doc_id")
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", F.explode("blocks").alias("block"))
+    # of the rows that have a set, the tokens of one are read
+    row = found.where("tokens IS NOT NULL").groupBy("print").agg(F.min(F.struct("doc_id", "chunk", "nth")).alias("row")).join(known, "print").select("print", "row.chunk", "row.nth", "docs")
+    wanted = placed.select("block", F.explode(F.array("a", "b")).alias("print")).distinct().groupBy("print").agg(F.collect_set("block").alias("blocks")).join(row, "print").drop("print")
+    arrays = found.where("tokens IS NOT NULL").select("chunk", "nth", "print", "size", "tokens").join(wanted, ["chunk", "nth"]).select("print", "size", "tokens", "docs", F.explode("blocks").alias("block"))
 
     def verify(left: pa.Table, right: pa.Table) -> pa.Table:
         lean()
         a, b = left.column("a").to_numpy(), left.column("b").to_numpy()
-        none = pa.table({"doc_a": pa.array([], pa.int64()), "doc_b": pa.array([], pa.int64()), "jaccard": pa.array([], pa.float64())})
-        if not len(a) or not right.num_rows:
+        none = pa.table({"print": pa.array([], pa.int64()), "root": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        if not len(a):
             return none
-        hashes, rows, base = [], [], 0
-        for batch in right.select(["text"]).combine_chunks().to_batches():
-            for piece in pieces(batch):
-                h, r, _ = sets(*utf8(piece.column("text")), ngram)
-                hashes.append(h)
-                rows.append(r + base)
-                base += piece.num_rows
-        hashed, row, ids = np.concatenate(hashes), np.concatenate(rows), right.column("doc_id").to_numpy()
-        prints, size = fingerprints(hashed, row, base)
-        token = np.unique(hashed, return_inverse=True)[1]
-        starts = row_starts(row, base)
+        prints, size, docs_ = (right.column(k).to_numpy() for k in ("print", "size", "docs"))
+        data = right.column("tokens").to_pylist()
+        token = np.unique(long(b"".join(data), 6), return_inverse=True)[1]
+        starts = np.concatenate([[0], np.cumsum([len(x) // 6 for x in data])])
         where = np.argsort(prints)
-        at = lambda x: where[np.minimum(np.searchsorted(prints[where], x), base - 1)]
-        i, j = at(a), at(b)
-        known = (prints[i] == a) & (prints[j] == b)
-        if not known.all():
-            raise RuntimeError("a document of a candidate pair is missing: the input gave other rows when it was read again")
+        at = lambda x: where[np.minimum(np.searchsorted(prints[where], x), len(prints) - 1)]
+        i, j = (at(a), at(b)) if len(prints) else (a, b)
+        if not len(prints) or not ((prints[i] == a) & (prints[j] == b)).all():
+            raise RuntimeError("a set of a candidate pair is missing: the input gave other rows when it was read again")
         order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
         held = np.zeros(int(token.max()) + 1, bool)
         shared = np.zeros(len(a), np.int64)
-        edge = np.flatnonzero(np.diff(i[order], prepend=-1, append=-1))
+        own_size = np.diff(starts)
+        edge = np.flatnonzero(np.diff(i, prepend=-1, append=-1))
         for s, e in zip(edge[:-1], edge[1:]):
-            one = i[order[s]]
-            own = token[starts[one] : starts[one + 1]]
+            own = token[starts[i[s]] : starts[i[s] + 1]]
             held[own] = True
             for f in range(s, e, 1024):
-                js = j[order[f : min(e, f + 1024)]]
-                n = size[js]
+                js = j[f : min(e, f + 1024)]
+                n = own_size[js]
                 first = np.cumsum(n) - n
                 flat = np.arange(n.sum()) + np.repeat(starts[js] - first, n)
-                shared[order[f : min(e, f + 1024)]] = np.add.reduceat(held[token[flat]].astype(np.int64), first)
+                shared[f : min(e, f + 1024)] = np.add.reduceat(held[token[flat]].astype(np.int64), first)
             held[own] = False
-        jaccard = shared / (size[i] + size[j] - shared)
-        ok = jaccard >= threshold
-        one, two = ids[i[ok]], ids[j[ok]]
-        return pa.table({"doc_a": np.minimum(one, two), "doc_b": np.maximum(one, two), "jaccard": jaccard[ok]})
-
-    unlike = placed.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(verify, "doc_a long, doc_b long, jaccard double")
-    alike = members.join(firsts, "print").where(F.col("doc_id") != F.col("first")).select(F.col("first").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard")).distinct()
-    return unlike.where("doc_a <> doc_b").unionByName(alike)
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(doc_id, root): the least id of each connected group, by alternating large-star and small-star rounds."""
-    edges = stored(edges.toDF("u", "v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "groups-0")
-    before = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        edges = stored(small, "groups")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("root"))
-        before = state
+        ok = shared / (size[i] + size[j] - shared) >= threshold
+        i, j = i[ok], j[ok]
+        if not len(i):
+            return none
+        links = np.bincount(i, docs_[j], len(prints)) + np.bincount(j, docs_[i], len(prints))
+        root = prints[group_roots(len(prints), i, j)]
+        some = np.flatnonzero(links > 0)
+        return pa.table({"print": prints[some], "root": root[some], "links": links[some].astype(np.int64)})
+
+    unlike = stored(placed.groupBy("block").cogroup(arrays.groupBy("block")).applyInArrow(verify, "print long, root long, links long"), "jaccard-links")
+    links = unlike.groupBy("print").agg(F.sum("links").alias("links"))
+    roots = components(unlike.select("print", "root")).toDF("print", "root")
+    known = known.join(links, "print", "left").join(roots, "print", "left")
+    return members, known.select("print", "docs", "first", F.coalesce("root", "print").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def linked(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(doc_id, class_id, n_links) as said above."""
+    members, known = linked_sets(docs, ngram, threshold, bucket_tokens, chunk_tokens, block_docs)
+    classes = known.groupBy("root").agg(F.min("first").alias("class_id"))
+    known = known.join(classes, "root").select("print", "class_id", (F.col("docs") - 1 + F.col("links")).alias("n_links"))
+    own = members.join(known, "print").select("doc_id", "class_id", "n_links")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    alone = ids.join(members.select("doc_id"), "doc_id", "left_anti").distinct().select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return own.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD) -> DataFrame:
@@ -424,7 +546,7 @@ def keep_one(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD)
 
     Rows with the same doc_id stay or go together; rows without doc_id stay.
     """
-    gone = components(similar_pairs(docs, ngram, threshold).select("doc_a", "doc_b")).select(F.col("doc_id").alias("__lexmill_id"))
+    gone = linked(docs, ngram, threshold).groupBy("doc_id").agg(F.min("class_id").alias("first")).where("first < doc_id").select(F.col("doc_id").alias("__lexmill_id"))
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__lexmill_id"], "left_anti")
 
 
@@ -461,17 +583,20 @@ def keep_one_row(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHO
     found = stored(found.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank), "jaccard-special")
     plain = marked.join(special, same(marked, special), "left_anti").select(*docs.columns, F.col(id_).alias(key))
     keyed = plain.unionByName(found)
-    gone = components(similar_pairs(keyed.select(F.col(key).alias("doc_id"), "text"), ngram, threshold).select("doc_a", "doc_b")).select(F.col("doc_id").alias(id_))
+    gone = linked(keyed.select(F.col(key).alias("doc_id"), "text"), ngram, threshold).where("class_id < doc_id").select(F.col("doc_id").alias(id_))
     return keyed.join(gone, keyed[key] == gone[id_], "left_anti").drop(key)
 
 
 def sql(ngram: int = NGRAM, threshold: float = THRESHOLD) -> str:
-    """The join in DuckDB, by counting the n-grams that each two sets share."""
+    """The join in DuckDB, by counting the n-grams that each two sets share, and the groups by following the links."""
     return f"""
-    WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents WHERE doc_id IS NOT NULL),
-    g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) < {ngram} THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - {ngram - 2}), lambda i: array_to_string(list_slice(ws, i, i + {ngram - 1}), ' ')) END)) AS s FROM d WHERE len(ws) > 0),
-    m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS first, s FROM g),
-    f AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM m WHERE doc_id = first),
-    o AS (SELECT x.doc_id AS doc_a, y.doc_id AS doc_b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS o FROM f x JOIN f y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY 1, 2)
-    SELECT doc_a, doc_b, o::DOUBLE / (na + nb - o) AS jaccard FROM o WHERE o::DOUBLE / (na + nb - o) >= {threshold}
-    UNION ALL SELECT DISTINCT first, doc_id, 1.0::DOUBLE FROM m WHERE doc_id <> first"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents WHERE doc_id IS NOT NULL),
+    g AS (SELECT DISTINCT doc_id, list_sort(list_distinct(CASE WHEN len(ws) < {ngram} THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - {ngram - 2}), lambda i: array_to_string(list_slice(ws, i, i + {ngram - 1}), ' ')) END)) AS s FROM d WHERE len(ws) > 0),
+    n AS (SELECT s, row_number() OVER () AS k, len(s) AS m, min(doc_id) AS first, count(*) AS docs FROM g GROUP BY s),
+    f AS (SELECT k, m, docs, unnest(s) AS t FROM n),
+    o AS (SELECT x.k AS a, y.k AS b, any_value(y.docs) AS docs FROM f x JOIN f y ON x.t = y.t AND x.k <> y.k GROUP BY x.k, y.k HAVING count(*)::DOUBLE / (any_value(x.m) + any_value(y.m) - count(*)) >= {threshold}),
+    r AS (SELECT k, k AS root FROM n UNION SELECT o.b, r.root FROM r JOIN o ON o.a = r.k),
+    c AS (SELECT r.root AS k, min(n.first) AS class_id FROM r JOIN n ON n.k = r.k GROUP BY r.root),
+    l AS (SELECT a AS k, sum(docs) AS links FROM o GROUP BY a)
+    SELECT g.doc_id, c.class_id, (n.docs - 1 + coalesce(l.links, 0))::BIGINT AS n_links FROM g JOIN n ON g.s = n.s JOIN c ON c.k = n.k LEFT JOIN l ON l.k = n.k
+    UNION ALL SELECT DISTINCT doc_id, doc_id, 0::BIGINT FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM g)"""

@@ -143,3 +143,16 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         span *= 2
     rest = width - span
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
+
+
+def group_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of each connected group of 0..n-1, of which a and b are linked."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a, root[b])
+        np.minimum.at(low, b, root[a])
+        low = low[low]
+        if np.array_equal(low, root):
+            return root
+        root = low

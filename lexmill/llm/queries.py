@@ -39,7 +39,7 @@ def op7_flat_graph_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_pairs(read(spark, sf_dir, "documents"))
+    return jaccard_join.linked(read(spark, sf_dir, "documents"))
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
