@@ -1,34 +1,39 @@
 """Embedding near-duplicates by a robust-pruned flat graph.
 
-Vectors go to the ``overlap`` nearest of k centroids, so that shards overlap. Each shard links every vector to its
+Vectors go to the nearest of k centroids in two steps, so that shards overlap: sqrt(k) cells, and in each cell as many
+centroids as its vectors need; a vector is in the ``overlap`` nearest shards of its nearest cell, in one less of the next cell
+and so on. Each shard links every vector to its
 nearest others in it, robustly pruned: a neighbour goes when one already taken is ``ALPHA`` times nearer to it than
 the vector itself, which leaves long edges as well as short ones; the very nearest always stay. The adjacency lists that
 a vector has in its shards are united. Every vector is then a query: in each of its shards a greedy best-first search
 runs over the united lists from the vector itself and from the middles of the graph's connected components, the nearest
 BEAM of them, and where it comes within the threshold the search expands over all vectors in range until none is new. Pairs
-found in any shard are verified with their exact cosine.
+found are verified with their exact cosine; a pair that has several shards in common counts in the first of them.
 
 Two audits guard the recall, over pairs as well as on average over the queries that have any. In each shard
-SHARD_AUDIT queries are compared with brute force over the shard; a shard below SHARD_RECALL is searched exactly. Then
+SHARD_AUDIT queries are compared with brute force over the shard; a shard below SHARD_RECALL is searched exactly, and so is, in
+blocks, one that came out larger than MOST_VECTORS. Then
 queries are compared with brute force over all vectors, twice as many each time until they have AUDIT_PAIRS true pairs
-or are AUDIT_MOST or all; if the recall is below MIN_RECALL, the whole is built again with one more shard for each
-vector. Where that costs as much as comparing all vectors (overlap squared reaches the number of shards) or the overlap
+or are AUDIT_MOST or all; if the recall is below MIN_RECALL, the whole is built again with more overlap.
+Where that costs as much as comparing all vectors (overlap squared reaches the number of shards) or the overlap
 passes MOST_OVERLAP, all are compared, in blocks, and the result is exact.
 
-Equal vectors are one node. Result: (vec_a, vec_b, cosine), vec_a < vec_b: a row for each two different vectors within
-the threshold, between the first ids that have them, and a row at 1.0 between the first id of a vector and each
-other; groups of thousands of copies stay linear.
+Equal vectors are one node. Result: (vec_id, class_id, n_links), one row for each id and vector: the least id of all that are
+linked to it directly or through others, and how many other rows are similar to it, those with an equal vector included.
+No pair leaves its shard: a shard returns a count and one edge for each of its vectors.
 
-k follows the number of vectors, SHARD_VECTORS for each shard, as long as the centroids fit CENTROID_BYTES; they are
-trained on at most TRAIN_VECTORS vectors, the first in hash order.
+The index is fitted on samples, the first vectors in hash order: TRAIN_VECTORS, or TRAIN_EACH for each centroid of the first step
+(whose number grows with the fourth root of the squared table, sqrt(n / SHARD_VECTORS)), and in each cell TRAIN_EACH for each of its
+centroids. Every vector is indexed and every vector is a query.
 
-Defined results: null ids, null vectors, vectors with a null or non-finite element or of zero length, and vectors of
-another dimension than most (the larger one of equally common dimensions) are left out; rows with the same id and vector
-are one; an empty table gives no rows; other columns are ignored.
+Defined results: null ids, null vectors, vectors with a null or non-finite element or of zero length are left out; vectors of
+different dimensions are never similar, each dimension is searched on its own; rows with the same id and vector
+are one, those with one id and different vectors have a row each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +41,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import components, stored
+from .kernels import group_roots
 
 THRESHOLD = 0.95
 OVERLAP = 2
 SHARD_VECTORS = 1500
+MOST_VECTORS = 16_384
 TRAIN_VECTORS = 20_000
-CENTROID_BYTES = 64 << 20
+TRAIN_EACH = 32
+#: Rows of a cell that a task gives to its shards.
+ASSIGN_ROWS = 50_000
 CANDIDATES = 48
 DEGREE = 16
 NEAREST = 4
@@ -57,6 +66,8 @@ MIN_RECALL = 0.95
 MOST_OVERLAP = 16
 EXACT_BLOCK = 4096
 
+_FOUND = "id long, root long, pairs long, links long"
+
 
 def matrix(column) -> np.ndarray:
     """Rows of a list column, scaled to length one."""
@@ -111,17 +122,7 @@ def prune(x: np.ndarray, block: int = 512) -> np.ndarray:
 def entries(x: np.ndarray, links: np.ndarray) -> np.ndarray:
     """The row nearest to the middle of each connected component of the graph."""
     a, col = np.nonzero(links >= 0)
-    b = links[a, col]
-    label = np.arange(len(x))
-    while True:
-        low = label.copy()
-        np.minimum.at(low, a, label[b])
-        np.minimum.at(low, b, label[a])
-        low = low[low]
-        if np.array_equal(low, label):
-            break
-        label = low
-    label = np.unique(label, return_inverse=True)[1]
+    label = np.unique(group_roots(len(x), a, links[a, col]), return_inverse=True)[1]
     middle = np.zeros((int(label.max()) + 1, x.shape[1]))
     np.add.at(middle, label, x)
     order = np.lexsort((-np.einsum("nd,nd->n", x, middle[label]), label))
@@ -222,29 +223,90 @@ def search(x: np.ndarray, links: np.ndarray, threshold: float, block: int = 256)
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
-    v = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
+    """(vec, v, x, y): ids and vectors that count, once each, with two hashes that stand for the vector."""
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec"), F.col("embedding").cast("array<double>").alias("v")).where("vec IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
     finite = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     length = F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e)
-    v = v.where(finite).where(length > 0)
-    dims = sorted(((r["count"], r["d"]) for r in v.groupBy(F.size("v").alias("d")).count().collect()), reverse=True)
-    return v.where(F.size("v") == F.lit(dims[0][1] if dims else 0))
+    return v.where(finite).where(length > 0).withColumns({"x": F.xxhash64("v"), "y": F.xxhash64(F.lit(1), "v")}).dropDuplicates(["vec", "x", "y"])
 
 
-def _build(nodes: DataFrame, k: int, overlap: int, threshold: float) -> DataFrame:
-    """(a, b, cosine): pairs of node ids found with this overlap."""
+def _shards(nodes: DataFrame, n: int, overlap: int, shard_vectors: int) -> DataFrame:
+    """(id, docs, v, shards, shard): every node in each of its shards, with the list of them."""
     spark = nodes.sparkSession
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(TRAIN_VECTORS).toArrow()
-    middle = spark.sparkContext.broadcast(centroids(matrix(sample.column("v")), min(k, sample.num_rows)))
-    overlap = min(overlap, k)
+    k = -(-n // shard_vectors)
+    cells_wanted = max(1, math.isqrt(k))
+    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(max(TRAIN_VECTORS, TRAIN_EACH * cells_wanted)).select("v").toArrow()
+    middle = spark.sparkContext.broadcast(centroids(matrix(sample.column("v")), min(cells_wanted, sample.num_rows)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 2048):
                 part = batch.slice(s, 2048)
-                near = matrix(part.column("v")) @ middle.value.T
-                own = np.argsort(-near, axis=1, kind="stable")[:, :overlap]
+                own = np.argsort(-(matrix(part.column("v")) @ middle.value.T), axis=1, kind="stable")[:, :overlap]
                 rows = pa.array(np.repeat(np.arange(part.num_rows), own.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(own.reshape(-1), pa.int32()), part.column("id").take(rows), part.column("v").take(rows)], names=["shard", "id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(own.reshape(-1), pa.int32()), pa.array(np.tile(np.arange(own.shape[1]), part.num_rows), pa.int32()), part.column("id").take(rows), part.column("v").take(rows)], names=["cell", "rank", "id", "v"])
+
+    def train(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        c = centroids(matrix(table.column("v")), min(table.column("k")[0].as_py(), table.num_rows))
+        return pa.table({"cell": table.column("cell")[:1], "centres": pa.array([c.tolist()], pa.list_(pa.list_(pa.float64())))})
+
+    def assign(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, shards = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if left.num_rows:
+            c = np.array(right.column("centres")[0].as_py()) if right.num_rows else matrix(left.slice(0, 1).column("v"))
+            cell, rank = left.column("cell")[0].as_py(), left.column("rank").to_numpy()
+            for s in range(0, left.num_rows, 2048):
+                part = left.slice(s, 2048)
+                own = np.argsort(-(matrix(part.column("v")) @ c.T), axis=1, kind="stable")[:, :overlap]
+                i, j = np.nonzero(np.arange(own.shape[1]) < (overlap - rank[s : s + 2048])[:, None])
+                ids.append(part.column("id").to_numpy()[i])
+                shards.append(cell << 32 | own[i, j])
+        return pa.table({"id": np.concatenate(ids), "shard": np.concatenate(shards)})
+
+    cells = stored(nodes.select("id", "v").mapInArrow(place, "cell int, rank int, id long, v array<double>"), "graph-cells")
+    sizes = cells.groupBy("cell").count().withColumns({"k": F.ceil(F.col("count") / shard_vectors).cast("int"), "salts": F.ceil(F.col("count") / ASSIGN_ROWS).cast("int")})
+    rate = F.greatest(F.lit(TRAIN_EACH) * F.col("k"), F.lit(TRAIN_VECTORS / 10)) / F.col("count")
+    some = (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 30)) < rate * (1 << 30)) | (F.col("count") <= TRAIN_VECTORS / 10)
+    centres = stored(cells.join(sizes, "cell").where(some).select("cell", "k", "id", "v").groupBy("cell").applyInArrow(train, "cell int, centres array<array<double>>"), "graph-centres")
+    salted = cells.join(sizes.select("cell", "salts"), "cell").withColumn("salt", F.pmod(F.xxhash64("id", F.lit(3)), F.col("salts")).cast("int"))
+    spread = centres.join(sizes.select("cell", "salts"), "cell").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    own = salted.select("cell", "salt", "rank", "id", "v").groupBy("cell", "salt").cogroup(spread.select("cell", "salt", "centres").groupBy("cell", "salt")).applyInArrow(assign, "id long, shard long")
+    lists = own.groupBy("id").agg(F.sort_array(F.collect_set("shard")).alias("shards"))
+    return nodes.select("id", "docs", "v").join(lists, "id").withColumn("shard", F.explode("shards"))
+
+
+def _counted(ids: np.ndarray, docs: np.ndarray, a: np.ndarray, b: np.ndarray, once: np.ndarray) -> pa.Table:
+    """A row for each node with pairs: how many, how many rows they stand for, and a node of its group. Pairs that are
+    not ``once`` only join groups."""
+    n = len(ids)
+    root = group_roots(n, a, b)
+    pairs, links = np.bincount(a[once], minlength=n) + np.bincount(b[once], minlength=n), np.bincount(a[once], docs[b[once]], n) + np.bincount(b[once], docs[a[once]], n)
+    some = np.unique(np.concatenate([a, b]))
+    return pa.table({"id": ids[some], "root": ids[root[some]], "pairs": pairs[some].astype(np.int64), "links": links[some].astype(np.int64)})
+
+
+def _first_common(shards: np.ndarray, a: np.ndarray, b: np.ndarray, shard: int) -> np.ndarray:
+    """Whether ``shard`` is the first one that the rows of each pair have in common; rows are padded with -1."""
+    out = np.ones(len(a), bool)
+    for s in range(0, len(a), 1 << 18):
+        x, y = shards[a[s : s + (1 << 18)]], shards[b[s : s + (1 << 18)]]
+        for i in range(x.shape[1]):
+            before = (x[:, i] >= 0) & (x[:, i] < shard)
+            if before.any():
+                out[s : s + (1 << 18)] &= ~(before & (y == x[:, i : i + 1]).any(1))
+    return out
+
+
+def _padded(lists: list) -> np.ndarray:
+    out = np.full((len(lists), max([1, *map(len, lists)])), -1, np.int64)
+    for i, x in enumerate(lists):
+        out[i, : len(x)] = x
+    return out
+
+
+def _build(nodes: DataFrame, n: int, overlap: int, shard_vectors: int, threshold: float) -> DataFrame:
+    """(id, root, pairs, links): what each shard found."""
 
     def link(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
@@ -255,75 +317,86 @@ def _build(nodes: DataFrame, k: int, overlap: int, threshold: float) -> DataFram
     def find(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
         ids, x = table.column("id").to_numpy(), matrix(table.column("v"))
-        own = [np.searchsorted(ids, v) for v in (np.asarray(r, np.int64) for r in table.column("links").to_pylist())]
-        own = [np.unique(a[(a < len(ids)) & (ids[np.minimum(a, len(ids) - 1)] == np.asarray(r))]) for a, r in zip(own, table.column("links").to_pylist())]
-        back: list[list[int]] = [[] for _ in own]
-        for i, a in enumerate(own):
-            for j in a[:NEAREST].tolist():
-                if len(back[j]) < DEGREE:
-                    back[j].append(i)
-        own = [np.unique(np.concatenate([a, np.asarray(b, np.int64)])) for a, b in zip(own, back)]
-        links = np.full((len(ids), max([1, *map(len, own)])), -1, np.int64)
-        for i, a in enumerate(own):
-            links[i, : len(a)] = a
+        lists = table.column("links").to_pylist()
+        owner, other = np.repeat(np.arange(len(ids)), [len(r) for r in lists]), np.concatenate([np.asarray(r, np.int64) for r in lists])
+        at = np.minimum(np.searchsorted(ids, other), len(ids) - 1)
+        here = ids[at] == other
+        owner, other = owner[here], at[here]
+        # the NEAREST of each one lead back to it, as far as 2 * DEGREE, the most similar first
+        near = np.einsum("nd,nd->n", x[owner], x[other])
+        order = np.lexsort((-near, owner))
+        owner, other, near = owner[order], other[order], near[order]
+        first = np.arange(len(owner)) - np.searchsorted(owner, owner) < NEAREST
+        back = np.lexsort((-near[first], other[first]))
+        one, two = other[first][back], owner[first][back]
+        kept = np.arange(len(one)) - np.searchsorted(one, one) < 2 * DEGREE
+        both = np.unique(np.concatenate([owner << 32 | other, one[kept] << 32 | two[kept]]))
+        owner, other = both >> 32, both & 0xFFFFFFFF
+        links = np.full((len(ids), max(1, int(np.bincount(owner, minlength=len(ids)).max()))), -1, np.int64)
+        links[owner, np.arange(len(owner)) - np.searchsorted(owner, owner)] = other
         pairs = shard_pairs(x, links, threshold)
         a, b = pairs >> 32, pairs & 0xFFFFFFFF
-        cosine = np.concatenate([np.einsum("nd,nd->n", x[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, max(1, len(a)), 65536)])
-        ok = cosine >= threshold
-        return pa.table({"a": ids[a[ok]], "b": ids[b[ok]], "cosine": np.minimum(cosine[ok], 1.0)})
-
-    placed = stored(nodes.mapInArrow(place, "shard int, id long, v array<double>"), "graph-shards")
-    lists = placed.groupBy("shard").applyInArrow(link, "id long, links array<long>")
+        ok = np.concatenate([np.einsum("nd,nd->n", x[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, max(1, len(a)), 65536)]) >= threshold
+        a, b = a[ok], b[ok]
+        return _counted(ids, table.column("docs").to_numpy(), a, b, _first_common(_padded(table.column("shards").to_pylist()), a, b, table.column("shard")[0].as_py()))
+
+    placed = stored(_shards(nodes, n, overlap, shard_vectors), "graph-shards")
+    sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / MOST_VECTORS).alias("blocks"))
+    placed = placed.join(sizes, "shard")
+    small = placed.where("blocks = 1").drop("blocks")
+    lists = small.groupBy("shard").applyInArrow(link, "id long, links array<long>")
     united = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
-    found = placed.join(united, "id").groupBy("shard").applyInArrow(find, "a long, b long, cosine double")
-    return stored(found.groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "graph-pairs")
+    found = small.join(united, "id").groupBy("shard").applyInArrow(find, _FOUND)
+    return stored(found.unionByName(_in_blocks(placed.where("blocks > 1"), threshold)), "graph-found")
 
 
-def _compare_all(nodes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, cosine): all pairs of nodes within the threshold, from every two blocks of them."""
-    blocks = max(1, -(-nodes.count() // EXACT_BLOCK))
-    own = nodes.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
-    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cells = cells.select("id", "v", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+def _in_blocks(rows: DataFrame, threshold: float) -> DataFrame:
+    """(id, root, pairs, links): all pairs of each shard of (shard, id, docs, v, shards, blocks), from every two blocks of it."""
+    own = rows.withColumn("block", F.pmod(F.xxhash64("id", F.lit(4)), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = own.select("shard", "id", "docs", "v", "shards", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
 
     def compare(table: pa.Table) -> pa.Table:
         ids, x, block = table.column("id").to_numpy(), matrix(table.column("v")), table.column("block").to_numpy()
-        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for s in range(0, len(left), 512):
-            sims = x[left[s : s + 512]] @ x[right].T
-            i, j = np.nonzero(sims >= threshold)
-            a, b = ids[left[s + i]], ids[right[j]]
-            real = (a < b) if block.min() == block.max() else np.ones(len(a), bool)
-            out.append((np.minimum(a, b)[real], np.maximum(a, b)[real], np.minimum(sims[i, j][real], 1.0)))
-        a, b, cosine = (np.concatenate(c) for c in zip(*out))
-        if table.column("one")[0] != table.column("two")[0] and block.min() == block.max():  # the other block is empty
-            a, b, cosine = a[:0], b[:0], cosine[:0]
-        return pa.table({"a": a, "b": b, "cosine": cosine})
-
-    return stored(cells.groupBy("one", "two").applyInArrow(compare, "a long, b long, cosine double"), "graph-all-pairs")
-
-
-def recall(nodes: DataFrame, found: DataFrame, threshold: float, audit: int = AUDIT) -> float:
+        left, right = np.flatnonzero(block == table.column("one")[0].as_py()), np.flatnonzero(block == table.column("two")[0].as_py())
+        across = table.column("one")[0].as_py() != table.column("two")[0].as_py()
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for s in range(0, len(left) if len(right) else 0, 512):
+            i, j = np.nonzero(x[left[s : s + 512]] @ x[right].T >= threshold)
+            a, b = left[s + i], right[j]
+            real = (ids[a] < ids[b]) | across
+            found.append((a[real], b[real]))
+        a, b = (np.concatenate(c) for c in zip(*found))
+        return _counted(ids, table.column("docs").to_numpy(), a, b, _first_common(_padded(table.column("shards").to_pylist()), a, b, table.column("shard")[0].as_py()))
+
+    return cells.groupBy("shard", "one", "two").applyInArrow(compare, _FOUND)
+
+
+def _compare_all(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(id, root, pairs, links) from all pairs of nodes."""
+    zero = F.lit(0).cast("long")
+    whole = nodes.select("id", "docs", "v", zero.alias("shard"), F.array(zero).alias("shards"), F.lit(-(-n // EXACT_BLOCK)).cast("long").alias("blocks"))
+    return stored(_in_blocks(whole, threshold), "graph-all")
+
+
+def recall(nodes: DataFrame, n: int, found: DataFrame, threshold: float, audit: int = AUDIT) -> float:
     """Share of the true pairs of audit queries, the first in hash order, that were found, over pairs or on average over
-    queries, whichever is less; 1.0 where they have none. ``audit`` doubles until there are enough true pairs."""
-    n = nodes.count()
+    queries, whichever is less; 1.0 where they have none. ``audit`` doubles until there are enough true pairs. All pairs that
+    were found are true and counted once, so that the counts tell."""
     while True:
-        sample = nodes.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audit).toArrow()
+        sample = nodes.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audit).select("id", "v").toArrow()
         ids, x = sample.column("id").to_numpy(), matrix(sample.column("v"))
 
         def brute(batches: Iterator[pa.RecordBatch], ids=ids, x=x) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(ids), np.int64)
             for batch in batches:
                 for s in range(0, batch.num_rows, 1024):
-                    part = batch.slice(s, 1024)
-                    other = part.column("id").to_numpy()
-                    q, o = np.nonzero(x @ matrix(part.column("v")).T >= threshold)
-                    q, o = ids[q], other[o]
-                    real = q != o
-                    yield pa.RecordBatch.from_arrays([pa.array(x[real]) for x in (q, np.minimum(q, o), np.maximum(q, o))], names=["q", "a", "b"])
-
-        true = nodes.mapInArrow(brute, "q long, a long, b long")
-        by = true.join(found.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("q").agg(F.count("*").alias("true"), F.count("hit").alias("hit")).toArrow()
+                    total += (x @ matrix(batch.slice(s, 1024).column("v")).T >= threshold).sum(1)
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "true"])
+
+        true = nodes.select("v").mapInArrow(brute, "id long, true long").groupBy("id").agg((F.sum("true") - 1).alias("true"))  # less itself
+        hit = found.groupBy("id").agg(F.sum("pairs").alias("hit"))
+        by = true.join(hit, "id", "left").select("true", F.coalesce("hit", F.lit(0)).alias("hit")).toArrow()
         total, hit = by.column("true").to_numpy(), by.column("hit").to_numpy()
         if total.sum() >= AUDIT_PAIRS or audit >= min(n, AUDIT_MOST):
             return least_recall(total, hit)
@@ -331,19 +404,28 @@ def recall(nodes: DataFrame, found: DataFrame, threshold: float, audit: int = AU
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, shard_vectors: int = SHARD_VECTORS, min_recall: float = MIN_RECALL) -> DataFrame:
-    """(vec_a, vec_b, cosine) as said above."""
+    """(vec_id, class_id, n_links) as said above."""
     rows = stored(_usable(vectors), "graph-vectors")
-    nodes = stored(rows.groupBy("v").agg(F.min("id").alias("id")).select("id", "v").dropDuplicates(["id"]), "graph-nodes")
-    n = nodes.count()
-    dims = nodes.select(F.max(F.size("v"))).first()[0] or 1
-    k = max(1, min(-(-n // shard_vectors), CENTROID_BYTES // (8 * dims)))
-    found = _build(nodes, k, overlap, threshold) if n else nodes.sparkSession.createDataFrame([], "a long, b long, cosine double")
-    while n and recall(nodes, found, threshold) < min_recall:
-        overlap += 1
-        if overlap**2 >= k or overlap > MOST_OVERLAP:
-            found = _compare_all(nodes, threshold)
-            break
-        found = _build(nodes, k, overlap, threshold)
-    firsts = rows.groupBy("v").agg(F.min("id").alias("first"), F.collect_set("id").alias("ids"))
-    alike = firsts.select(F.col("first").alias("vec_a"), F.explode("ids").alias("vec_b"), F.lit(1.0).alias("cosine")).where("vec_a <> vec_b").distinct()
-    return found.toDF("vec_a", "vec_b", "cosine").unionByName(alike)
+    # written, the ids are the same for every reader
+    nodes = rows.groupBy("x", "y").agg(F.min("vec").alias("first"), F.count("*").alias("docs"), F.any_value("v").alias("v"))
+    nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "graph-nodes")
+    found = None
+    for dims, n in nodes.groupBy(F.size("v")).count().collect():
+        own = nodes.where(F.size("v") == dims)
+        width = overlap
+        part = _build(own, n, width, shard_vectors, threshold)
+        while recall(own, n, part, threshold) < min_recall:
+            width += 1
+            if width**2 >= -(-n // shard_vectors) or width > MOST_OVERLAP:
+                part = _compare_all(own, n, threshold)
+                break
+            part = _build(own, n, width, shard_vectors, threshold)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return rows.select(F.col("vec").alias("vec_id"), F.col("vec").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    roots = components(found.select("id", "root")).toDF("id", "root")
+    known = nodes.select("id", "x", "y", "first", "docs").join(links, "id", "left").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    classes = known.groupBy("root").agg(F.min("first").alias("class_id"))
+    known = known.join(classes, "root").select("x", "y", "class_id", (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return rows.select(F.col("vec").alias("vec_id"), "x", "y").join(known, ["x", "y"]).select("vec_id", "class_id", "n_links")
