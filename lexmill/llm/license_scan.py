@@ -5,7 +5,7 @@ characters). Every K words in a row have a hash; winnowing keeps the least hash
 K + W - 1 words in common share a fingerprint. The templates' fingerprints form an inverted index from hash to
 (template, position); the templates are a fixed parameter, and so is the size of the index that travels with the
 task. Winnowed hashes of a document that are in the index are its hits; for templates of fewer than K + W - 1 words all
-hashes are looked up. Hits of one template that lie on nearby
+hashes are looked up, and for those of fewer than K words the hashes of so many words as they have. Hits of one template that lie on nearby
 diagonals and not farther apart than the template is long are one candidate, and its stretch of the document is
 aligned with the template by a local alignment (match 1, mismatch and gap -1) within a band around those
 diagonals. Matches are reported when they cover ``min_coverage`` of the template; a match whose words lie wholly in a
@@ -66,6 +66,56 @@ TEMPLATES = {
         "Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
         "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
     ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        'permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING "
+        "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product "
+        "documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
+    "bsl-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "
+        '"Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is '
+        "furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following "
+        "disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of "
+        "machine-executable object code generated by a source language processor."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form "
+        "or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any "
+        "and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors."
+    ),
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "lgpl-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 "
+        "of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "agpl-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc0-1.0-notice": "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+    "bsd-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND '
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
     "bsd-3-clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of "
         "source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
@@ -108,7 +158,9 @@ def index(templates: dict[str, str], k: int = K, w: int = W):
     for number, text in enumerate(templates.values()):
         own = words(text)
         texts.append(own)
-        hashed, first = winnow(own, np.zeros(len(own), np.int64), min(k, max(1, len(own))), w)
+        if not len(own):
+            raise ValueError("a template has no words")
+        hashed, first = winnow(own, np.zeros(len(own), np.int64), min(k, len(own)), w)
         hashes.append(hashed)
         which.append(np.full(len(hashed), number))
         place.append(first)
@@ -188,10 +240,11 @@ def matches(doc: np.ndarray, hits: list[tuple[int, int, int]], texts: list[np.nd
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, w: int = W, band: int = BAND, min_coverage: float = MIN_COVERAGE, min_matched: int = MIN_MATCHED) -> DataFrame:
+    """The matches as said above. A template without words is an error."""
     templates = TEMPLATES if templates is None else templates
     hashed, which, place, texts = index(templates, k, w)
     names = list(templates)
-    short = hashed[np.isin(which, [t for t, x in enumerate(texts) if len(x) < k + w - 1])]
+    short = {n: hashed[np.isin(which, [t for t, x in enumerate(texts) if len(x) < k + w - 1 and min(k, len(x)) == n])] for n in range(1, k + 1)}
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,22 +255,23 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, w
                 start, end, row = tokens(data, offsets, WORD)
                 word = span_hashes(data, start, end)
                 grams, first = winnow(word, row, k, w)
-                if len(short):  # winnowing may pass over what is shorter than K + W - 1 words
-                    every, place_of = windows(word, row, k)
-                    extra = np.isin(every, short) & ~np.isin(place_of, first)
-                    grams, first = np.concatenate([grams, every[extra]]), np.concatenate([first, place_of[extra]])
+                for n in range(1, k + 1):  # winnowing may pass over what is shorter than K + W - 1 words
+                    if len(short[n]):
+                        every, place_of = windows(word, row, n)
+                        extra = np.isin(every, short[n])
+                        grams, first = np.concatenate([grams, every[extra]]), np.concatenate([first, place_of[extra]])
                 at = np.searchsorted(hashed, grams)
                 hit = np.flatnonzero(np.isin(grams, hashed))
-                by_row: dict[int, list] = {}
+                by_row: dict[int, set] = {}
                 for g in hit:
                     a = at[g]
                     while a < len(hashed) and hashed[a] == grams[g]:
-                        by_row.setdefault(int(row[first[g]]), []).append((int(which[a]), int(place[a]), int(first[g])))
+                        by_row.setdefault(int(row[first[g]]), set()).add((int(which[a]), int(place[a]), int(first[g])))
                         a += 1
                 out = {n: [] for n in ("doc_id", "template", "coverage", "n_matched", "start_token", "end_token", "start_char", "end_char")}
                 for r, hits in by_row.items():
                     lo, hi = np.searchsorted(row, [r, r + 1])
-                    hits = [(t, p, j - int(lo)) for t, p, j in hits]
+                    hits = sorted((t, p, j - int(lo)) for t, p, j in hits)
                     found = matches(word[lo:hi], hits, texts, band, min_coverage, min_matched)
                     # lower-casing keeps the number of words, but not always of bytes: characters come from the text itself
                     own = raw[raw_offsets[r] : raw_offsets[r + 1]]
