@@ -1,4 +1,4 @@
-"""Exact substring dedup over fixed-length token windows.
+"""Substring dedup over fixed-length token windows.
 
 Every window of ``width`` consecutive tokens of every document gets a 64-bit Rabin-Karp hash. Windows are
 counted over the whole table; those that occur at least twice, in one document or in several, merge into
@@ -7,11 +7,11 @@ maximal removal intervals where they overlap or touch.
 The count is one Spark shuffle by hash bucket. A row per window would cost about 24 bytes each, so each map
 task packs the hashes of a few MB of text into one binary value per bucket (8 bytes a window) and, for the way
 back, the bucket of each window. A bucket answers with one bit per window, and the answers meet again by
-chunk. Nothing is broadcast or collected; the number of buckets follows the bytes of text, so a bucket fits a
-worker at any size, and a window that is repeated a million times weighs no more than a million others.
+chunk. Nothing is broadcast or collected; the number of buckets follows the bytes of text, so that a bucket fits a
+worker at any size, and chunks and buckets grow with the square root of the table, so that packed values do not get small. A window that is repeated a million times weighs no more than a million others.
 
 Tokens are runs of characters other than ASCII white space. Every occurrence of a repeated window is covered:
-no copy is preferred.
+no copy is preferred. Windows with one 64-bit hash are taken for equal; they are not compared.
 
 Defined results: null, empty and short texts have no windows and no intervals; repeated rows (same doc_id and
 text) repeat each other's windows and give one set of intervals; a null doc_id is reported as null; an empty
@@ -28,14 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import exchange_sizes, text_bytes
 from .kernels import U, lean, mix, pieces, repeated, row_starts, span_hashes, tokens, utf8, windows
 
 WIDTH = 50
-#: Bytes of text whose windows share a bucket.
-BUCKET_BYTES = 8 << 20
-#: Features that a map task packs together. Where buckets are many, raise both to what workers hold, so that a chunk
-#: has some dozens of features for each bucket.
+#: Least numbers of features that share a bucket and that a map task packs together; both grow with the square root of the
+#: table, so that a chunk has some dozens of features for each bucket.
+BUCKET_FEATURES = 1_400_000
 CHUNK_FEATURES = 500_000
 
 Feature = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -56,11 +55,11 @@ def _narrow(most: int) -> type:
     return np.uint8 if most <= 1 << 8 else np.uint16 if most <= 1 << 16 else np.uint32
 
 
-def repeated_features(docs: DataFrame, features: Feature, bucket_bytes: int = BUCKET_BYTES, chunk_features: int = CHUNK_FEATURES) -> DataFrame:
+def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, bucket_features: int = BUCKET_FEATURES, chunk_features: int = CHUNK_FEATURES) -> DataFrame:
     """(doc_id, text_hash, at): for each document that has any, the packed int32 positions of its features that
-    occur at least twice in the table."""
+    occur at least twice in the table, of which there is about one for ``bytes_each`` bytes of text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    buckets = max(1, -(-text_bytes(docs) // bucket_bytes))
+    buckets, chunk_features = exchange_sizes(text_bytes(docs) // bytes_each, bucket_features, chunk_features)
     code = _narrow(buckets)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
