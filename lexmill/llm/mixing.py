@@ -92,17 +92,17 @@ def with_copies(docs: DataFrame, weights: dict[str, float] | None = None, total_
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     more = (pi > F.floor(pi)) & ((rank < F.col("__lexmill_cut")) | ((rank == F.col("__lexmill_cut")) & (key <= F.col("__lexmill_cut_id"))))
     copies = (F.floor(pi) + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0)).cast("int")
-    return docs.join(cuts, F.col("source").cast("string").eqNullSafe(F.col("__lexmill_source"))).withColumn("__copies", copies).where(F.col("__copies") > 0).select(*docs.columns, "__copies")
+    return docs.join(cuts, F.col("source").cast("string").eqNullSafe(F.col("__lexmill_source"))).withColumn("__lexmill_copies", copies).where(F.col("__lexmill_copies") > 0).select(*docs.columns, "__lexmill_copies")
 
 
 def counts(docs: DataFrame, weights: dict[str, float] | None = None, total_bytes: int | None = None, seed: int = SEED) -> DataFrame:
     """(doc_id, source, copies) of the documents taken at least once."""
-    return with_copies(docs, weights, total_bytes, seed).select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("__copies").alias("copies"))
+    return with_copies(docs, weights, total_bytes, seed).select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("__lexmill_copies").alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, total_bytes: int | None = None, seed: int = SEED) -> DataFrame:
     """The documents, each as often as it is taken."""
-    return with_copies(docs, weights, total_bytes, seed).withColumn("__copies", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(docs.columns)
+    return with_copies(docs, weights, total_bytes, seed).withColumn("__lexmill_copies", F.explode(F.array_repeat(F.lit(1), F.col("__lexmill_copies")))).select(docs.columns)
 
 
 def sql(seed: int = SEED) -> str:

@@ -5,8 +5,9 @@ packed shard by shard: best-fit decreasing first, then local search over the und
 fullest down, a bin may take a piece from a less full bin, or exchange one for one, two for one or one for two with
 it, whichever fills it most; every such step raises the sum of squared fills, and bins that lose their last piece
 vanish. The search ends when no exchange helps. What is still underfull in any shard is packed again in fewer,
-larger-mixed shards, round by round, until one shard is left, so the waste of sharding does not grow with
-the number of shards. Only (doc_id, piece, tokens) travel; texts are read once, for their length.
+newly mixed shards, round by round, until one shard is left, so the waste of sharding does not grow with
+the number of shards; or until a round leaves as many shards as it had: then pieces do not fit together (all of them may be longer than half
+the capacity), and further rounds would end no better. Only (doc_id, piece, tokens) travel; texts are read once, for their length.
 
 Tokens are runs of characters other than ASCII white space.
 
