@@ -1,20 +1,24 @@
 """Suffix-array dedup with a logarithmic index family.
 
-Finds all token runs of ``width`` or more that occur at least twice in the table. Documents come in batches; each
-batch gets a suffix array, is scanned in one merge against every existing level for matches of ``width`` tokens, and
-then becomes a level itself; two levels of one rank merge into one of the next, so that a family of n batches has at most
-log2(n) + 1 levels and every suffix is merged log2(n) times.
+Finds all token runs of ``width`` or more that occur at least twice in the table. The index is a family of levels in the shared
+folder. Documents come in batches; each batch gets suffix arrays, is merge-scanned against every existing level for
+matches of ``width`` tokens, and then becomes a level itself; two levels of one rank merge into one of the next, so that n batches
+leave at most log2(n) + 1 levels and every suffix is merged log2(n) times at most. What came before is never sorted again:
+``IndexFamily.add`` takes further batches at any time and returns the matches that they bring, in old documents too.
 
-Such a family serves one place, so the corpus is cut into places by content: every window of ``width`` tokens belongs to the
+A level is cut into shards by content: every window of ``width`` tokens belongs to the
 least of its ``SEED``-gram hashes, equal windows to equal ones, and consecutive windows mostly share it. A maximal run
 of windows with one and the same least n-gram is a stretch of at most 2 * width tokens, and travels whole to the shard of its hash; there
-its suffixes meet all others they can equal. Stretches whose hash occurs only once in the table hold no repeated window and
-stay at home: the hashes are first counted over the whole table in a packed exchange (8 bytes a stretch, some twenty tokens).
+its suffixes meet all others they can equal. Levels are tables bucketed by shard, so that scans and merges of two levels move nothing.
 In a shard, suffixes are ordered by their first ``width`` tokens, as far as a match must reach; longer matches
-show as runs of windows, which merge into maximal intervals for each document. Number and size of the shards follow the bytes of
-text, memory of one is bounded, and nothing is broadcast.
+show as runs of windows, which merge into maximal intervals for each document.
 
-Tokens are runs of characters other than ASCII white space.
+Where all documents are known, stretches whose hash occurs only once in the table hold no repeated window and
+need no place in the index: ``intervals`` first counts the hashes over the whole table in a packed exchange (8 bytes a stretch, some
+twenty tokens) and sends the others through the family in BATCHES batches. The number of shards follows the bytes of
+text, so that one is bounded, and nothing is broadcast.
+
+Tokens are runs of characters other than ASCII white space; they are compared by 32-bit hashes, a window by fifty of them.
 
 Result: (doc_id, start_token, end_token), end exclusive: every occurrence, merged where matches overlap or touch.
 
@@ -24,23 +28,33 @@ give one set of intervals; a null doc_id is reported as null; an empty table giv
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, text_bytes
+from ..storage import delete_folder
+from .common import id_text, new_folder, stored, text_bytes
 from .kernels import U, lean, mix, pieces, row_starts, sliding_min, span_hashes, tokens, utf8, windows
 from .substring_dedup import Feature, repeated_features
 
 WIDTH = 50
 SEED = 8
-#: Windows that enter the index family together.
-BATCH = 1 << 16
+#: Batches in which a whole table goes through the family.
+BATCHES = 8
 #: Bytes of text whose stretches share a shard.
 SHARD_BYTES = 4 << 20
+#: Shards of a level that share a file, and the most files of a level.
+SHARDS_PER_FILE = 4
+MOST_FILES = 50_000
+
+_SENT = "shard int, doc_id array<long>, text_hash binary, first binary, count binary, tokens binary"
+_LEVEL = _SENT + ", suffixes binary"
+_MATCH = "doc_id long, text_hash long, first int, last int"
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, width: int, seed: int):
@@ -75,120 +89,247 @@ def stretch_features(width: int, seed: int) -> Feature:
     return features
 
 
-class IndexFamily:
-    """Levels of suffixes, each sorted by its first ``width`` tokens; ``matched`` marks those that occur twice."""
+class Level:
+    """The stretches of a shard and their suffixes in the order of their first ``width`` tokens."""
+
+    def __init__(self, tables: list[pa.Table], width: int):
+        rows = [t for t in tables if t.num_rows]
+        join = lambda name, kind: np.frombuffer(b"".join(x for t in rows for x in t.column(name).to_pylist()), kind)
+        self.ids = pa.array([x for t in rows for own in t.column("doc_id").to_pylist() for x in own], pa.int64())
+        self.texts, self.first, self.count = join("text_hash", np.int64), join("first", np.int32), join("count", np.int32)
+        self.tokens, self.width = join("tokens", ">u4"), width
+        n = self.count.astype(np.int64) + width - 1
+        self.begin = np.cumsum(n) - n
+        self.order = None
 
-    def __init__(self, tokens_: np.ndarray, width: int):
-        self.tokens = tokens_.astype(">u4")
-        self.width = width
-        self.matched = np.zeros(len(tokens_), bool)
-        self.levels: list[tuple[np.ndarray, np.ndarray] | None] = []
+    @property
+    def windows(self) -> np.ndarray:
+        """Start of every window, stretch by stretch."""
+        count = self.count.astype(np.int64)
+        return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.begin, count)
 
-    def _keys(self, at: np.ndarray) -> np.ndarray:
+    def keys(self, at: np.ndarray) -> np.ndarray:
+        """The first ``width`` tokens of suffixes as strings of bytes that sort like them."""
         if not len(at):
             return np.zeros(0, f"S{4 * self.width}")
         rows = np.lib.stride_tricks.sliding_window_view(self.tokens, self.width)[at]
         return np.ascontiguousarray(rows).view(f"S{4 * self.width}").reshape(-1)
 
-    def add(self, at: np.ndarray) -> None:
-        """Takes in a batch: the suffixes that start at these tokens."""
-        keys = self._keys(at)
-        order = np.argsort(keys, kind="stable")
-        keys, at = keys[order], at[order]
-        same = keys[1:] == keys[:-1]
-        self.matched[at[1:][same]] = True
-        self.matched[at[:-1][same]] = True
-        for level in filter(None, self.levels):
-            self._scan(level, keys, at)
-        rank, run = 0, (keys, at)
-        while rank < len(self.levels) and self.levels[rank] is not None:
-            run, self.levels[rank] = self._merge(self.levels[rank], run), None
-            rank += 1
-        if rank == len(self.levels):
-            self.levels.append(None)
-        self.levels[rank] = run
-
-    def _scan(self, level, keys: np.ndarray, at: np.ndarray) -> None:
-        """Marks the suffixes of a level and of a batch that have ``width`` tokens in common."""
-        known, places = level
-        low = np.searchsorted(known, keys)  # both ascend: one pass of a merge
-        found = low < len(known)
-        found[found] = known[low[found]] == keys[found]
-        self.matched[at[found]] = True
-        hit = np.zeros(len(known) + 1, bool)
-        hit[low[found]] = True
-        first = np.flatnonzero(np.concatenate([[True], known[1:] != known[:-1]]))
-        group = np.cumsum(np.bincount(first, minlength=len(known))) - 1
-        self.matched[places[hit[first][group]]] = True
-
-    @staticmethod
-    def _merge(one, two):
-        keys, at = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
-        order = np.argsort(keys, kind="stable")  # two ascending runs
-        return keys[order], at[order]
-
-
-def matches(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batch: int = BATCH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, text_hash, first, last): runs of windows that occur again, by stretch."""
-    docs = id_text(docs).withColumn("text_hash", F.xxhash64("text"))
-    shards = max(1, -(-text_bytes(docs) // shard_bytes))
-    again = repeated_features(docs, stretch_features(width, seed)).dropDuplicates(["doc_id", "text_hash"]).toDF("id", "hash", "at")
-    flagged = docs.join(again, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))).drop("id", "hash")
+    def sort(self) -> None:
+        at = self.windows
+        self.order = at[np.argsort(self.keys(at), kind="stable")]
+
+    def matches(self, at: np.ndarray) -> pa.Table:
+        """Runs of the windows that start at these tokens, by stretch."""
+        at = np.unique(at)
+        owner = np.searchsorted(self.begin, at, "right") - 1
+        place = self.first[owner].astype(np.int64) + at - self.begin[owner]
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(owner)) - 1 if len(head) else head
+        return pa.table({"doc_id": self.ids.take(pa.array(owner[head])), "text_hash": self.texts[owner[head]], "first": place[head].astype(np.int32), "last": place[tail].astype(np.int32)})
+
+    def row(self, shard: int) -> pa.Table:
+        """One row of _LEVEL."""
+        values = {"shard": [shard], "doc_id": [self.ids.to_pylist()], "text_hash": [self.texts.tobytes()], "first": [self.first.tobytes()], "count": [self.count.tobytes()], "tokens": [self.tokens.tobytes()], "suffixes": [self.order.astype("<u4").tobytes()]}
+        return pa.table({k: pa.array(v, {"shard": pa.int32(), "doc_id": pa.list_(pa.int64())}.get(k, pa.binary())) for k, v in values.items()})
+
+
+def _indexed(table: pa.Table, width: int) -> Level:
+    level = Level([table], width)
+    level.order = np.frombuffer(b"".join(table.column("suffixes").to_pylist()), "<u4").astype(np.int64)
+    return level
+
+
+def suffix_sort(table: pa.Table, width: int) -> Level:
+    level = Level([table], width)
+    level.sort()
+    return level
+
+
+def repeats(level: Level) -> np.ndarray:
+    """Suffixes of a level that have their first ``width`` tokens in common with a neighbour."""
+    keys = level.keys(level.order)
+    same = keys[1:] == keys[:-1]
+    return np.concatenate([level.order[1:][same], level.order[:-1][same]])
+
+
+def merged(one: Level, two: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, common, side): the suffixes of two levels in one order, as places among those of one and then of two; which of them
+    have their first ``width`` tokens in common with a suffix of the other level; and from which level they are. Both ascend, and a stable
+    sort of two ascending runs is one pass of a merge."""
+    keys = np.concatenate([one.keys(one.order), two.keys(two.order)])
+    order = np.argsort(keys, kind="stable")
+    side = order >= len(one.order)
+    keys = keys[order]
+    group = np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]])) - 1 if len(keys) else order
+    both = (np.bincount(group, side) > 0) & (np.bincount(group, ~side) > 0) if len(keys) else np.zeros(0, bool)
+    return order, both[group], side
+
+
+class IndexFamily:
+    """Levels of a growing collection in one folder; ``levels`` has the table of each rank that is taken.
+
+    All batches must be cut for the same number of shards, and width and seed. The tables belong to the folder: ``IndexFamily.open``
+    finds them again in another session."""
+
+    def __init__(self, spark: SparkSession, shards: int, width: int = WIDTH, seed: int = SEED, folder: str | None = None):
+        self.spark, self.shards, self.width, self.seed = spark, shards, width, seed
+        self.folder = folder or new_folder(spark, "suffix-family")
+        self.files = min(MOST_FILES, max(1, -(-shards // SHARDS_PER_FILE)))
+        self.levels: dict[int, str] = {}
+        self.turn = 0
+
+    def _path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+    def _write(self, rows: DataFrame) -> str:
+        name = f"suffix_level_{uuid.uuid4().hex}"
+        rows.write.format("parquet").bucketBy(self.files, "shard").sortBy("shard").option("path", self._path(name)).option("compression", "zstd").saveAsTable(name)
+        return name
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE {name}")
+        delete_folder(self.spark, self._path(name))
+
+    def _save(self) -> None:
+        rows = [(self.shards, self.width, self.seed, self.turn, rank, name) for rank, name in self.levels.items()]
+        self.spark.createDataFrame(rows, "shards int, width int, seed int, turn int, rank int, name string").coalesce(1).write.mode("overwrite").parquet(self._path(f"family/turn={self.turn}"))
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> IndexFamily:
+        """The family as its last batch left it."""
+        rows = spark.read.parquet(f"{folder}/family/turn=*").collect()
+        rows = [r for r in rows if r["turn"] == max(x["turn"] for x in rows)]
+        family = cls(spark, rows[0]["shards"], rows[0]["width"], rows[0]["seed"], folder)
+        family.turn, family.levels = rows[0]["turn"], {r["rank"]: r["name"] for r in rows}
+        for name in family.levels.values():
+            if not spark.catalog.tableExists(name):
+                spark.sql(f"CREATE TABLE {name} ({_LEVEL}) USING parquet CLUSTERED BY (shard) SORTED BY (shard) INTO {family.files} BUCKETS LOCATION '{family._path(name)}'")
+        return family
+
+    def add(self, sent: DataFrame) -> DataFrame:
+        """Takes in a batch of stretches as ``send`` cuts them; (doc_id, text_hash, first, last): runs of windows, of this
+        batch and of earlier ones, that it matches or has twice."""
+        width, spark = self.width, self.spark
+
+        def sort(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            lean()
+            return suffix_sort(table, width).row(key[0].as_py())
+
+        def within(table: pa.Table) -> pa.Table:
+            lean()
+            level = _indexed(table, width)
+            return level.matches(repeats(level))
+
+        def scan(left: pa.Table, right: pa.Table) -> pa.Table:
+            lean()
+            one, two = _indexed(left, width), _indexed(right, width)
+            order, common, side = merged(one, two)
+            found = [one.matches(one.order[order[common & ~side]]), two.matches(two.order[order[common & side] - len(one.order)])]
+            return pa.concat_tables(x.cast(found[0].schema) for x in found)
+
+        def merge(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+            lean()
+            one, two = _indexed(left, width), _indexed(right, width)
+            whole = Level([left, right], width)
+            starts = np.concatenate([one.order, two.order + len(one.tokens)])
+            whole.order = starts[merged(one, two)[0]]
+            return whole.row(key[0].as_py())
+
+        name = self._write(sent.repartition(self.files, "shard").groupBy("shard").applyInArrow(sort, _LEVEL))
+        batch = spark.table(name).groupBy("shard")
+        found = batch.applyInArrow(within, _MATCH)
+        for level in self.levels.values():
+            found = found.unionByName(batch.cogroup(spark.table(level).groupBy("shard")).applyInArrow(scan, _MATCH))
+        found = stored(found, "suffix-matches")
+        rank = 0
+        while rank in self.levels:
+            old = self.levels.pop(rank)
+            both = self._write(spark.table(old).groupBy("shard").cogroup(spark.table(name).groupBy("shard")).applyInArrow(merge, _LEVEL))
+            self._drop(old)
+            self._drop(name)
+            name, rank = both, rank + 1
+        self.levels[rank] = name
+        self.turn += 1
+        self._save()
+        return found
+
+
+def send(docs: DataFrame, shards: int, width: int = WIDTH, seed: int = SEED, batches: int = 1) -> DataFrame:
+    """(batch, shard, ..): the stretches of (doc_id, text, text_hash) for each shard, packed. Where there is a column ``at``, only
+    those whose numbers, packed int32, it has."""
+    some = "at" in docs.columns
+
+    def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
+        for part in rows:
             for piece in pieces(part):
+                turn += 1
                 hashed, row, first, count, word, first_token = stretches(*utf8(piece.column("text")), width, seed)
-                starts = row_starts(row, piece.num_rows)
-                own = np.concatenate([starts[i] + np.frombuffer(x, np.int32) for i, x in enumerate(piece.column("at").to_pylist())])
+                own = np.arange(len(row))
+                if some:
+                    starts = row_starts(row, piece.num_rows)
+                    own = np.concatenate([starts[i] + np.frombuffer(x, np.int32) for i, x in enumerate(piece.column("at").to_pylist())])
+                if not len(own):
+                    continue
                 shard = (mix(hashed[own]) % U(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 own, shard = own[order], shard[order]
                 used, edge = np.unique(shard, return_index=True)
                 ids, texts = piece.column("doc_id"), piece.column("text_hash").to_numpy()
-                short = word.astype(np.uint32)
-                out = {"shard": [], "doc_id": [], "text_hash": [], "first": [], "count": [], "tokens": []}
+                short = word.astype(np.uint32).astype(">u4")
+                out = {"batch": [], "shard": [], "doc_id": [], "text_hash": [], "first": [], "count": [], "tokens": []}
                 for s, mine in zip(used.tolist(), np.split(own, edge[1:])):
                     begin, n = first_token[row[mine]] + first[mine], count[mine] + width - 1
                     at = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+                    out["batch"].append(turn % batches)
                     out["shard"].append(s)
                     out["doc_id"].append(ids.take(pa.array(row[mine])).to_pylist())
                     out["text_hash"].append(texts[row[mine]].tobytes())
                     out["first"].append(first[mine].astype(np.int32).tobytes())
                     out["count"].append(count[mine].astype(np.int32).tobytes())
                     out["tokens"].append(short[at].tobytes())
-                yield pa.RecordBatch.from_pydict({k: pa.array(v, {"shard": pa.int32(), "doc_id": pa.list_(pa.int64())}.get(k, pa.binary())) for k, v in out.items()})
-
-    def index(table: pa.Table) -> pa.Table:
-        lean()
-        ids = pa.concat_arrays([x.values if isinstance(x, pa.ListScalar) else x for x in table.column("doc_id")]) if table.num_rows else pa.array([], pa.int64())
-        join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        texts, first, count, words = join("text_hash", np.int64), join("first", np.int32).astype(np.int64), join("count", np.int32).astype(np.int64), join("tokens", np.uint32)
-        n = count + width - 1
-        begin = np.cumsum(n) - n
-        family = IndexFamily(words, width)
-        windows_ = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-        for i in range(0, len(windows_), batch):
-            family.add(windows_[i : i + batch])
-        marks = family.matched[windows_]
-        owner = np.repeat(np.arange(len(count)), count)
-        place = np.repeat(first, count) + windows_ - np.repeat(begin, count)
-        owner, place = owner[marks], place[marks]
-        new = np.ones(len(owner), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(owner)) - 1 if len(head) else head
-        return pa.table({"doc_id": ids.take(pa.array(owner[head])), "text_hash": texts[owner[head]], "first": place[head].astype(np.int32), "last": place[tail].astype(np.int32)})
+                yield pa.RecordBatch.from_pydict({k: pa.array(v, {"batch": pa.int32(), "shard": pa.int32(), "doc_id": pa.list_(pa.int64())}.get(k, pa.binary())) for k, v in out.items()})
+
+    return docs.mapInArrow(cut, "batch int, " + _SENT)
+
+
+def hashed_documents(docs: DataFrame) -> DataFrame:
+    return id_text(docs).withColumn("text_hash", F.xxhash64("text"))
+
 
-    sent = flagged.mapInArrow(send, "shard int, doc_id array<long>, text_hash binary, first binary, count binary, tokens binary")
-    return sent.groupBy("shard").applyInArrow(index, "doc_id long, text_hash long, first int, last int")
+def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
+    return max(1, -(-text_bytes(docs) // shard_bytes))
 
 
-def intervals(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batch: int = BATCH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def matches(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batches: int = BATCHES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(doc_id, text_hash, first, last): runs of windows that occur again, by stretch."""
+    docs = hashed_documents(docs)
+    shards = shards_of(docs, shard_bytes)
+    again = repeated_features(docs, stretch_features(width, seed), bytes_each=120).dropDuplicates(["doc_id", "text_hash"]).toDF("id", "hash", "at")
+    flagged = docs.join(again, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))).drop("id", "hash")
+    path = new_folder(docs.sparkSession, "suffix-stretches")
+    send(flagged, shards, width, seed, batches).write.partitionBy("batch").option("compression", "zstd").parquet(path)
+    sent = docs.sparkSession.read.schema(_SENT + ", batch int").parquet(path)
+    family, found = IndexFamily(docs.sparkSession, shards, width, seed), None
+    for k in range(batches):
+        own = family.add(sent.where(F.col("batch") == k).drop("batch"))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+def intervals(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batches: int = BATCHES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, start_token, end_token) as said above."""
-    found = matches(docs, width, seed, batch, shard_bytes).withColumn("end", F.col("last") + F.lit(width))
+    return merged_runs(matches(docs, width, seed, batches, shard_bytes), width)
+
+
+def merged_runs(found: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(doc_id, start_token, end_token): maximal intervals of runs of windows, whatever batches found them."""
+    found = found.groupBy("doc_id", "text_hash", "first").agg((F.max("last") + F.lit(width)).alias("end"))
     by = Window.partitionBy("doc_id", "text_hash").orderBy("first", "end")
     reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("first") <= F.col("reach"), 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    merged = found.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "text_hash", "island")
-    return merged.agg(F.min("first").alias("start_token"), F.max("end").alias("end_token")).select("doc_id", "start_token", "end_token").distinct()
+    whole = found.withColumn("reach", reach).withColumn("island", island).groupBy("doc_id", "text_hash", "island")
+    return whole.agg(F.min("first").alias("start_token"), F.max("end").alias("end_token")).select("doc_id", "start_token", "end_token").distinct()

@@ -1,12 +1,16 @@
 """The operators against SQL or brute force on small tables, and on odd ones."""
 
+import math
 import random
+import re
 from collections import Counter, defaultdict
+from itertools import combinations, permutations
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexmill.llm import importance, jaccard_join, license_scan, mixing, packing, quality_rules, substring_dedup, suffix_index
@@ -54,9 +58,9 @@ def rows_of(df):
     "operator, sql",
     [
         (quality_rules.metrics, quality_rules.sql()),
-        (lambda d: jaccard_join.similar_pairs(d, bucket_bytes=2000, block_docs=8), jaccard_join.sql()),
+        (lambda d: jaccard_join.linked(d, bucket_tokens=300, chunk_tokens=500, block_docs=8), jaccard_join.sql()),
         (lambda d: substring_dedup.intervals(d), substring_dedup.sql()),
-        (lambda d: suffix_index.intervals(d, batch=64, shard_bytes=3000), substring_dedup.sql()),
+        (lambda d: suffix_index.intervals(d, batches=3, shard_bytes=9000), substring_dedup.sql()),
         (mixing.counts, mixing.sql()),
     ],
     ids=["quality", "jaccard", "substrings", "suffixes", "mixing"],
@@ -74,11 +78,82 @@ def odd(spark, rows=ODD):
     return spark.createDataFrame([(*r, *[None] * CLASH.count(",")) for r in rows], SCHEMA + CLASH)
 
 
+def grams(text, n=jaccard_join.NGRAM):
+    ws = re.findall("[0-9A-Za-z\x80-\U0010ffff]+", text.lower())
+    return {tuple(ws[i : i + n]) for i in range(max(1, len(ws) - n + 1))} if ws else set()
+
+
+def jaccard(a, b):
+    a, b = grams(a), grams(b)
+    return len(a & b) / len(a | b) if a and b else 0.0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_with_frequent_tokens_equals_sql(spark, monkeypatch, seed):
+    """Many texts from few words: a third and more of the tokens are frequent, so that combinations are indexed."""
+    monkeypatch.setattr(jaccard_join, "OFTEN", 3)
+    rng = random.Random(seed)
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randint(8, 120))] for _ in range(6)]
+    rows = []
+    for i in range(90):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 12)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(60)}"
+        if rng.random() < 0.3:
+            words += rng.choice(base)[: rng.randint(3, 40)]
+        rows.append((i, " ".join(words), "en", "s", 1))
+    count = Counter(g for r in rows for g in grams(r[1]))
+    assert sum(n for n in count.values() if n > 3) >= 0.3 * sum(count.values())
+    got = jaccard_join.linked(spark.createDataFrame(rows, SCHEMA), bucket_tokens=400, chunk_tokens=600, block_docs=16)
+    assert rows_of(got) == duck(jaccard_join.sql(), rows)
+
+
+def test_pairs_of_a_bucket_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n, e = int(rng.integers(2, 90)), int(rng.integers(1, 40))
+        entry, member = rng.integers(0, e, 500).astype(np.uint64), rng.integers(0, n, 500)
+        size = rng.integers(1, 20, n)
+        by = defaultdict(set)
+        for x, m in zip(entry.tolist(), member.tolist()):
+            by[x].add(m)
+        want = {a << 32 | b for ms in by.values() for a in ms for b in ms if a < b and min(size[a], size[b]) >= 0.5 * max(size[a], size[b])}
+        assert set(jaccard_join.pairs_of(entry, member, size, 0.5, small=int(rng.integers(1, 30))).tolist()) == want
+
+
+def test_values_of_an_exchange_keep_their_size():
+    from lexmill.llm.common import exchange_sizes
+
+    for items in (0, 1, 10**6, 10**9, 3 * 10**13):
+        buckets, chunk = exchange_sizes(items, 1 << 20, 1 << 19)
+        assert buckets >= 1 and items / buckets <= max(1 << 20, (32 * items) ** 0.5) + 1
+        assert chunk / buckets >= 31 or buckets == 1
+
+
+def test_batches_one_by_one_equal_all_at_once(spark):
+    """Nine batches, the family opened anew after the fourth; the levels are those of the binary number nine."""
+    rows = corpus(6, 90)
+    docs = suffix_index.hashed_documents(spark.createDataFrame(rows, SCHEMA))
+    family, found = suffix_index.IndexFamily(spark, 3), []
+    for k in range(9):
+        if k == 4:
+            family = suffix_index.IndexFamily.open(spark, family.folder)
+        found.append(family.add(suffix_index.send(docs.where(F.col("doc_id") % 9 == k), 3).drop("batch")))
+    assert sorted(family.levels) == [0, 3]
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    want = duck(substring_dedup.sql(), rows)
+    assert want and rows_of(suffix_index.merged_runs(whole)) == want
+    assert rows_of(suffix_index.intervals(docs, batches=1)) == want
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     assert quality_rules.metrics(docs).count() == len(ODD)
     assert {r.doc_id for r in quality_rules.keep_documents(docs).collect()} == {3, None, 5}
-    assert jaccard_join.similar_pairs(docs).count() == 0  # equal rows with one id are one document; null ids are left out
+    # equal rows with one id are one document; null ids are left out
+    assert sorted(map(tuple, jaccard_join.linked(docs).collect())) == [(i, i, 0) for i in (1, 2, 3, 4, 5)]
     assert jaccard_join.keep_one(docs).count() == len(ODD)
     assert [tuple(r) for r in substring_dedup.intervals(docs).collect()] == [(4, 0, 30_000)]
     assert [tuple(r) for r in suffix_index.intervals(docs).collect()] == [(4, 0, 30_000)]
@@ -97,7 +172,7 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     one_label = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     for out in (
-        quality_rules.metrics(docs), quality_rules.keep_documents(docs), jaccard_join.similar_pairs(docs), jaccard_join.keep_one(docs), substring_dedup.intervals(docs), substring_dedup.cut(docs),
+        quality_rules.metrics(docs), quality_rules.keep_documents(docs), jaccard_join.linked(docs), jaccard_join.keep_one(docs), substring_dedup.intervals(docs), substring_dedup.cut(docs),
         suffix_index.intervals(docs), mixing.counts(docs), mixing.mixed(docs), license_scan.scan(docs), packing.packed(docs), importance.resampled(docs, labels), importance.resampled(docs, one_label),
     ):
         assert out.count() == 0
@@ -149,14 +224,127 @@ def alignment(doc, template):
     return best
 
 
+def edits(doc, template):
+    """Most matches of an alignment of the whole of ``doc`` with any part of the template that scores so much as the best."""
+    score = alignment(doc, template)
+    states = {}
+    before = [(0, 0)] + [(-j, 0) for j in range(1, len(doc) + 1)]
+    states[0] = before[-1]
+    for i, t in enumerate(template, 1):
+        now = [(0, 0)]
+        for j, d in enumerate(doc):
+            s, m = before[j]
+            now.append(max((s + 1, m + 1) if d == t else (s - 1, m), (before[j + 1][0] - 1, before[j + 1][1]), (now[-1][0] - 1, now[-1][1])))
+        before = now
+        states[i] = now[-1]
+    return max((m for s, m in states.values() if s == score), default=None)
+
+
 def test_banded_alignment_equals_the_full_one():
+    """The span that is reported, aligned as a whole, scores what the best local alignment does, with as many matches."""
     rng = random.Random(5)
-    for _ in range(30):
-        template = np.array([rng.randrange(6) for _ in range(25)])
-        doc = np.array([x for x in template if rng.random() > 0.1] + [rng.randrange(6)])
-        matched, start, end = license_scan.align(doc, template, -60, 60)
-        score = alignment(doc.tolist(), template.tolist())
-        assert score <= matched <= end - start + 0 or score == 0
+    for _ in range(60):
+        template = [rng.randrange(6) for _ in range(rng.randint(4, 25))]
+        doc = [rng.randrange(6) for _ in range(rng.randint(0, 8))] + [x if rng.random() > 0.1 else rng.randrange(6) for x in template if rng.random() > 0.1] + [rng.randrange(6) for _ in range(rng.randint(1, 8))]
+        matched, start, end = license_scan.align(np.array(doc), np.array(template), -60, 60)
+        score = alignment(doc, template)
+        assert score == alignment(doc[start:end], template)
+        assert not score or matched == edits(doc[start:end], template)
+
+
+def test_winnowing_guarantee():
+    """Of any K + W - 1 words in a row at least one fingerprint is kept, and it is the same wherever they stand."""
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 50, 400).astype(np.uint64)
+    row = np.sort(rng.integers(0, 12, 400))
+    for k, w in ((3, 2), (5, 4), (2, 7)):
+        hashed, first = license_scan.winnow(words, row, k, w)
+        for i in range(400 - (k + w - 1) + 1):
+            if row[i] == row[i + k + w - 2]:
+                assert ((first >= i) & (first <= i + w - 1)).any()
+        again, place = license_scan.winnow(np.concatenate([words[:7], words]), np.concatenate([np.full(7, -1), row]), k, w)
+        assert set(zip(hashed.tolist(), (first + 7).tolist())) <= set(zip(again.tolist(), place.tolist()))
+
+
+def test_planted_bodies_are_measured(spark):
+    """Every template in strange words, with words changed, left out and put in: coverage is the share of template words that an
+    alignment in full finds, and the span holds them."""
+    rng = random.Random(9)
+    names = [n for n, t in license_scan.TEMPLATES.items() if len(license_scan.words(t)) > 30]
+    docs = []
+    for i, name in enumerate(names):
+        ws = re.findall(r"\S+", license_scan.TEMPLATES[name])
+        for at in rng.sample(range(len(ws)), len(ws) // 25):
+            ws[at] = rng.choice(["changed", "", f"{ws[at]} added"])
+        around = lambda n: " ".join(f"q{rng.randrange(10**6)}" for _ in range(n))
+        docs.append((i, f"{around(37)} {' '.join(ws)} {around(20)}"))
+    got = defaultdict(list)
+    for r in license_scan.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got[r.doc_id].append(r)
+    for i, text in docs:
+        template, doc = license_scan.words(license_scan.TEMPLATES[names[i]]).tolist(), license_scan.words(text).tolist()
+        (r,) = [x for x in got[i] if x.template == names[i]]
+        assert alignment(doc[r.start_token : r.end_token], template) == alignment(doc, template)
+        assert r.coverage == r.n_matched / len(template) and r.n_matched <= len(template)
+        assert 37 <= r.start_token and r.end_token <= len(doc) - 20
+
+
+def test_templates_of_one_and_two_words(spark):
+    docs = spark.createDataFrame([(1, "text under CC0 here"), (2, "dual use: CC0 1 or so"), (3, "nothing")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.template, r.start_token, r.end_token) for r in license_scan.scan(docs, {"one": "CC0", "two": "use CC0"}).collect())
+    assert got == [(1, "one", 2, 3), (2, "two", 1, 3)]
+
+
+def gains(bins, sizes, capacity):
+    """Whether a move or an exchange of one for one, two for one or one for two between underfull bins raises the squared fills."""
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    under = [k for k in range(len(bins)) if fill[k] < capacity]
+    some = lambda b: [()] + [(i,) for i in b] + list(combinations(b, 2))
+    for a, b in permutations(under, 2):
+        if fill[a] <= fill[b]:  # a bin takes from less full ones
+            continue
+        for out in some(bins[a]):
+            for taken in some(bins[b]):
+                if taken and len(out) + len(taken) <= 3:
+                    more = sum(sizes[i] for i in taken) - sum(sizes[i] for i in out)
+                    if 0 < more <= capacity - fill[a]:
+                        return True
+    return False
+
+
+def optimum(sizes, capacity):
+    """Fewest bins, by trying all."""
+    best = len(sizes)
+
+    def place(k, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if k == len(sizes):
+            best = len(free)
+            return
+        for j in range(len(free)):
+            if free[j] >= sizes[k]:
+                place(k + 1, free[:j] + [free[j] - sizes[k]] + free[j + 1 :])
+        place(k + 1, free + [capacity - sizes[k]])
+
+    place(0, [])
+    return best
+
+
+def test_no_exchange_is_left_and_small_packings_are_best():
+    rng = random.Random(7)
+    extra = 0
+    for n in range(120):
+        sizes = [rng.randint(1, 30) for _ in range(rng.randint(1, 8))]
+        bins = packing.local_search(packing.best_fit(sizes, 30), sizes, 30)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(0 < sum(sizes[i] for i in b) <= 30 for b in bins)
+        assert not gains(bins, sizes, 30)
+        extra += len(bins) - optimum(sizes, 30)
+    assert extra == 0
+    for n in range(12):
+        sizes = [rng.randint(1, 40) for _ in range(60)]
+        assert not gains(packing.local_search([[i] for i in range(60)], sizes, 64), sizes, 64)
 
 
 def fewest_bins(sizes, capacity):
@@ -188,21 +376,53 @@ def test_packing_places_every_token_and_search_helps(spark):
     assert len(bins) <= 1.02 * fewest_bins(placed.n_tokens.to_numpy(), 64)
 
 
+MASK = (1 << 64) - 1
+
+
+def mixed_bits(x):
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & MASK
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & MASK
+    return x ^ x >> 31
+
+
+def feature_cells(text):
+    """Cells of words and word pairs by plain integers: a polynomial over the bytes of a word, one over the hashes of two words."""
+    words = [w.encode() for w in re.findall("[^ \t\n\x0b\f\r]+", text)]
+    hashed = [mixed_bits((sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(w)) + len(w)) & MASK) for w in words]
+    pairs = [mixed_bits(mixed_bits((a + b * 0xD6E8FEB86659FD93 + 2) & MASK)) for a, b in zip(hashed, hashed[1:])]
+    return np.array([h % importance.CELLS for h in hashed + pairs], np.int64)
+
+
+def noise(doc_id):
+    u = ((mixed_bits((mixed_bits(doc_id & MASK) + importance.SEED) & MASK) >> 12) + 0.5) / 2**52
+    return -math.log(-math.log(u))
+
+
+def test_noise_is_standard_gumbel():
+    x = importance.gumbel(np.arange(200_000))
+    assert abs(x.mean() - 0.5772) < 0.01 and abs(x.var() - math.pi**2 / 6) < 0.02
+    assert abs((x < 1.0).mean() - math.exp(-math.exp(-1.0))) < 0.005
+
+
+def test_rows_tied_at_the_cut_are_all_taken(spark):
+    rows = [(i, "good text here now") for i in range(10)] + [(10, "other words of bad kind")] * 6
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(11)], "doc_id long, quality int, toxic int")
+    got = Counter(r.doc_id for r in importance.resampled(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect())
+    assert got[10] in (0, 6) and sum(got.values()) >= 7
+
+
 def test_resampling_equals_brute_force(spark):
     rows = [(i, t) for i, t, *_ in corpus(8, 60)]
     labels = [(i, i % 2, 0) for i in range(40)]
     got = {r.doc_id: (r.n_features, r.log_weight, r.key) for r in importance.resampled(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
-    cells = {}
-    for i, t in rows:
-        data = t.encode()
-        cells[i] = importance.features(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]
+    cells = {i: feature_cells(t) for i, t in rows}
     raw, good = np.ones(importance.CELLS), np.ones(importance.CELLS)
     for i, c in cells.items():
         np.add.at(raw, c, 1)
         if i < 40 and i % 2:
             np.add.at(good, c, 1)
     ratio = np.log(good / good.sum()) - np.log(raw / raw.sum())
-    keys = {i: ratio[c].sum() + importance.gumbel(np.array([i]))[0] for i, c in cells.items() if len(c)}
+    keys = {i: ratio[c].sum() + noise(i) for i, c in cells.items() if len(c)}
     want = sorted(keys, key=keys.get, reverse=True)[: int(0.5 * len(rows) + 0.5)]
     assert set(got) == set(want)
     assert all(abs(got[i][2] - keys[i]) < 1e-6 for i in want)
@@ -216,7 +436,7 @@ def test_pipeline_equals_its_stages_in_brute_force(spark, tmp_path):
     names = sorted(["doc_id", "n_words", "n_chars_words", "dup_2gram_frac", "dup_3gram_frac", "dup_5gram_frac", "dup_7gram_frac", "dup_10gram_frac", "dup_line_frac", "keep"])
     kept = [r[names.index("doc_id")] for r in duck(quality_rules.sql(), rows) if r[names.index("keep")]]
     root = {i: i for i in kept}
-    pairs = [(a, b) for a, b, _ in duck(jaccard_join.sql(), [by_id[i] for i in kept])]
+    pairs = [(a, b) for a in kept for b in kept if a < b and jaccard(by_id[a][1], by_id[b][1]) >= jaccard_join.THRESHOLD]
     for _ in kept:
         for a, b in pairs:
             root[a] = root[b] = min(root[a], root[b])
