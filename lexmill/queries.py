@@ -27,7 +27,7 @@ from .sources.files import write_bytes
 from .sources.jsonl import read_jsonl, write_jsonl
 from .sources.manifest import archive_groups, parse_languages
 from .sources.warc import read_warc
-from .storage import new_folder, stored
+from .storage import new_folder, stored, table
 from .streaming.incremental import dedup_stream
 
 STOP_LANGS = ("en", "fr", "de", "es")
@@ -35,7 +35,7 @@ SIGNATURE_VALUES = 2
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, f"{sf_dir}/documents.parquet")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,22 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_documents(spark, sf_dir)).where(filters.still_long_enough("text")).select(F.col("record_idx").alias("doc_id"), "text")
 
 
+def _paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with a paragraph for each line."""
+    return _documents(spark, sf_dir).withColumn("text", F.replace("text", F.lit("\n"), F.lit("\n\n")))
+
+
+def paragraph_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of repeated sentences and paragraphs where every line is a paragraph."""
+    found = gopher.with_metrics(_paragraphs(spark, sf_dir))
+    return found.select(F.col("record_idx").alias("doc_id"), "gopher.frac_duplicate_sentences", "gopher.frac_duplicate_paragraphs")
+
+
+def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup of documents of several paragraphs that keeps a paragraph with anything new; no document goes."""
+    return dedup_lines(_paragraphs(spark, sf_dir), 0.0).select(F.col("record_idx").alias("doc_id"), "text")
+
+
 def duplicate_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(_documents(spark, sf_dir)).select(F.col("ord").alias("doc_id"), F.col("l").cast("long").alias("line_no"), "line")
 
@@ -200,24 +216,24 @@ def manifest_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", plain_text("html").alias("text"))
+    return table(spark, f"{sf_dir}/pages.parquet").select("page_id", plain_text("html").alias("text"))
 
 
 def write_pages_as_archives(spark: SparkSession, sf_dir: str, archives: int = 8) -> str:
     """A folder of archives with the pages as responses, each after a request record."""
     folder = new_folder(spark, "archives")
 
-    def write(key, table):
+    def write(key, pages):
         out = []
-        for r in table.sort_values("page_id").itertuples():
+        for r in pages.sort_values("page_id").itertuples():
             body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + r.html.encode()
             for kind, data in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", body)):
                 head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{r.page_id}>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: {r.url}\r\nContent-Type: application/http; msgtype={kind}\r\nContent-Length: {len(data)}\r\n\r\n"
                 out.append(head.encode() + data + b"\r\n\r\n")
         write_bytes(f"{folder}/segments/1700000000.0/warc/{int(key[0]):05d}.warc.gz", gzip.compress(b"".join(out), 1))
-        return table[["page_id"]].head(0)
+        return pages[["page_id"]].head(0)
 
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    pages = table(spark, f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     pages.groupBy(F.pmod("page_id", F.lit(archives)).alias("archive")).applyInPandas(write, "page_id long").count()
     return folder
 
@@ -265,7 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         gate_summary, gopher_metrics, pre_length_filter, repetitions, word_statistics, line_dedup, duplicate_line_report, minhash_signatures, minhash_dedup, lexical_language,
         line_weighted_scores, language_statistics, corpus_bytes, code_filter, legacy_filters, archive_progress, archive_statistics, manifest_groups, html_text, warc_scan, extracted_pages,
-        jsonl_roundtrip, curated, language_filters, legacy_pipeline, stream_line_dedup, bloom_line_dedup, archive_run, curated_files,
+        jsonl_roundtrip, curated, language_filters, legacy_pipeline, stream_line_dedup, bloom_line_dedup, archive_run, curated_files, paragraph_metrics, paragraph_dedup,
     )
     return {f.__name__: f for f in own}
 
@@ -290,7 +306,7 @@ def _round2(x: str) -> str:
     return f"(round((({x})::FLOAT * 100::FLOAT)::FLOAT::DOUBLE)::FLOAT / 100.0)::FLOAT::DOUBLE"
 
 
-def _metrics_sql() -> str:
+def _metrics_sql(source: str = "documents") -> str:
     stop = " ".join(f"WHEN '{lang}' THEN [{', '.join(f"'{w}'" for w in ws)}]" for lang, ws in STOP_WORDS.items())
     dup = lambda c: _ratio(f"{_bytes(c)} - {_bytes(f'list_distinct({c})')}", _bytes(c))
     chunks = lambda parts: f"list_filter(list_transform({parts}, lambda x: regexp_replace(x, '{_TRIM}', '', 'g')), lambda x: x <> '')"
@@ -299,7 +315,7 @@ def _metrics_sql() -> str:
             CASE WHEN text = '' THEN [] ELSE string_split(CASE WHEN ends_with(text, chr(10)) THEN left(text, length(text) - 1) ELSE text END, chr(10)) END AS ls,
             CASE lang {stop} END AS sw,
             {chunks("string_split(regexp_replace(text, '([.!?;:])([ \\t\\n\\f\\r])', '\\1' || chr(1) || '\\2', 'g'), chr(1))")} AS se,
-            {chunks("string_split(text, chr(10) || chr(10))")} AS pa FROM documents),
+            {chunks("string_split(text, chr(10) || chr(10))")} AS pa FROM {source}),
     m AS (SELECT doc_id, lang, text, {_ratio(_bytes("ws"), "len(ws)")} AS mean_word_length,
             {_share("ws", r"regexp_matches(x, '\p{L}')")} AS frac_words_with_alpha,
             {_share("ls", f"regexp_matches(x, '[.!?;:][{_WS}]*$')")} AS frac_lines_end_punctuation,
@@ -313,13 +329,13 @@ def _metrics_sql() -> str:
             WHEN frac_duplicate_sentences > 0.3::DOUBLE THEN 'duplicate_sentences' WHEN frac_duplicate_paragraphs > 0.3::DOUBLE THEN 'duplicate_paragraphs' END AS failed FROM m)"""
 
 
-def _lines_sql(last: str, scope: str = "0", known: str | None = None, source: str = "documents") -> str:
+def _lines_sql(last: str, scope: str = "0", known: str | None = None, source: str = "documents", threshold: float = 0.2) -> str:
     """Line dedup as common tables, the last of which is t (doc_id, text) of documents with some text left."""
     new = "nth = 1" if known is None else f"nth = 1 AND line NOT IN ({known})"
     return f"""WITH a AS (SELECT doc_id, sc, p, list_extract(ps, p) AS para FROM (SELECT doc_id, sc, ps, unnest(range(1, len(ps) + 1)) AS p FROM (SELECT doc_id, {scope} AS sc, regexp_split_to_array(text, '\\n\\n+') AS ps FROM {source}))),
             l AS (SELECT doc_id, sc, p, para, l, list_extract(ls, l) AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS l FROM (SELECT *, string_split(para, chr(10)) AS ls FROM a))),
             f AS (SELECT *, row_number() OVER (PARTITION BY sc, line ORDER BY doc_id, p, l) AS nth FROM l),
-            k AS (SELECT doc_id, p, para FROM f GROUP BY doc_id, p, para HAVING strlen(para) > 0 AND (sum(CASE WHEN {new} THEN strlen(line) ELSE 0 END)::DOUBLE / strlen(para))::FLOAT > 0.2::FLOAT),
+            k AS (SELECT doc_id, p, para FROM f GROUP BY doc_id, p, para HAVING strlen(para) > 0 AND (sum(CASE WHEN {new} THEN strlen(line) ELSE 0 END)::DOUBLE / strlen(para))::FLOAT > {threshold}::FLOAT),
             t AS (SELECT doc_id, string_agg(para || chr(10) || chr(10), '' ORDER BY p) AS text FROM k GROUP BY doc_id) {last}"""
 
 
@@ -337,6 +353,7 @@ def oracle_sql() -> dict[str, str]:
     lexical = ", ".join(f"{_share('lw', f'list_contains({sorted(set(STOP_WORDS[lang]))}, x)')} AS {lang}" for lang in STOP_LANGS)
     first, *rest = sorted(STOP_LANGS)
     best = f"greatest({', '.join(sorted(STOP_LANGS))})"
+    paragraphs = "(SELECT doc_id, lang, replace(text, chr(10), chr(10) || chr(10)) AS text FROM documents)"
     windows = "FROM (SELECT doc_id, encode(text) AS b, strlen(text) AS n FROM documents)"
     return {
         "gate_summary": f"WITH {_metrics_sql()} SELECT lang, count(*) FILTER (failed IS NULL) AS kept, count(*) FILTER (failed IS NOT NULL) AS dropped FROM r WHERE length(text) > 500 GROUP BY lang",
@@ -351,6 +368,8 @@ def oracle_sql() -> dict[str, str]:
             {_round2("len(list_filter(ws, lambda x: strlen(x) > 15))::DOUBLE / nullif(len(ws), 0)")} AS long_word_share, {_round2(f"{count(np)}::DOUBLE / nullif(length(text), 0)")} AS pnum,
             ({count(r"'\p{N}'")}::DOUBLE / nullif(length(text), 0))::FLOAT::DOUBLE AS numeric_share FROM p""",
         "line_dedup": _lines_sql("SELECT doc_id, text FROM t WHERE length(text) >= 500"),
+        "paragraph_metrics": f"WITH {_metrics_sql(paragraphs)} SELECT doc_id, frac_duplicate_sentences, frac_duplicate_paragraphs FROM m",
+        "paragraph_dedup": _lines_sql("SELECT doc_id, coalesce(t.text, '') AS text FROM documents LEFT JOIN t USING (doc_id)", source=paragraphs, threshold=0.0),
         "stream_line_dedup": _lines_sql("SELECT doc_id, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS group_idx, coalesce(t.text, '') AS text FROM documents LEFT JOIN t USING (doc_id)", scope="CASE WHEN lang = 'en' THEN 0 ELSE 1 END"),
         "bloom_line_dedup": _lines_sql("SELECT doc_id, coalesce(t.text, '') AS text FROM documents LEFT JOIN t USING (doc_id)", known="SELECT DISTINCT unnest(string_split(text, chr(10))) FROM documents WHERE lang = 'de'"),
         "legacy_pipeline": _lines_sql(f"""SELECT doc_id, text, rand FROM (SELECT doc_id, text, round_even({_round2("sum((w % 97 / 97.0::DOUBLE)::FLOAT::DOUBLE * w) / sum(w)")}, 3) AS rand

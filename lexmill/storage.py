@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_BYTES = 4 << 20
+
 _OWN: dict[str, str] = {}
 
 
@@ -25,6 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table. One with less than SPREAD_BYTES for each core is dealt out to all of them: it may be a single row group,
+    which one task would read and work on alone. What moves is bounded by that size."""
+    df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if cores > 1 and size < cores * SPREAD_BYTES else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors. The table goes when the
     session ends."""
