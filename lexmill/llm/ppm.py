@@ -12,6 +12,13 @@ gathered, combined in every task first; shorter contexts follow from them. Exclu
 in a context are always seen in its suffix too, so each context carries the count that its own bytes take away from
 the next shorter one, and costs are looked up by whole arrays of 4-byte keys.
 
+Above the trie stands one long context, the LONG words before a word. Where the table has these words followed by the same
+word at least twice, the word is known to the model of the whole corpus and its bytes cost nothing further; whether it is so is
+told by a flag for every word that has LONG words before it, and the flags of a document are coded adaptively, by the rule of succession:
+log2((n + 1) * (n choose k)) bits for k known ones of n. So a document that occurs twice costs hardly more than a few bits, and one
+that quotes others costs less. The LONG + 1 words are counted over the whole table by hash in a packed exchange (8 bytes a word),
+which grows with the input; what the trie gathers levels off, as there are only so many contexts of three bytes.
+
 The trie goes to the executors by broadcast up to MODEL_BYTES. A larger one is cut by the last context byte, to
 which all longer contexts of a key belong, and the documents are scanned once per part; the sums are the same.
 
@@ -25,7 +32,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import log2
+from math import lgamma, log, log2
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, stored
-from .kernels import pieces, utf8
+from .kernels import pieces, row_starts, tokens, utf8
+from .substring_dedup import repeated_features, window_features
 
 FOLDS = 2
 ORDER = 3
+LONG = 8
 MODEL_BYTES = 256 << 20
 _MASK = {3: 0xFFFFFFFF, 2: 0xFFFFFF, 1: 0xFFFF, 0: 0xFF}
 
@@ -151,8 +160,14 @@ def counts(docs: DataFrame) -> DataFrame:
     return _folded(docs).mapInArrow(count, schema).groupBy("fold", "last").applyInArrow(total, schema + ", symbols binary")
 
 
+def flag_bits(n: int, k: int) -> float:
+    """Bits of n flags of which k are set, by the rule of succession."""
+    return log2(n + 1) + (lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)) / log(2) if n > 0 else 0.0
+
+
 def score(docs: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, bits, bits_per_byte), one row per document, by the tries of the other fold."""
+    """(doc_id, n_bytes, bits, bits_per_byte), one row per document, by the tries of the other fold and the long contexts of
+    the table."""
     spark = docs.sparkSession
     model = stored(counts(docs), "ppm-counts")
     sizes = model.select("fold", "last", F.octet_length("keys").alias("b"), "symbols").collect()
@@ -166,14 +181,18 @@ def score(docs: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
         if parts[-1] and size[parts[-1]].sum() + size[last] > model_bytes:
             parts.append([])
         parts[-1].append(last)
+    known = repeated_features(docs, window_features(LONG + 1)).dropDuplicates(["doc_id", "text_hash"]).toDF("id", "hash", "at")
     folded, out = _folded(docs).withColumn("text_hash", F.xxhash64("text")), None
-    for part in parts:
+    folded = folded.join(known, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_hash").eqNullSafe(F.col("hash")), "left").drop("id", "hash")
+    if len(parts) > 1:
+        folded = stored(folded, "ppm-documents")
+    for turn, part in enumerate(parts):
         rows = model.where(F.col("last").isin(part)).select("fold", "keys", "counts").collect()
         tables = []
         for fold in range(FOLDS):
             own = [r for r in rows if r["fold"] == fold]
             tables.append((np.frombuffer(b"".join(r["keys"] for r in own), np.uint32), np.frombuffer(b"".join(r["counts"] for r in own), np.int64), symbols[fold]))
-        scan = _scan(spark.sparkContext.broadcast(tables), None if len(parts) == 1 else np.isin(np.arange(256), part))
+        scan = _scan(spark.sparkContext.broadcast(tables), None if len(parts) == 1 else np.isin(np.arange(256), part), turn == 0)
         one = folded.mapInArrow(scan, "doc_id long, text_hash long, n_bytes long, bits double")
         out = one if out is None else out.unionByName(one)
     if len(parts) > 1:  # every row was seen once per part
@@ -183,7 +202,21 @@ def score(docs: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
     return out.select("doc_id", "n_bytes", "bits", F.try_divide("bits", "n_bytes").alias("bits_per_byte"))
 
 
-def _scan(shared, wanted: np.ndarray | None):
+def known_bytes(at: pa.Array, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes lie in words that the long context knows, and the bits of each row's flags; ``at`` has the packed first
+    words of the windows that occur again."""
+    start, end, row = tokens(data, offsets)
+    first = row_starts(row, len(offsets) - 1)
+    rows = [np.frombuffer(x, np.int32).astype(np.int64) if x else np.zeros(0, np.int64) for x in at.to_pylist()]
+    word = np.concatenate([first[i] + x + LONG for i, x in enumerate(rows)]) if rows else np.zeros(0, np.int64)
+    step = np.zeros(len(data) + 1, np.int64)
+    np.add.at(step, start[word], 1)
+    np.add.at(step, end[word], -1)
+    flags = np.array([flag_bits(int(n) - LONG, len(x)) for n, x in zip(np.diff(first), rows)])
+    return np.cumsum(step[:-1]) > 0, flags
+
+
+def _scan(shared, wanted: np.ndarray | None, flags: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = [None] * FOLDS
         for batch in batches:
@@ -199,9 +232,11 @@ def _scan(shared, wanted: np.ndarray | None):
                         bits[~wanted[(key >> np.uint32(8)) & np.uint32(0xFF)]] = 0
                     n = np.diff(offsets)
                     full = np.flatnonzero(n)
-                    total = np.zeros(len(n))
+                    known, total = known_bytes(piece.column("at"), data, offsets)
+                    if not flags:
+                        total = np.zeros(len(n))
                     if len(full):
-                        total[full] = np.add.reduceat(bits[at], offsets[full])
+                        total[full] += np.add.reduceat(np.where(known, 0.0, bits[at]), offsets[full])
                     yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_hash"), pa.array(n, pa.int64()), pa.array(total)], names=["doc_id", "text_hash", "n_bytes", "bits"])
 
     return scan

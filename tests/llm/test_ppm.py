@@ -1,4 +1,7 @@
 import math
+import random
+import re
+from collections import Counter
 
 import pytest
 
@@ -8,16 +11,32 @@ from lexmill.llm import ppm
 def brute(rows):
     """Scores by the dictionary trie, trained without learning on the scored text."""
     out = []
+    long, seen = ppm.LONG, Counter()
+    for _, text, _ in rows:
+        ws = (text or "").split()
+        seen.update(tuple(ws[i : i + long + 1]) for i in range(len(ws) - long))
     for doc_id, text, fold in rows:
         model = {}
         for _, other, g in rows:
             if g != fold:
                 ppm.adaptive_bits((other or "").encode(), model=model)
-        out.append((doc_id, len((text or "").encode()), ppm.adaptive_bits((text or "").encode(), model=model, learn=False)))
+        ws = list(re.finditer(r"\S+", text or ""))
+        flags = [seen[tuple(w[0] for w in ws[i : i + long + 1])] > 1 for i in range(len(ws) - long)]
+        free = set()
+        for w, known in zip(ws[long:], flags):
+            if known:
+                free |= set(range(len(text[: w.start()].encode()), len(text[: w.end()].encode())))
+        each = [0.0]
+        for k in range(len((text or "").encode())):
+            each.append(ppm.adaptive_bits((text or "").encode()[: k + 1], model=model, learn=False))
+        bits = sum(b - a for k, (a, b) in enumerate(zip(each, each[1:])) if k not in free)
+        bits += math.log2((len(flags) + 1) * math.comb(len(flags), sum(flags))) if flags else 0.0
+        out.append((doc_id, len((text or "").encode()), bits))
     return out
 
 
-TEXTS = ["the cat sat on the mat", "the cat sat on the hat", "été à la plage, été", "", None, "zzzz qqqq", "the cat sat on the mat", "x" * 5000]
+LINE = "one two three föur five six seven eight nine ten eleven twelve"
+TEXTS = ["the cat sat on the mat", "the cat sat on the hat", "été à la plage, été", "", None, "zzzz qqqq", "the cat sat on the mat", "x" * 300, LINE, LINE + " ends otherwise", "begins " + LINE + " " + LINE]
 
 
 @pytest.mark.parametrize("model_bytes", [ppm.MODEL_BYTES, 400])
@@ -41,6 +60,21 @@ def test_empty_table_nulls_and_repeated_rows(spark):
     assert len(rows) == 4
 
 
+def test_documents_that_occur_twice_cost_next_to_nothing(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) + rng.choice("xyz") for _ in range(120)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, texts[i % 30]) for i in range(36)], "doc_id long, text string")
+    rate = {r.doc_id: r.bits_per_byte for r in ppm.score(docs).collect()}
+    twice = {i for i in range(36) if i % 30 < 6}
+    assert max(rate[i] for i in twice) < 0.5 * min(rate[i] for i in rate if i not in twice)
+
+
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "word and others " * 60_000), (2, "zz " * 5)], "doc_id long, text string")
+    got = {r.doc_id: r for r in ppm.score(docs).collect()}
+    assert got[1].n_bytes == 960_000 and got[1].bits_per_byte < got[2].bits_per_byte
+
+
 def test_adaptive(spark):
     docs = spark.createDataFrame([(1, "aaaaaaaaaaaa"), (2, "qwertyuiop")], "doc_id long, text string")
     got = {r.doc_id: r for r in ppm.score_adaptive(docs).collect()}
