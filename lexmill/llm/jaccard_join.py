@@ -472,8 +472,9 @@ def linked_sets(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOL
     # copies of one text mostly share their least partner: by it they come into one block, and hardly any pair is across
     ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("print"), F.col("b").alias("other")), F.struct(F.col("b").alias("print"), F.col("a").alias("other")))).alias("x")).select("x.*")
     label = ends.groupBy("print").agg(F.least(F.col("print"), F.min("other")).alias("label"))
-    size = F.count("*").over(Window.partitionBy("label"))
-    label = stored(label.withColumn("part", F.pmod(F.col("print"), F.ceil(size / F.lit(block_docs)))), "jaccard-labels")
+    label = stored(label, "jaccard-labels")
+    size = label.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block_docs)).alias("parts"))
+    label = stored(label.join(size, "label").withColumn("part", F.pmod(F.col("print"), F.col("parts"))), "jaccard-parts")
     blocks = max(1, -(-label.count() // block_docs))
     label = label.select("print", F.pmod(F.xxhash64("label", "part"), F.lit(blocks)).alias("block"))
     placed = pairs.join(label.toDF("a", "block_a"), "a").join(label.toDF("b", "block_b"), "b")
