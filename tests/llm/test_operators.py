@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexmill.llm import importance, jaccard_join, license_scan, mixing, packing, quality_rules, substring_dedup, suffix_index
+from lexmill.llm.common import components
 from lexmill.llm.kernels import utf8
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -121,6 +122,42 @@ def test_pairs_of_a_bucket_equal_brute_force():
         assert set(jaccard_join.pairs_of(entry, member, size, 0.5, small=int(rng.integers(1, 30))).tolist()) == want
 
 
+def test_many_partners_and_very_long_texts(spark):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(5000)}" for _ in range(40_000)]
+    base = [f"v{rng.randrange(900)}" for _ in range(150)]
+    rows = [(i, " ".join(long[: 40_000 - 50 * i]), "en", "s", 1) for i in range(3)]
+    for i in range(3, 140):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            words[rng.randrange(150)] = f"x{i}"
+        rows.append((i, " ".join(words), "en", "s", 1))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.linked(spark.createDataFrame(rows, SCHEMA), block_docs=32).collect()}
+    sets = {r[0]: grams(r[1]) for r in rows}
+    for i in range(140):
+        near = [j for j in range(140) if j != i and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.5]
+        assert got[i] == ((0 if i < 3 else 3), len(near))
+
+
+def test_groups_of_links(spark):
+    rng = random.Random(3)
+    for n, m in ((1, 0), (40, 25), (60, 200)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + ([(i, i + 1) for i in range(100, 130)] if m else [])
+        root = {x: x for e in edges for x in e}
+        for _ in range(130):
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {x: r for x, r in root.items() if x != r}
+
+
+def test_repeated_rows_at_the_cut_of_a_source_are_all_taken(spark):
+    rows = [(i, "text " * 40, "en", "a", 1) for i in range(9)] + [(9, "text " * 40, "en", "a", 1)] * 5
+    for total in range(300, 2600, 300):
+        got = Counter(r.doc_id for r in mixing.mixed(spark.createDataFrame(rows, SCHEMA), {"a": 1.0}, total).collect())
+        assert got[9] in (0, 5, 10) and abs(sum(got.values()) - total / 200) <= 5.5
+
+
 def test_values_of_an_exchange_keep_their_size():
     from lexmill.llm.common import exchange_sizes
 
