@@ -92,20 +92,22 @@ def band_keys(signature_: Column | str, threshold: float = 0.8, num_perm: int =
 
 
 def near_duplicate_ids(docs: DataFrame, threshold: float = 0.8, num_perm: int = 128, ngram: int = 5, scope: str = "group_idx", order: str = "record_idx") -> DataFrame:
-    """(scope, ord) of the documents that go."""
+    """(scope, ord) of the documents that go.
+
+    Null texts, and those of fewer than ``ngram`` bytes, have one signature, so that all but the first of a scope go; rows that repeat a
+    document share its place and its fate; documents without an order take no part; an empty table gives no rows."""
     keyed = docs.select(F.col(scope).alias("scope"), F.col(order).alias("ord"), band_keys(signature("text", num_perm, ngram), threshold, num_perm).alias("keys"))
     buckets = stored(keyed.select("scope", "ord", F.posexplode("keys").alias("band", "key")), "minhash-buckets")
     shared = buckets.groupBy("scope", "band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     # documents alone in all their buckets stay, and hold nobody back
     open_ = stored(buckets.join(shared, ["scope", "band", "key"]).select("scope", "ord", F.xxhash64("band", "key").alias("bucket")), "minhash-open")
-    kept, gone = None, None
+    gone = None
     while not open_.isEmpty():
         first = open_.groupBy("scope", "bucket").agg(F.min("ord").alias("first"))
         stays = open_.join(first, ["scope", "bucket"]).groupBy("scope", "ord").agg(F.min((F.col("ord") == F.col("first")).cast("int")).alias("all")).where("all = 1").select("scope", "ord")
         stays = stored(stays, "minhash-stays")
         taken = open_.join(stays, ["scope", "ord"], "left_semi").groupBy("scope", "bucket").agg(F.min("ord").alias("stay"))
         goes = stored(open_.join(taken, ["scope", "bucket"]).where("ord > stay").select("scope", "ord").distinct(), "minhash-goes")
-        kept = stays if kept is None else kept.unionByName(stays)
         gone = goes if gone is None else gone.unionByName(goes)
         open_ = stored(open_.join(stays.unionByName(goes), ["scope", "ord"], "left_anti"), "minhash-open")
     return gone if gone is not None else docs.select(F.col(scope).alias("scope"), F.col(order).alias("ord")).limit(0)

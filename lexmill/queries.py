@@ -18,7 +18,7 @@ from .functions.stop_words import STOP_WORDS
 from .operators import filters, progress, stats
 from .operators.line_dedup import dedup_lines, filtered_lines, repeated_lines
 from .operators.minhash import near_duplicate_ids, seeds, signature
-from .operators.scoring import lexical_scores, top_label, with_scores
+from .operators.scoring import lexical_scores, top_label, train_classifier, with_scores
 from .plans.curate import CurateConfig, curate, extract
 from .plans.create import create
 from .plans.legacy import legacy_filter
@@ -132,6 +132,20 @@ def line_weighted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.where(F.map_contains_key("scores", "rand")).where(filters.not_random("scores", 0.6)).select(F.col("record_idx").alias("doc_id"), F.element_at("scores", "rand").alias("rand"))
 
 
+#: Labelled documents that the quality classifier is fitted on, the first in hash order.
+TRAIN_DOCUMENTS = 2000
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a classifier fitted on labelled documents, and the filter on low quality."""
+    docs = _documents(spark, sf_dir)
+    labels = table(spark, f"{sf_dir}/labels.parquet").where("quality IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
+    rows = docs.join(labels, F.col("record_idx") == F.col("doc_id")).orderBy("doc_id").select("text", F.when(F.col("quality") > 0, "high").otherwise("low").alias("label"))
+    model = train_classifier(rows.toPandas())
+    scored = with_scores(docs, lambda lang: model, prefix="dclm_")
+    return scored.select(F.col("record_idx").alias("doc_id"), F.try_element_at("scores", F.lit("dclm_low")).alias("low"), filters.not_low_quality("scores").alias("kept"))
+
+
 def language_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.language_stats(_docs(spark, sf_dir), "lang")
 
@@ -281,7 +295,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         gate_summary, gopher_metrics, pre_length_filter, repetitions, word_statistics, line_dedup, duplicate_line_report, minhash_signatures, minhash_dedup, lexical_language,
         line_weighted_scores, language_statistics, corpus_bytes, code_filter, legacy_filters, archive_progress, archive_statistics, manifest_groups, html_text, warc_scan, extracted_pages,
-        jsonl_roundtrip, curated, language_filters, legacy_pipeline, stream_line_dedup, bloom_line_dedup, archive_run, curated_files, paragraph_metrics, paragraph_dedup,
+        jsonl_roundtrip, curated, language_filters, legacy_pipeline, stream_line_dedup, bloom_line_dedup, archive_run, curated_files, quality_scores, paragraph_metrics, paragraph_dedup,
     )
     return {f.__name__: f for f in own}
 
