@@ -193,6 +193,12 @@ class IndexFamily:
         self.spark.sql(f"DROP TABLE {name}")
         delete_folder(self.spark, self._path(name))
 
+    def drop(self) -> None:
+        """Forgets all levels, tables and files."""
+        for name in self.levels.values():
+            self._drop(name)
+        self.levels = {}
+
     def _save(self) -> None:
         rows = [(self.shards, self.width, self.seed, self.turn, rank, name) for rank, name in self.levels.items()]
         self.spark.createDataFrame(rows, "shards int, width int, seed int, turn int, rank int, name string").coalesce(1).write.mode("overwrite").parquet(self._path(f"family/turn={self.turn}"))
@@ -317,6 +323,7 @@ def matches(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batches: int
     for k in range(batches):
         own = family.add(sent.where(F.col("batch") == k).drop("batch"))
         found = own if found is None else found.unionByName(own)
+    family.drop()
     return found
 
 

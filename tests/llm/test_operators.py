@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexmill.llm import importance, jaccard_join, license_scan, mixing, packing, quality_rules, substring_dedup, suffix_index
-from lexmill.llm.common import components
+from lexmill.llm.common import by_bucket, components, hashed_sample
 from lexmill.llm.kernels import utf8
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -139,6 +139,20 @@ def test_many_partners_and_very_long_texts(spark):
         assert got[i] == ((0 if i < 3 else 3), len(near))
 
 
+def test_a_bounded_sample_is_the_first_in_hash_order(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    whole = [r.k for r in df.orderBy(F.pmod(F.xxhash64("k", F.lit(3)), F.lit(1 << 40)), "k").collect()]
+    for most in (300, 3000, 9000):
+        assert [r.k for r in hashed_sample(df, most, "k", seed=3).collect()] == whole[:most]
+
+
+def test_buckets_are_dealt_out_without_another_exchange(spark):
+    packed = spark.range(200).select((F.col("id") % 40).cast("int").alias("bucket"), "id")
+    counted = by_bucket(packed, 40).count()
+    assert {(r["bucket"], r["count"]) for r in counted.collect()} == {(b, 5) for b in range(40)}
+    assert counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange ") == 1
+
+
 def test_groups_of_links(spark):
     rng = random.Random(3)
     for n, m in ((1, 0), (40, 25), (60, 200)):
@@ -182,7 +196,11 @@ def test_batches_one_by_one_equal_all_at_once(spark):
         whole = whole.unionByName(more)
     want = duck(substring_dedup.sql(), rows)
     assert want and rows_of(suffix_index.merged_runs(whole)) == want
+    tables = {t.name for t in spark.catalog.listTables()}
     assert rows_of(suffix_index.intervals(docs, batches=1)) == want
+    assert {t.name for t in spark.catalog.listTables()} == tables == set(family.levels.values())
+    family.drop()
+    assert not spark.catalog.listTables()
 
 
 def test_odd_rows(spark):
