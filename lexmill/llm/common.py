@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_folder, stored  # noqa: F401 - for the operators
@@ -24,6 +24,18 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
+def hashed_sample(df: DataFrame, most: int, *keys: str, seed: int = 0) -> DataFrame:
+    """At most ``most`` rows, the first in the order of a hash of the keys, then by the keys.
+
+    Rows beyond twice the share that is wanted are left out before the sort, so that all tasks together send the driver some
+    2 * ``most`` rows instead of so many each."""
+    cells = 1 << 40
+    at = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(cells))
+    n = df.count()
+    some = df.where(at < int(2 * most / n * cells)) if n > 2 * most else df
+    return some.orderBy(at, *keys).limit(most)
+
+
 def exchange_sizes(items: int, bucket: int, chunk: int, most_rows: int = 32) -> tuple[int, int]:
     """Number of buckets and items of a chunk for a packed exchange of so many items.
 
@@ -34,6 +46,13 @@ def exchange_sizes(items: int, bucket: int, chunk: int, most_rows: int = 32) ->
     return max(1, -(-items // max(bucket, both))), max(chunk, both)
 
 
+def by_bucket(df: DataFrame, buckets: int) -> GroupedData:
+    """Groups by the column ``bucket``, 0 to buckets - 1. Buckets are dealt out evenly, one to a task as long as that is at most four
+    times the number of shuffle partitions; by hash some tasks would get several."""
+    tasks = min(buckets, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.withColumn("task", F.col("bucket") % F.lit(tasks)).repartitionById(tasks, F.col("task")).groupBy("task", "bucket")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the nodes that have edges to others, roots excepted: the least node of each connected group, by
     alternating large-star and small-star rounds."""

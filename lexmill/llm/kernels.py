@@ -156,3 +156,15 @@ def group_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if np.array_equal(low, root):
             return root
         root = low
+
+
+def short(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of 64-bit words."""
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def long(data: bytes, width: int) -> np.ndarray:
+    """64-bit words of which these are the low bytes."""
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8").reshape(-1)

@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import exchange_sizes, text_bytes
-from .kernels import U, lean, mix, pieces, repeated, row_starts, span_hashes, tokens, utf8, windows
+from .common import by_bucket, exchange_sizes, text_bytes
+from .kernels import U, lean, long, mix, pieces, repeated, row_starts, short, span_hashes, tokens, utf8, windows
 
 WIDTH = 50
 #: Least numbers of features that share a bucket and that a map task packs together; both grow with the square root of the
@@ -55,9 +55,9 @@ def _narrow(most: int) -> type:
     return np.uint8 if most <= 1 << 8 else np.uint16 if most <= 1 << 16 else np.uint32
 
 
-def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, bucket_features: int = BUCKET_FEATURES, chunk_features: int = CHUNK_FEATURES) -> DataFrame:
+def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, hash_bytes: int = 8, bucket_features: int = BUCKET_FEATURES, chunk_features: int = CHUNK_FEATURES) -> DataFrame:
     """(doc_id, text_hash, at): for each document that has any, the packed int32 positions of its features that
-    occur at least twice in the table, of which there is about one for ``bytes_each`` bytes of text."""
+    occur at least twice in the table, of which there is about one for ``bytes_each`` bytes of text. ``hash_bytes`` of each hash are compared, within a bucket."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets, chunk_features = exchange_sizes(text_bytes(docs) // bytes_each, bucket_features, chunk_features)
     code = _narrow(buckets)
@@ -76,7 +76,7 @@ def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, b
             order = np.argsort(bucket, kind="stable")
             full, starts = np.unique(bucket[order], return_index=True)
             edges = np.append(starts, len(order))
-            ordered = hashed[order]
+            ordered = (hashed // U(buckets) if hash_bytes < 8 else hashed)[order]
             # positions travel only where they are not 0, 1, 2 and so on
             meta = [ids.tobytes(), texts.tobytes(), null.tobytes(), np.bincount(row, minlength=len(ids)).astype(np.int32).tobytes(), at.astype(np.int32).tobytes() if not _dense(row, at) else b"", bucket.tobytes()]
             full = full.tolist()
@@ -85,7 +85,7 @@ def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, b
                     "bucket": pa.array([*full, full[chunk % len(full)]], pa.int32()),
                     "chunk": pa.array([chunk] * (len(full) + 1), pa.int64()),
                     "part": pa.array([*full, -1], pa.int32()),
-                    "parts": pa.array([[ordered[edges[i] : edges[i + 1]].tobytes()] for i in range(len(full))] + [meta], pa.list_(pa.binary())),
+                    "parts": pa.array([[short(ordered[edges[i] : edges[i + 1]], hash_bytes)] for i in range(len(full))] + [meta], pa.list_(pa.binary())),
                 }
             )
 
@@ -108,8 +108,8 @@ def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, b
         lean()
         part = table.column("part").to_numpy()
         held = [x[0] for x, p in zip(table.column("parts").to_pylist(), part) if p >= 0]
-        marks = repeated(np.frombuffer(b"".join(held), U))
-        ends = np.cumsum([len(x) // 8 for x in held])
+        marks = repeated(long(b"".join(held), hash_bytes))
+        ends = np.cumsum([len(x) // hash_bytes for x in held])
         bits = iter(np.split(marks, ends[:-1]) if held else [])
         answer = [[np.packbits(next(bits)).tobytes()] if p >= 0 else x for p, x in zip(part, table.column("parts").to_pylist())]
         return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "parts": pa.array(answer, pa.list_(pa.binary()))})
@@ -142,7 +142,7 @@ def repeated_features(docs: DataFrame, features: Feature, bytes_each: int = 6, b
         )
 
     packed = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(pack, "bucket int, chunk long, part int, parts array<binary>")
-    counted = packed.groupBy("bucket").applyInArrow(count, "chunk long, part int, parts array<binary>")
+    counted = by_bucket(packed, buckets).applyInArrow(count, "chunk long, part int, parts array<binary>")
     return counted.groupBy("chunk").applyInArrow(gather, "doc_id long, text_hash long, at binary")
 
 
