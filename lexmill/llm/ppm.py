@@ -16,7 +16,7 @@ Above the trie stands one long context, the LONG words before a word. Where the
 word at least twice, the word is known to the model of the whole corpus and its bytes cost nothing further; whether it is so is
 told by a flag for every word that has LONG words before it, and the flags of a document are coded adaptively, by the rule of succession:
 log2((n + 1) * (n choose k)) bits for k known ones of n. So a document that occurs twice costs hardly more than a few bits, and one
-that quotes others costs less. The LONG + 1 words are counted over the whole table by hash in a packed exchange (8 bytes a word),
+that quotes others costs less. The LONG + 1 words are counted over the whole table by hash in a packed exchange (5 bytes a word),
 which grows with the input; what the trie gathers levels off, as there are only so many contexts of three bytes.
 
 The trie goes to the executors by broadcast up to MODEL_BYTES. A larger one is cut by the last context byte, to
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
         if parts[-1] and size[parts[-1]].sum() + size[last] > model_bytes:
             parts.append([])
         parts[-1].append(last)
-    known = repeated_features(docs, window_features(LONG + 1)).dropDuplicates(["doc_id", "text_hash"]).toDF("id", "hash", "at")
+    known = repeated_features(docs, window_features(LONG + 1), hash_bytes=5).dropDuplicates(["doc_id", "text_hash"]).toDF("id", "hash", "at")
     folded, out = _folded(docs).withColumn("text_hash", F.xxhash64("text")), None
     folded = folded.join(known, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_hash").eqNullSafe(F.col("hash")), "left").drop("id", "hash")
     if len(parts) > 1:
