@@ -48,8 +48,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, exchange_sizes, stored, text_bytes
-from .kernels import U, WORD, group_roots, lean, mix, pieces, row_starts, span_hashes, tokens, utf8, windows
+from .common import by_bucket, components, exchange_sizes, stored, text_bytes
+from .kernels import U, WORD, group_roots, lean, long, mix, pieces, row_starts, short, span_hashes, tokens, utf8, windows
 
 NGRAM = 4
 THRESHOLD = 0.5
@@ -155,17 +155,6 @@ def index_entries(hashed: np.ndarray, row: np.ndarray, frequent: np.ndarray, siz
     return np.concatenate(entries), np.concatenate(rows)
 
 
-def short(values: np.ndarray, width: int) -> bytes:
-    """The low bytes of 64-bit words."""
-    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def long(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return out.view("<u8").reshape(-1)
-
-
 def runs(member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(member, length) of the runs of an array, none longer than 65,535."""
     head = np.flatnonzero(np.diff(member, prepend=-1))
@@ -388,7 +377,7 @@ def token_sets(docs: DataFrame, n: int, threshold: float, bucket_tokens: int = B
         )
 
     packed = docs.mapInArrow(pack, "bucket int, chunk long, kind int, a binary, b binary, c binary")
-    counted = packed.groupBy("bucket").applyInArrow(count, "chunk long, kind int, a binary, b binary, c binary, d binary")
+    counted = by_bucket(packed, buckets).applyInArrow(count, "chunk long, kind int, a binary, b binary, c binary, d binary")
     return counted.groupBy("chunk").applyInArrow(gather, "chunk long, nth int, doc_id long, print long, size long, tokens binary, n_rare long")
 
 
@@ -457,7 +446,7 @@ def candidates(sets_: DataFrame, threshold: float, bucket_tokens: int = BUCKET_T
         return pa.table({"a": known[one[here]], "b": known[two[here]]})
 
     packed = own.mapInArrow(pack, "bucket int, entry binary, length binary, print binary, size binary, sign binary")
-    return packed.groupBy("bucket").applyInArrow(pair, "a long, b long").distinct()
+    return by_bucket(packed, buckets).applyInArrow(pair, "a long, b long").distinct()
 
 
 def linked_sets(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS, block_docs: int = BLOCK_DOCS) -> tuple[DataFrame, DataFrame]:
