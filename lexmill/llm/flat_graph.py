@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, hashed_sample, stored
 from .kernels import group_roots
 
 THRESHOLD = 0.95
@@ -235,7 +235,7 @@ def _shards(nodes: DataFrame, n: int, overlap: int, shard_vectors: int) -> DataF
     spark = nodes.sparkSession
     k = -(-n // shard_vectors)
     cells_wanted = max(1, math.isqrt(k))
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(max(TRAIN_VECTORS, TRAIN_EACH * cells_wanted)).select("v").toArrow()
+    sample = hashed_sample(nodes.select("id", "v"), max(TRAIN_VECTORS, TRAIN_EACH * cells_wanted), "id").toArrow()
     middle = spark.sparkContext.broadcast(centroids(matrix(sample.column("v")), min(cells_wanted, sample.num_rows)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,7 +383,7 @@ def recall(nodes: DataFrame, n: int, found: DataFrame, threshold: float, audit:
     queries, whichever is less; 1.0 where they have none. ``audit`` doubles until there are enough true pairs. All pairs that
     were found are true and counted once, so that the counts tell."""
     while True:
-        sample = nodes.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(audit).select("id", "v").toArrow()
+        sample = hashed_sample(nodes.select("id", "v"), audit, "id", seed=1).toArrow()
         ids, x = sample.column("id").to_numpy(), matrix(sample.column("v"))
 
         def brute(batches: Iterator[pa.RecordBatch], ids=ids, x=x) -> Iterator[pa.RecordBatch]:
