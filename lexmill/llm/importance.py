@@ -6,7 +6,7 @@ sum over its features of log p_target - log p_raw. Adding Gumbel noise to the lo
 samples k documents without replacement in proportion to their weights. k is the share of good labels times the
 number of documents.
 
-The target is fitted on at most TRAIN_ROWS labelled rows, the first in hash order of doc_id; a bounded,
+The target is fitted on at most TRAIN_ROWS labelled rows, the first in hash order of doc_id and label; a bounded,
 documented sample. The raw counts and the scores cover every document. Both models have a fixed size and travel by
 broadcast. The k-th largest key is found from four histograms of its bits, without a sort and without bringing any rows together.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, stored
+from .common import hashed_sample, id_text, stored
 from .kernels import U, mix, pieces, span_hashes, tokens, utf8, windows
 
 CELLS = 1 << 16
@@ -46,7 +46,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 def good_ids(labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Ids of documents labelled good within the sample, and their share of it."""
     sample = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") > 0).alias("good"))
-    rows = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(most).toPandas()
+    rows = hashed_sample(sample, most, "doc_id", "good").toPandas()
     return np.unique(rows.loc[rows["good"], "doc_id"].to_numpy(np.int64)), float(rows["good"].mean()) if len(rows) else 0.0
 
 
