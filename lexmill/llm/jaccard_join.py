@@ -20,9 +20,12 @@ for both sets, so no similar pair is lost.
 
 Each bucket of the index pairs the sets that share an entry, within the length bound. With every set come its SIGNATURE least
 entries: two sets that have some of these in common are a candidate only in the bucket of the least of them, others in each bucket
-in which they meet. Candidates are then verified exactly: sets meet in blocks, and a set is sent only to the blocks in which it has a
-partner. Blocks return the number of similar documents of each set and one edge for each set of a group, not pairs.
-Equal sets are one set throughout. Chunks and buckets grow with the square root of the table beyond their least sizes, so
+in which they meet. Every set has a block beforehand, that of the least set with which it shares one of its LABEL least entries, so
+that near copies are in few blocks; blocks are bounded in sets and in tokens. Candidates are verified exactly, by pairs of blocks, and a
+set is sent only to those in which it has a partner. Where an entry alone brings a 64th of all pairs of two blocks, or a sixteenth of
+them are candidates, these are not listed: all sets of the two blocks are compared. So a group of near copies that grows with the table
+is never a list of pairs, in no bucket and no block, and what a worker holds does not grow with it.
+Blocks return the number of similar documents of each set and one edge for each set of a group, not pairs. Equal sets are one set throughout. Chunks and buckets grow with the square root of the table beyond their least sizes, so
 that the packed values keep their size.
 
 Result: (doc_id, class_id, n_links), one row per document: the least doc_id of all documents that are linked to it
@@ -40,6 +43,7 @@ Tokens are told apart by 64-bit hashes, cut to 40 bits within a bucket of the co
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,13 +62,16 @@ OFTEN = 64
 #: Least numbers of tokens, or index entries, that share a bucket and that a map task packs together.
 BUCKET_TOKENS = 1 << 20
 CHUNK_TOKENS = 1 << 19
-#: Sets that share a block of the verification.
+#: Sets that share a block of the verification, and their tokens on average at most.
 BLOCK_DOCS = 2048
+BLOCK_TOKENS = 512
 #: Sets of fewer than 2^_TINY tokens are in spaces without combinations; a group has about _GROUP tokens.
 _TINY = 3
 _GROUP = 4
 #: Least entries of a set that travel with its other entries, 6 bytes each.
 SIGNATURE = 6
+#: Least entries of a set by which it finds its block.
+LABEL = 16
 _NONE = U((1 << 48) - 1)
 
 
@@ -172,8 +179,43 @@ def rarity(count: np.ndarray) -> np.ndarray:
     return np.where(count <= 128, count, np.minimum(steps, 255)).astype(np.uint8)
 
 
+def combinations(key: np.ndarray, most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places a < b of equal keys in a sorted array, about ``most`` at a time."""
+    end = np.searchsorted(key, key, "right") if len(key) else np.zeros(0, np.int64)
+    left = end - np.arange(len(key)) - 1  # partners after each one
+    total = np.cumsum(left)
+    at = 0
+    while at < len(key):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        n = left[at:to]
+        a = np.repeat(np.arange(at, to), n)
+        yield a, a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = to
+
+
+def fewer(parts: Iterator[np.ndarray], most: int = 2_000_000) -> Iterator[np.ndarray]:
+    """The values of all parts in fewer, without most of the repeats; about twice ``most`` values are held."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part)
+        if n > most:
+            held = [np.unique(np.concatenate(held))]
+            n = len(held[0])
+            if n > most // 2:
+                yield held[0]
+                held, n = [], 0
+    if n:
+        yield np.unique(np.concatenate(held))
+
+
 def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold: float, most: int = 500_000, small: int = 24) -> np.ndarray:
-    """Pairs (a << 32 | b, a < b) of members that share an entry and whose sizes allow the threshold.
+    """Pairs (a << 32 | b, a < b) of members that share an entry and whose sizes allow the threshold."""
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *pair_parts(entry, member, size, threshold, most, small)]))
+
+
+def pair_parts(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold: float, most: int = 500_000, small: int = 24) -> Iterator[np.ndarray]:
+    """The pairs of ``pairs_of`` in parts, some of them in several.
 
     Entries with up to ``small`` members are paired one by one. Larger ones mostly have the same members, near copies, which would meet
     hundreds of times: of every group of members that such entries link, the matrix of members by entries is multiplied with its
@@ -186,7 +228,6 @@ def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold:
     head = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]])) if len(e) else np.zeros(0, np.int64)
     length = np.diff(np.append(head, len(e)))
     n_of = np.repeat(length, length)
-    found = [np.zeros(0, np.int64)]
     large = np.flatnonzero(n_of > small)
     if len(large):
         number = np.repeat(np.arange(len(length)), length)[large]
@@ -203,40 +244,85 @@ def pairs_of(entry: np.ndarray, member: np.ndarray, size: np.ndarray, threshold:
             if len(docs) ** 2 * len(entries) > 500.0 * float((length[entries] ** 2).sum()):
                 single[large[at]] = True  # few of the members share each entry
             else:
-                found.append(_multiplied(row, col, who[docs], len(entries), size, threshold))
+                yield from _multiplied(row, col, who[docs], len(entries), size, threshold)
         single |= n_of <= small
         e, m = e[single], m[single]
     keep = np.zeros(len(e), bool)
     keep[1:] = e[1:] == e[:-1]
     keep[:-1] |= keep[1:]
     e, m = e[keep], m[keep]
-    end = np.searchsorted(e, e, "right") if len(e) else np.zeros(0, np.int64)
-    left = end - np.arange(len(e)) - 1  # partners after each one
-    total = np.cumsum(left)
-    held, limit, at = sum(map(len, found)), 4 * most, 0
-    while at < len(e):
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
-        n = left[at:to]
-        a = np.repeat(np.arange(at, to), n)
-        b = a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    for a, b in combinations(e, most):
         a, b = m[a], m[b]
-        ok = np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9
-        found.append(np.unique(a[ok] << 32 | b[ok]))
-        held += len(found[-1])
-        if held > limit:
-            found = [np.unique(np.concatenate(found))]
-            held = len(found[0])
-            limit = max(4 * most, 2 * held)
-        at = to
-    return np.unique(np.concatenate(found))
+        ok = _near(size[a], size[b], threshold)
+        yield np.unique(a[ok] << 32 | b[ok])
+
+
+def _near(one: np.ndarray, two: np.ndarray, threshold: float) -> np.ndarray:
+    return np.minimum(one, two) >= threshold * np.maximum(one, two) - 1e-9
 
 
-def _multiplied(row: np.ndarray, col: np.ndarray, docs: np.ndarray, width: int, size: np.ndarray, threshold: float, block: int = 1024, columns: int = 4096) -> np.ndarray:
+def pairs_by_block(entry: np.ndarray, member: np.ndarray, block: np.ndarray, size: np.ndarray, threshold: float, dense: int, most: int = 500_000) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+    """Pairs of blocks (one row each, the lesser first) of which an entry has ``dense`` pairs of members or more, and the pairs of
+    ``pairs_of``, in parts, of members in other blocks. ``block``: of each member."""
+    names, of = np.unique(block, return_inverse=True)
+    order = np.lexsort((member, of[member], entry))
+    e, m = entry[order], member[order].astype(np.int64)
+    new = np.ones(len(e), bool)
+    new[1:] = (e[1:] != e[:-1]) | (m[1:] != m[:-1])
+    e, m = e[new], m[new]
+    # units: the members of an entry in a block
+    head = np.ones(len(e), bool)
+    head[1:] = (e[1:] != e[:-1]) | (of[m[1:]] != of[m[:-1]])
+    begin = np.flatnonzero(head)
+    n, key, where = np.diff(np.append(begin, len(e))), e[begin], of[m[begin]]
+    first = np.searchsorted(key, key)
+    largest = np.maximum.reduceat(n, np.unique(first))[np.unique(first, return_inverse=True)[1]] if len(n) else n
+    big = np.flatnonzero(n * largest >= dense)
+    codes = [(where[big] * len(names) + where[big])[(n[big] > 1) & (n[big] ** 2 >= dense)]]
+    for a, b in combinations(key[big], most):
+        some = n[big[a]] * n[big[b]] >= dense
+        codes.append(np.unique(where[big[a[some]]] * len(names) + where[big[b[some]]]))
+    codes = np.unique(np.concatenate(codes))
+    hot = np.zeros(len(names), bool)
+    hot[codes // max(1, len(names))] = hot[codes % max(1, len(names))] = True
+    mixed = np.zeros(len(n), bool)
+    if len(codes):
+        mixed = (np.bincount(first, hot[where], len(n)) > 0)[first]
+
+    def rest() -> Iterator[np.ndarray]:
+        plain = np.repeat(~mixed, n)
+        yield from pair_parts(e[plain], m[plain], size, threshold, most)
+        own = np.flatnonzero(mixed)
+        yield from members(own, own)
+        for a, b in combinations(key[own], most):
+            yield from members(own[a], own[b])
+
+    def members(u: np.ndarray, v: np.ndarray) -> Iterator[np.ndarray]:
+        """Pairs of members of two units each, where their blocks are not among the dense ones."""
+        keep = ~np.isin(where[u] * len(names) + where[v], codes) & ((u != v) | (n[u] > 1))
+        u, v = u[keep], v[keep]
+        total = np.cumsum(n[u] * n[v])
+        at = 0
+        while at < len(u):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+            x, y = u[at:to], v[at:to]
+            each = n[x] * n[y]
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            width = np.repeat(n[y], each)
+            a, b = m[np.repeat(begin[x], each) + place // width], m[np.repeat(begin[y], each) + place % width]
+            ok = (a != b) & _near(size[a], size[b], threshold)
+            yield np.unique(np.minimum(a, b)[ok] << 32 | np.maximum(a, b)[ok])
+            at = to
+
+    return np.stack([names[codes // len(names)], names[codes % len(names)]], 1) if len(codes) else np.zeros((0, 2), np.int64), rest()
+
+
+def _multiplied(row: np.ndarray, col: np.ndarray, docs: np.ndarray, width: int, size: np.ndarray, threshold: float, block: int = 1024, columns: int = 4096) -> Iterator[np.ndarray]:
     """Pairs of the group of members ``docs``, which have an entry where (row, col) says; memory is a few blocks."""
+    columns = min(columns, width)
     order = np.argsort(col, kind="stable")
     row, col = row[order], col[order]
     parts = [(row[i:j], col[i:j] - c) for c in range(0, width, columns) for i, j in [np.searchsorted(col, [c, c + columns])]]
-    out = [np.zeros(0, np.int64)]
     for s in range(0, len(docs), block):
         for t in range(s, len(docs), block):
             share = 0
@@ -252,9 +338,37 @@ def _multiplied(row: np.ndarray, col: np.ndarray, docs: np.ndarray, width: int,
                 share = share + one @ two.T
             i, j = np.nonzero(share)
             a, b = docs[s + i], docs[t + j]
-            ok = (a < b) & (np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9)
-            out.append(a[ok] << 32 | b[ok])
-    return np.concatenate(out)
+            ok = (a < b) & _near(size[a], size[b], threshold)
+            yield a[ok] << 32 | b[ok]
+
+
+def shared_tokens(token: np.ndarray, row: np.ndarray, n: int, n_one: int, same: bool, columns: int = 2048) -> np.ndarray:
+    """How many tokens the first ``n_one`` of n sets share with all, if ``same``, or with the others. ``row`` is the set of each token, ascending.
+    Tokens of many sets are counted by the product of matrices, others pair by pair; where two of the same side meet, that
+    counts only if ``same``, and then for the first of them."""
+    lo = 0 if same else n_one
+    out = np.zeros((n_one, n - lo), np.float32)
+    count = np.bincount(token)
+    many = count > math.isqrt(max(1, n_one * (n - lo)) // 64) + 1
+    column = np.cumsum(many) - 1
+    some = np.flatnonzero(many[token])
+    some = some[np.argsort(column[token[some]], kind="stable")]
+    r, c = row[some], column[token[some]]
+    for s in range(0, int(many.sum()), columns):
+        i, j = np.searchsorted(c, [s, s + columns])
+        has = np.zeros((n, min(columns, int(many.sum()) - s)), np.float32)
+        has[r[i:j], c[i:j] - s] = 1
+        out += has[:n_one] @ has[lo:].T
+    some = np.flatnonzero(~many[token] & (count[token] > 1))
+    some = some[np.argsort(token[some], kind="stable")]
+    r = row[some]
+    for a, b in combinations(token[some]):
+        a, b = r[a], r[b]
+        if not same:
+            across = (a < n_one) & (b >= n_one)
+            a, b = a[across], b[across]
+        np.add.at(out.reshape(-1), a * (n - lo) + b - lo, np.float32(1))
+    return out
 
 
 def least_common(one: np.ndarray, two: np.ndarray, block: int = 1 << 17) -> np.ndarray:
@@ -381,49 +495,82 @@ def token_sets(docs: DataFrame, n: int, threshold: float, bucket_tokens: int = B
     return counted.groupBy("chunk").applyInArrow(gather, "chunk long, nth int, doc_id long, print long, size long, tokens binary, n_rare long")
 
 
-def candidates(sets_: DataFrame, threshold: float, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """(a, b): pairs of set fingerprints, a < b, that share an index entry, each pair once."""
+def indexed(sets_: DataFrame, threshold: float) -> DataFrame:
+    """(print, size, entries): of every set that may have partners its index entries, 6 bytes each, ascending."""
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
+        for batch in batches:
+            for s in range(0, batch.num_rows, 256):
+                part = batch.slice(s, 256)
+                data = part.column("tokens").to_pylist()
+                token = mix(long(b"".join(data), 6))
+                n = np.array([len(x) // 6 for x in data])
+                row = np.repeat(np.arange(len(data)), n)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                size, rare = part.column("size").to_numpy(), part.column("n_rare").to_numpy()
+                entry, owner = index_entries(token, row, place >= rare[row], size, threshold)
+                entry = mix(entry) >> U(16)
+                order = np.lexsort((entry, owner))
+                entry, owner = entry[order], owner[order]
+                new = np.concatenate([[True], (entry[1:] != entry[:-1]) | (owner[1:] != owner[:-1])]) if len(entry) else np.zeros(0, bool)
+                edges = (6 * row_starts(owner[new], len(data))).tolist()
+                flat = short(entry[new], 6)
+                yield pa.RecordBatch.from_pydict({"print": part.column("print"), "size": part.column("size"), "entries": pa.array([flat[a:b] for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
+
     own = sets_.where("tokens IS NOT NULL").select("print", "size", "tokens", "n_rare")
-    total = own.agg(F.sum(F.octet_length("tokens") / 6)).first()[0] or 0
+    entries = own.mapInArrow(index, "print long, size long, entries binary").where(F.octet_length("entries") > 0)
+    return entries.groupBy("print").agg(F.max("size").alias("size"), F.max("entries").alias("entries"))
+
+
+def blocks_of(index: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(print, block): of sets that share one of their least entries mostly the same block. Sets of a label that are many, or have many
+    tokens, have blocks of their own; others share blocks that are half full on average."""
+    own = index.select("print", "size", F.expr(f"explode(transform(sequence(0, least({LABEL}, cast(octet_length(entries) / 6 as int)) - 1), i -> substring(entries, 6 * i + 1, 6))) AS entry"))
+    head = own.groupBy("entry").agg(F.min("print").alias("head"))
+    label = stored(own.join(head, "entry").groupBy("print").agg(F.max("size").alias("size"), F.min("head").alias("label")), "jaccard-labels")
+    weight = F.greatest(F.count("*") / F.lit(block_docs), F.sum("size") / F.lit(block_docs * BLOCK_TOKENS))
+    small = max(1, math.ceil(2 * (label.agg(weight).first()[0] or 0)))
+    parts = label.groupBy("label").agg(weight.alias("weight"))
+    block = F.when(F.col("weight") > 0.25, F.xxhash64("label", F.pmod("print", F.ceil("weight")))).otherwise(F.pmod(F.xxhash64("label"), F.lit(small)))
+    return stored(label.join(parts, "label").select("print", block.alias("block")), "jaccard-blocks")
+
+
+def candidates(index: DataFrame, blocks: DataFrame, threshold: float, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(block_a, block_b, a, b): pairs of set fingerprints, a < b, that share an index entry, each pair once, and the lesser and the
+    greater of their blocks; a and b are null where all sets of two blocks are to be compared, beside some of their pairs."""
+    total = index.agg(F.sum(F.octet_length("entries") / 6)).first()[0] or 0
     buckets, chunk_tokens = exchange_sizes(int(total), bucket_tokens, chunk_tokens)
+    dense = max(1, block_docs**2 // 64)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         held, rows, held_entries = [], 0, 0
 
         def flush():
-            entry, number, prints, size = (np.concatenate(x) for x in list(zip(*held))[:4])
-            sign = np.concatenate([x[4] for x in held])
+            entry, number, prints, size, block, sign = (np.concatenate(x) for x in zip(*held))
             bucket = (entry % U(buckets)).astype(np.int64)
             order = np.lexsort((number, bucket))
             entry, number, bucket = entry[order], number[order], bucket[order]
             starts = np.flatnonzero(np.diff(bucket, prepend=-1))
             edges = np.append(starts, len(order)).tolist()
-            out = {k: [] for k in ("bucket", "entry", "length", "print", "size", "sign")}
+            out = {k: [] for k in ("bucket", "entry", "length", "print", "size", "block", "sign")}
             for i, b in enumerate(bucket[starts].tolist()):
                 member, length = runs(number[edges[i] : edges[i + 1]])
-                for k, v in zip(out, (b, short(entry[edges[i] : edges[i + 1]], 6), length.astype(np.uint16).tobytes(), prints[member].tobytes(), size[member].astype(np.uint32).tobytes(), short(sign[member].reshape(-1), 6))):
+                for k, v in zip(out, (b, short(entry[edges[i] : edges[i + 1]], 6), length.astype(np.uint16).tobytes(), prints[member].tobytes(), size[member].astype(np.uint32).tobytes(), block[member].tobytes(), short(sign[member].reshape(-1), 6))):
                     out[k].append(v)
             return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()})
 
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
-                data = part.column("tokens").to_pylist()
-                token = mix(long(b"".join(data), 6))
-                n = np.array([len(x) // 6 for x in data])
-                row = np.repeat(np.arange(len(data)), n)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                size, rare = part.column("size").to_numpy(), part.column("n_rare").to_numpy()
-                entry, owner = index_entries(token, row, place >= rare[row], size, threshold)
-                entry = mix(entry) >> U(16)
-                order = np.lexsort((entry, owner))
-                entry, owner = entry[order], owner[order]
-                new = np.concatenate([[True], (entry[1:] != entry[:-1]) | (owner[1:] != owner[:-1])]) if len(entry) else np.zeros(0, bool)
-                entry, owner = entry[new], owner[new]
+                data = part.column("entries").to_pylist()
+                entry = long(b"".join(data), 6)
+                owner = np.repeat(np.arange(len(data)), [len(x) // 6 for x in data])
                 nth = np.arange(len(owner)) - row_starts(owner, len(data))[owner]
                 sign = np.full((len(data), SIGNATURE), _NONE, U)
                 sign[owner[nth < SIGNATURE], nth[nth < SIGNATURE]] = entry[nth < SIGNATURE]
-                held.append((entry, owner + rows, part.column("print").to_numpy(), size, sign))
+                held.append((entry, owner + rows, *(part.column(k).to_numpy() for k in ("print", "size", "block")), sign))
                 rows += part.num_rows
                 held_entries += len(entry)
                 if held_entries >= chunk_tokens:
@@ -432,21 +579,32 @@ def candidates(sets_: DataFrame, threshold: float, bucket_tokens: int = BUCKET_T
         if held:
             yield flush()
 
-    def pair(table: pa.Table) -> pa.Table:
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
+        table = pa.Table.from_batches(batches)
         bucket = U(table.column("bucket")[0].as_py())
-        entry, length, prints, size, sign = (b"".join(table.column(k).to_pylist()) for k in ("entry", "length", "print", "size", "sign"))
+        entry, length, prints, size, block, sign = (b"".join(table.column(k).to_pylist()) for k in ("entry", "length", "print", "size", "block", "sign"))
+        del table
         known, first, number = np.unique(np.frombuffer(prints, np.int64), return_index=True, return_inverse=True)
         size = np.frombuffer(size, np.uint32).astype(np.int64)[first]
+        block = np.frombuffer(block, np.int64)[first]
         sign = long(sign, 6).reshape(-1, SIGNATURE)[first]
-        found = pairs_of(long(entry, 6), np.repeat(number, np.frombuffer(length, np.uint16)), size, threshold)
-        one, two = found >> 32, found & 0xFFFFFFFF
-        common = least_common(sign[one], sign[two])
-        here = (common == _NONE) | (common % U(buckets) == bucket)
-        return pa.table({"a": known[one[here]], "b": known[two[here]]})
+        whole, parts = pairs_by_block(long(entry, 6), np.repeat(number, np.frombuffer(length, np.uint16)), block, size, threshold, dense)
+        none = pa.nulls(len(whole), pa.int64())
+        yield pa.RecordBatch.from_pydict({"block_a": pa.array(whole[:, 0]), "block_b": pa.array(whole[:, 1]), "a": none, "b": none})
+
+        def here() -> Iterator[np.ndarray]:
+            for found in parts:
+                common = least_common(sign[found >> 32], sign[found & 0xFFFFFFFF])
+                yield found[(common == _NONE) | (common % U(buckets) == bucket)]
+
+        for found in fewer(here()):
+            for s in range(0, len(found), 1 << 16):
+                one, two = found[s : s + (1 << 16)] >> 32, found[s : s + (1 << 16)] & 0xFFFFFFFF
+                yield pa.RecordBatch.from_pydict({"block_a": np.minimum(block[one], block[two]), "block_b": np.maximum(block[one], block[two]), "a": known[one], "b": known[two]})
 
-    packed = own.mapInArrow(pack, "bucket int, entry binary, length binary, print binary, size binary, sign binary")
-    return by_bucket(packed, buckets).applyInArrow(pair, "a long, b long").distinct()
+    packed = index.join(blocks, "print").mapInArrow(pack, "bucket int, entry binary, length binary, print binary, size binary, block binary, sign binary")
+    return by_bucket(packed, buckets).applyInArrow(pair, "block_a long, block_b long, a long, b long").distinct()
 
 
 def linked_sets(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS, block_docs: int = BLOCK_DOCS) -> tuple[DataFrame, DataFrame]:
@@ -457,24 +615,49 @@ def linked_sets(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOL
     found = stored(token_sets(_clean(docs), ngram, threshold, bucket_tokens, chunk_tokens), "jaccard-sets")
     members = found.select("doc_id", "print").distinct()
     known = members.groupBy("print").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
-    pairs = stored(candidates(found, threshold, bucket_tokens, chunk_tokens), "jaccard-candidates")
-    # copies of one text mostly share their least partner: by it they come into one block, and hardly any pair is across
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("print"), F.col("b").alias("other")), F.struct(F.col("b").alias("print"), F.col("a").alias("other")))).alias("x")).select("x.*")
-    label = ends.groupBy("print").agg(F.least(F.col("print"), F.min("other")).alias("label"))
-    label = stored(label, "jaccard-labels")
-    size = label.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block_docs)).alias("parts"))
-    label = stored(label.join(size, "label").withColumn("part", F.pmod(F.col("print"), F.col("parts"))), "jaccard-parts")
-    blocks = max(1, -(-label.count() // block_docs))
-    label = label.select("print", F.pmod(F.xxhash64("label", "part"), F.lit(blocks)).alias("block"))
-    placed = pairs.join(label.toDF("a", "block_a"), "a").join(label.toDF("b", "block_b"), "b")
-    placed = placed.select("a", "b", (F.least("block_a", "block_b") * blocks + F.greatest("block_a", "block_b")).alias("block"))
+    index = stored(indexed(found, threshold), "jaccard-index")
+    label = blocks_of(index, block_docs)
+    pairs = stored(candidates(index, label, threshold, bucket_tokens, chunk_tokens, block_docs), "jaccard-candidates")
+    both = ["block_a", "block_b"]
+    whole = pairs.groupBy(*both).agg(F.count("a").alias("n"), F.max(F.col("a").isNull()).alias("all")).where((F.col("n") > block_docs**2 // 16) | F.col("all"))
+    whole = stored(whole.select(*both), "jaccard-whole-blocks")
+    listed = pairs.where("a IS NOT NULL").join(whole, both, "left_anti")
+    wanted = listed.select(*both, F.explode(F.array("a", "b")).alias("print")).distinct()
+    wanted = wanted.unionByName(whole.select(*both, F.explode(F.array_distinct(F.array(*both))).alias("block")).join(label, "block").select(*both, "print"))
     # of the rows that have a set, the tokens of one are read
-    row = found.where("tokens IS NOT NULL").groupBy("print").agg(F.min(F.struct("doc_id", "chunk", "nth")).alias("row")).join(known, "print").select("print", "row.chunk", "row.nth", "docs")
-    wanted = placed.select("block", F.explode(F.array("a", "b")).alias("print")).distinct().groupBy("print").agg(F.collect_set("block").alias("blocks")).join(row, "print").drop("print")
-    arrays = found.where("tokens IS NOT NULL").select("chunk", "nth", "print", "size", "tokens").join(wanted, ["chunk", "nth"]).select("print", "size", "tokens", "docs", F.explode("blocks").alias("block"))
+    row = found.where("tokens IS NOT NULL").groupBy("print").agg(F.min(F.struct("doc_id", "chunk", "nth")).alias("row")).join(known, "print").join(label, "print").select("print", "row.chunk", "row.nth", "docs", "block")
+    wanted = wanted.groupBy("print").agg(F.collect_set(F.struct(*both)).alias("at")).join(row, "print").drop("print")
+    arrays = found.where("tokens IS NOT NULL").select("chunk", "nth", "print", "size", "tokens").join(wanted, ["chunk", "nth"]).select("print", "size", "tokens", "docs", "block", F.explode("at").alias("at")).select("*", "at.*").drop("at")
+    placed = listed.unionByName(whole.select(*both, F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")))
+
+    def compared(table: pa.Table, block_a: int, block_b: int) -> pa.Table:
+        """All sets of two blocks, or of one."""
+        block = table.column("block").to_numpy()
+        n_one = int((block == block_a).sum())
+        table = table.take(pa.array(np.argsort(block != block_a, kind="stable")))
+        prints, size, docs_ = (table.column(k).to_numpy() for k in ("print", "size", "docs"))
+        data = table.column("tokens").to_pylist()
+        token = np.unique(long(b"".join(data), 6), return_inverse=True)[1].astype(np.int32)
+        common = shared_tokens(token, np.repeat(np.arange(len(data)), [len(x) // 6 for x in data]), len(data), n_one, block_a == block_b)
+        links, root = np.zeros(len(prints), np.int64), np.arange(len(prints))
+        for k in range(n_one):
+            lo = k + 1 if block_a == block_b else n_one
+            shared = common[k, lo - len(prints) :] if lo < len(prints) else common[k, :0]
+            shared = shared.astype(np.int64)
+            partners = lo + np.flatnonzero(shared / (size[k] + size[lo:] - shared) >= threshold)
+            if len(partners):
+                links[k] += docs_[partners].sum()
+                links[partners] += docs_[k]
+                roots = np.unique(root[np.append(partners, k)])
+                if len(roots) > 1:
+                    root[np.isin(root, roots)] = roots[0]
+        some = np.flatnonzero(links)
+        return pa.table({"print": prints[some], "root": prints[root[some]], "links": links[some]})
 
     def verify(left: pa.Table, right: pa.Table) -> pa.Table:
         lean()
+        if left.column("a").null_count:
+            return compared(right, *(left.column(k)[0].as_py() for k in both))
         a, b = left.column("a").to_numpy(), left.column("b").to_numpy()
         none = pa.table({"print": pa.array([], pa.int64()), "root": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
         if not len(a):
@@ -513,7 +696,7 @@ def linked_sets(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOL
         some = np.flatnonzero(links > 0)
         return pa.table({"print": prints[some], "root": root[some], "links": links[some].astype(np.int64)})
 
-    unlike = stored(placed.groupBy("block").cogroup(arrays.groupBy("block")).applyInArrow(verify, "print long, root long, links long"), "jaccard-links")
+    unlike = stored(placed.groupBy(*both).cogroup(arrays.groupBy(*both)).applyInArrow(verify, "print long, root long, links long"), "jaccard-links")
     links = unlike.groupBy("print").agg(F.sum("links").alias("links"))
     roots = components(unlike.select("print", "root")).toDF("print", "root")
     known = known.join(links, "print", "left").join(roots, "print", "left")

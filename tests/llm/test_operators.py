@@ -122,6 +122,54 @@ def test_pairs_of_a_bucket_equal_brute_force():
         assert set(jaccard_join.pairs_of(entry, member, size, 0.5, small=int(rng.integers(1, 30))).tolist()) == want
 
 
+def test_pairs_by_block_are_listed_or_in_blocks_compared_whole():
+    rng = np.random.default_rng(5)
+    for n, members, dense in ((0, 5, 4), (400, 30, 9), (900, 60, 30), (900, 60, 1), (500, 40, 10**6)):
+        entry, member = rng.integers(0, 25, n).astype(np.uint64), rng.integers(0, members, n)
+        block, size = rng.integers(0, 5, members) * 10, rng.integers(10, 40, members)
+        whole, parts = jaccard_join.pairs_by_block(entry, member, block, size, 0.5, dense, most=50)
+        whole = set(map(tuple, whole.tolist()))
+        want, blocks = set(), set()
+        for e in set(entry.tolist()):
+            own = sorted(set(member[entry == e].tolist()))
+            held = Counter(block[own].tolist())
+            blocks |= {(a, b) for a in held for b in held if a <= b and held[a] * held[b] >= dense and (a != b or held[a] > 1)}
+            want |= {a << 32 | b for a, b in combinations(own, 2) if min(size[a], size[b]) >= 0.5 * max(size[a], size[b])}
+        assert whole == blocks
+        inside = {x for x in want if tuple(sorted((int(block[x >> 32]), int(block[x & 0xFFFFFFFF])))) in whole}
+        assert {int(x) for part in parts for x in part} - inside == want - inside
+
+
+def test_shared_tokens_of_two_blocks_equal_brute_force():
+    rng = np.random.default_rng(7)
+    for n, n_one, same in ((30, 12, False), (30, 30, True), (200, 90, False), (1, 1, True)):
+        sets = [np.flatnonzero(rng.random(60) < np.r_[np.full(20, 0.8), np.full(40, 0.04)]) for _ in range(n)]
+        sets = [x if len(x) else np.array([0]) for x in sets]
+        got = jaccard_join.shared_tokens(np.concatenate(sets).astype(np.int32), np.repeat(np.arange(n), list(map(len, sets))), n, n_one, same, columns=7)
+        for i in range(n_one):
+            for j in range(i + 1 if same else n_one, n):
+                assert got[i, j - (0 if same else n_one)] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_a_large_group_of_near_copies_is_no_list_of_pairs(spark, monkeypatch):
+    """20,000 sets that share entries: 200 million pairs, 1.6 GB as a list; and a group over many blocks of few sets."""
+    n, entries = 20_000, 30
+    entry, member = np.repeat(np.arange(entries, dtype=np.uint64), n), np.tile(np.arange(n), entries)
+    whole, parts = jaccard_join.pairs_by_block(entry, member, np.arange(n) % 10, np.full(n, 100), 0.5, 2048**2 // 64)
+    assert len(whole) == 55 and sum(map(len, parts)) == 0
+
+    tables = {}
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name, real=jaccard_join.stored: tables.setdefault(name, real(df, name)))
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(f"x{rng.randrange(99)}" if rng.random() < 0.04 else w for w in base), "en", "s", 1) for i in range(300)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.linked(spark.createDataFrame(rows, SCHEMA), block_docs=64).collect()}
+    sets = [grams(r[1]) for r in rows]
+    links = Counter(x for a, b in combinations(range(300), 2) if len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b]) for x in (a, b))
+    assert {k: v for k, (_, v) in got.items()} == {i: links[i] for i in range(300)}
+    assert sum(links.values()) / 2 > 5_000 > 5 * tables["jaccard-candidates"].count()
+
+
 def test_many_partners_and_very_long_texts(spark):
     rng = random.Random(4)
     long = [f"w{rng.randrange(5000)}" for _ in range(40_000)]
