@@ -215,9 +215,10 @@ class IndexFamily:
                 spark.sql(f"CREATE TABLE {name} ({_LEVEL}) USING parquet CLUSTERED BY (shard) SORTED BY (shard) INTO {family.files} BUCKETS LOCATION '{family._path(name)}'")
         return family
 
-    def add(self, sent: DataFrame) -> DataFrame:
+    def add(self, sent: DataFrame, last: bool = False) -> DataFrame:
         """Takes in a batch of stretches as ``send`` cuts them; (doc_id, text_hash, first, last): runs of windows, of this
-        batch and of earlier ones, that it matches or has twice."""
+        batch and of earlier ones, that it matches or has twice. After the ``last`` batch the family is dropped: no level
+        is merged any more, as none is read again."""
         width, spark = self.width, self.spark
 
         def sort(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -250,6 +251,10 @@ class IndexFamily:
         for level in self.levels.values():
             found = found.unionByName(batch.cogroup(spark.table(level).groupBy("shard")).applyInArrow(scan, _MATCH))
         found = stored(found, "suffix-matches")
+        if last:
+            self._drop(name)
+            self.drop()
+            return found
         rank = 0
         while rank in self.levels:
             old = self.levels.pop(rank)
@@ -321,9 +326,8 @@ def matches(docs: DataFrame, width: int = WIDTH, seed: int = SEED, batches: int
     sent = docs.sparkSession.read.schema(_SENT + ", batch int").parquet(path)
     family, found = IndexFamily(docs.sparkSession, shards, width, seed), None
     for k in range(batches):
-        own = family.add(sent.where(F.col("batch") == k).drop("batch"))
+        own = family.add(sent.where(F.col("batch") == k).drop("batch"), last=k == batches - 1)
         found = own if found is None else found.unionByName(own)
-    family.drop()
     return found
 
 

@@ -251,6 +251,15 @@ def test_batches_one_by_one_equal_all_at_once(spark):
     assert not spark.catalog.listTables()
 
 
+def test_no_level_is_merged_after_the_last_batch(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(suffix_index.IndexFamily, "_write", lambda self, rows, real=suffix_index.IndexFamily._write: written.append(real(self, rows)) or written[-1])
+    rows = corpus()
+    assert rows_of(suffix_index.intervals(spark.createDataFrame(rows, SCHEMA), batches=4, shard_bytes=9000)) == duck(substring_dedup.sql(), rows)
+    assert len(written) == 4 + 1  # a level of each batch, and the first two merged
+    assert not any(spark.catalog.tableExists(x) for x in written)
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     assert quality_rules.metrics(docs).count() == len(ODD)
