@@ -251,6 +251,18 @@ def test_batches_one_by_one_equal_all_at_once(spark):
     assert not spark.catalog.listTables()
 
 
+def test_pipeline_keeps_one_of_a_large_group_without_a_list_of_pairs(spark, monkeypatch):
+    tables = {}
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name, real=jaccard_join.stored: tables.setdefault(name, real(df, name)))
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(f"x{i}y{rng.randrange(99)}" if rng.random() < 0.02 else w for w in base), "en", "s", 1) for i in range(2_200)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").count()
+    sets = tables["jaccard-index"].count()
+    assert kept < 30 and sets > 500
+    assert tables["jaccard-candidates"].count() < sets**2 // 8
+
+
 def test_no_level_is_merged_after_the_last_batch(spark, monkeypatch):
     written = []
     monkeypatch.setattr(suffix_index.IndexFamily, "_write", lambda self, rows, real=suffix_index.IndexFamily._write: written.append(real(self, rows)) or written[-1])
