@@ -24,7 +24,8 @@ in which they meet. Every set has a block beforehand, that of the least set with
 that near copies are in few blocks; blocks are bounded in sets and in tokens. Candidates are verified exactly, by pairs of blocks, and a
 set is sent only to those in which it has a partner. Where an entry alone brings a 64th of all pairs of two blocks, or a sixteenth of
 them are candidates, these are not listed: all sets of the two blocks are compared. So a group of near copies that grows with the table
-is never a list of pairs, in no bucket and no block, and what a worker holds does not grow with it.
+is never a list of pairs, in no bucket and no block, and what a worker holds does not grow with it. Buckets of the index are bounded in
+bytes, not in entries alone: the more buckets, the fewer entries of a set are in one, and what comes with the set weighs ten times an entry.
 Blocks return the number of similar documents of each set and one edge for each set of a group, not pairs. Equal sets are one set throughout. Chunks and buckets grow with the square root of the table beyond their least sizes, so
 that the packed values keep their size.
 
@@ -53,7 +54,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_bucket, components, exchange_sizes, stored, text_bytes
-from .kernels import U, WORD, group_roots, lean, long, mix, pieces, row_starts, short, span_hashes, tokens, utf8, windows
+from .kernels import U, WORD, group_roots, lean, long, mix, pieces, row_starts, short, span_hashes, thin, tokens, utf8, windows
 
 NGRAM = 4
 THRESHOLD = 0.5
@@ -72,6 +73,9 @@ _GROUP = 4
 SIGNATURE = 6
 #: Least entries of a set by which it finds its block.
 LABEL = 16
+#: Bytes that a set adds to each bucket of the index in which it has entries, and that a bucket may have for each of BUCKET_TOKENS.
+MEMBER_BYTES = 22 + 6 * SIGNATURE
+BUCKET_BYTES = 16
 _NONE = U((1 << 48) - 1)
 
 
@@ -536,11 +540,27 @@ def blocks_of(index: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     return stored(label.join(parts, "label").select("print", block.alias("block")), "jaccard-blocks")
 
 
+def index_sizes(entries: int, n_sets: int, bucket: int, chunk: int) -> tuple[int, int]:
+    """Number of buckets and entries of a chunk for an index of so many entries of so many sets.
+
+    A set comes to each bucket in which it has entries once, with MEMBER_BYTES. In few buckets it has several in each, in
+    many mostly one, so that the bytes of an entry grow from 6 to 64 with the table. Buckets get as many as keep theirs at
+    BUCKET_BYTES * ``bucket``; sets of unequal numbers of entries bring less than is counted here."""
+    buckets, chunk_entries = exchange_sizes(entries, bucket, chunk)
+    each = entries / max(1, n_sets)
+    while True:
+        met = n_sets * (buckets * -math.expm1(each * math.log1p(-1 / buckets)) if buckets > 1 else 1)
+        more, _ = exchange_sizes(max(entries, math.ceil((6 * entries + MEMBER_BYTES * met) / BUCKET_BYTES)), bucket, chunk)
+        if more <= buckets:
+            return buckets, chunk_entries
+        buckets = more
+
+
 def candidates(index: DataFrame, blocks: DataFrame, threshold: float, bucket_tokens: int = BUCKET_TOKENS, chunk_tokens: int = CHUNK_TOKENS, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(block_a, block_b, a, b): pairs of set fingerprints, a < b, that share an index entry, each pair once, and the lesser and the
     greater of their blocks; a and b are null where all sets of two blocks are to be compared, beside some of their pairs."""
-    total = index.agg(F.sum(F.octet_length("entries") / 6)).first()[0] or 0
-    buckets, chunk_tokens = exchange_sizes(int(total), bucket_tokens, chunk_tokens)
+    total, n_sets = index.agg(F.sum(F.octet_length("entries") / 6), F.count("*")).first()
+    buckets, chunk_tokens = index_sizes(int(total or 0), n_sets, bucket_tokens, chunk_tokens)
     dense = max(1, block_docs**2 // 64)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -574,10 +594,10 @@ def candidates(index: DataFrame, blocks: DataFrame, threshold: float, bucket_tok
                 rows += part.num_rows
                 held_entries += len(entry)
                 if held_entries >= chunk_tokens:
-                    yield flush()
+                    yield from thin(flush())
                     held, rows, held_entries = [], 0, 0
         if held:
-            yield flush()
+            yield from thin(flush())
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()

@@ -59,6 +59,13 @@ def pieces(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         at = to
 
 
+def thin(batch: pa.RecordBatch, most: int = 4 << 20):
+    """Consecutive slices of a batch of packed values with about ``most`` bytes: the executor reads a batch at once, outside its heap."""
+    rows = max(1, batch.num_rows * most // max(1, batch.nbytes))
+    for s in range(0, batch.num_rows, rows):
+        yield batch.slice(s, rows)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

@@ -9,13 +9,14 @@ from itertools import combinations, permutations
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexmill.llm import importance, jaccard_join, license_scan, mixing, packing, quality_rules, substring_dedup, suffix_index
 from lexmill.llm.common import by_bucket, components, hashed_sample
-from lexmill.llm.kernels import utf8
+from lexmill.llm.kernels import thin, utf8
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -263,6 +264,41 @@ def test_pipeline_keeps_one_of_a_large_group_without_a_list_of_pairs(spark, monk
     assert tables["jaccard-candidates"].count() < sets**2 // 8
 
 
+def test_pipeline_bounds_the_bytes_of_an_index_bucket(spark, monkeypatch):
+    """Each set comes to nearly as many buckets as it has entries, with ten times the bytes of an entry."""
+    packed = []
+
+    def watched(df, buckets, real=by_bucket):
+        if "sign" in df.columns:
+            total = sum((F.octet_length(k) for k, kind in df.dtypes if kind == "binary"), F.lit(0))
+            packed.append((df.agg(F.sum(total)).first()[0], buckets))
+        return real(df, buckets)
+
+    monkeypatch.setattr(jaccard_join, "by_bucket", watched)
+    # the stage with small buckets, as a large table has many
+    monkeypatch.setattr(jaccard_join, "linked", lambda docs, ngram, threshold, real=jaccard_join.linked: real(docs, ngram, threshold, 2048, 4096))
+    rng = random.Random(12)
+    rows = []
+    for i in range(0, 1000, 2):
+        words = [f"w{rng.randrange(9000)}" for _ in range(60)]
+        rows += [(i, " ".join(words), "en", "s", 1), (i + 1, " ".join([*words[:20], "changed", *words[21:]]), "en", "s", 1)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert {r.doc_id for r in kept.collect()} == set(range(0, 1000, 2))
+    ((total, buckets),) = packed
+    assert buckets > 8 and total / buckets <= 2048 * 16
+
+
+def test_index_buckets_keep_their_bytes_at_any_size():
+    for n in (0, 1, 10**3, 10**5, 10**7, 10**9):
+        buckets, chunk = jaccard_join.index_sizes(75 * n, n, 1 << 20, 1 << 19)
+        met = n * buckets * (1 - (1 - 1 / buckets) ** 75)  # sets in all buckets
+        assert (6 * 75 * n + jaccard_join.MEMBER_BYTES * met) / buckets <= 16 * max(1 << 20, (32 * 4 * 75 * n) ** 0.5) * 1.01
+        assert chunk / buckets >= 8 or buckets == 1
+    batch = pa.RecordBatch.from_pydict({"a": [bytes(100)] * 50})
+    parts = list(thin(batch, 1000))
+    assert len(parts) > 5 and max(p.num_rows for p in parts) <= 10 and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+
+
 def test_no_level_is_merged_after_the_last_batch(spark, monkeypatch):
     written = []
     monkeypatch.setattr(suffix_index.IndexFamily, "_write", lambda self, rows, real=suffix_index.IndexFamily._write: written.append(real(self, rows)) or written[-1])
