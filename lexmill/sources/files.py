@@ -5,8 +5,10 @@ from __future__ import annotations
 import fnmatch
 import os
 import re
+import shutil
 import time
 import urllib.request
+import uuid
 
 from pyarrow import fs
 
@@ -58,6 +60,27 @@ def open_stream(path: str, tries: int = TRIES, delay: float = DELAY):
             time.sleep(delay)
 
 
+def join_files(parts: list[str], path: str) -> None:
+    """A file of the bytes of the parts, in their order, that is whole or not there; it streams."""
+    where, inside = place(path)
+    tmp = f"{inside}.{uuid.uuid4().hex}.tmp"
+    with where.open_output_stream(tmp, compression=None) as out:
+        for part in parts:
+            with open_stream(part) as own:
+                shutil.copyfileobj(own, out, 1 << 20)
+    where.move(tmp, inside)
+
+
+def remove_files(files: list[str]) -> None:
+    """Files that are gone already are passed over."""
+    for file in files:
+        where, inside = place(file)
+        try:
+            where.delete_file(inside)
+        except OSError:
+            pass
+
+
 def write_bytes(path: str, data: bytes) -> None:
     """A file that is whole or not there."""
     where, inside = place(path)
