@@ -1,4 +1,4 @@
-"""Compressed JSON lines: a source with one partition per file, and a sink with a file per group, each whole or not there."""
+"""Compressed JSON lines: a source with one partition per file, and files of groups, each whole or not there."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schema import DOCUMENT
-from .files import found, open_stream, place
+from .files import found, join_files, open_stream, place, remove_files
 
 SUFFIX = ".jsonl.zstd"
 #: Lines and characters that a batch holds about.
@@ -48,60 +48,6 @@ class _Reader(DataSourceReader):
             yield batch()
 
 
-class _Done(WriterCommitMessage):
-    def __init__(self, files):
-        self.files = files
-
-
-class _Writer(DataSourceWriter):
-    """Tasks write files under other names; commit() gives them their own, abort() and a task that fails remove theirs."""
-
-    def __init__(self, options):
-        self.path = options["path"].rstrip("/")
-
-    def write(self, rows):
-        where, base = place(self.path)
-        where.create_dir(base, recursive=True)
-        current, stream, sink, files = None, None, None, []
-        try:
-            for row in rows:
-                if row[0] != current:  # groups come one after another
-                    if stream:
-                        stream.close()
-                        sink.close()
-                    current = row[0]
-                    files.append((f"{base}/{current}{SUFFIX}.{uuid.uuid4().hex}.tmp", f"{base}/{current}{SUFFIX}"))
-                    sink = where.open_output_stream(files[-1][0], compression=None)
-                    stream = zstandard.ZstdCompressor().stream_writer(sink, closefd=False)
-                stream.write(row[1].encode() + b"\n")
-            if stream:
-                stream.close()
-                sink.close()
-        except BaseException:
-            _remove(where, files)
-            raise
-        return _Done(files)
-
-    def commit(self, messages):
-        where, _ = place(self.path)
-        for m in messages:
-            for tmp, name in m.files if m else ():
-                where.move(tmp, name)
-
-    def abort(self, messages):
-        where, _ = place(self.path)
-        for m in messages:
-            _remove(where, m.files if m else ())
-
-
-def _remove(where, files) -> None:
-    for tmp, _ in files:
-        try:
-            where.delete_file(tmp)
-        except OSError:
-            pass
-
-
 class JsonlSource(DataSource):
     @classmethod
     def name(cls):
@@ -113,9 +59,6 @@ class JsonlSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
-    def writer(self, schema, overwrite):
-        return _Writer(self.options)
-
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT) -> DataFrame:
     """Documents of all files; a bad line fails the job, blank lines are passed over, no files give no rows."""
@@ -131,12 +74,60 @@ def committed_groups(path: str) -> list[int]:
     return sorted(int(p.rpartition("/")[2].removesuffix(SUFFIX)) for p in found(path, "*" + SUFFIX))
 
 
+def _parts(folder: str, run: str):
+    """A function that writes lines, group after group, to a part of each group's file: whole frames, under another name."""
+
+    def write(batches):
+        where, base = place(folder)
+        where.create_dir(base, recursive=True)
+        current, name, sink, stream = None, None, None, None
+
+        def close():
+            stream.close()
+            sink.close()
+            return pa.RecordBatch.from_pylist([{"file": current, "part": f"{folder}/{name}"}])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                for file, line in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    if file != current:
+                        if stream:
+                            yield close()
+                        current, name = file, f"{file}{SUFFIX}.{run}.{uuid.uuid4().hex}.tmp"
+                        sink = where.open_output_stream(f"{base}/{name}", compression=None)
+                        stream = zstandard.ZstdCompressor().stream_writer(sink, closefd=False)
+                    stream.write(line.encode() + b"\n")
+        if stream:
+            yield close()
+
+    return write
+
+
 def write_jsonl(docs: DataFrame, path: str, group: str = "group_idx") -> None:
-    """A file for each group that has none yet, one task for a group. A null group is written as ``null``; no rows write no file."""
-    spark = docs.sparkSession
-    spark.dataSource.register(JsonlSource)
+    """A file for each group that has none yet. A null group is written as ``null``; no rows write no file.
+
+    Tasks write parts of groups, some dozens of MB each as adaptive execution deals rows out (without it, a group is one part); then the
+    parts of each group are joined to its file, which is whole or not there. Parts of a run that fails are removed."""
+    spark, path, run = docs.sparkSession, path.rstrip("/"), uuid.uuid4().hex
     done = committed_groups(path)
     todo = docs.where(~F.coalesce(F.col(group).isin(done), F.lit(False))) if done else docs
     fields = [F.col(c).alias("warc-id" if c == "warc_id" else c) for c in docs.columns]
     line = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    todo.select(F.coalesce(F.col(group).cast("string"), F.lit("null")).alias("file"), line.alias("line")).repartition("file").sortWithinPartitions("file").write.format("jsonl_zstd").mode("append").save(path)
+    lines = todo.select(F.coalesce(F.col(group).cast("string"), F.lit("null")).alias("file"), line.alias("line")).hint("rebalance", "file").sortWithinPartitions("file")
+    try:
+        parts: dict[str, list[str]] = {}
+        for r in lines.mapInArrow(_parts(path, run), "file string, part string").collect():
+            parts.setdefault(r["file"], []).append(r["part"])
+        files = sorted(parts)
+
+        def join(batches):
+            for batch in batches:
+                for k in batch.column(0).to_pylist():
+                    join_files(parts[files[k]], f"{path}/{files[k]}{SUFFIX}")
+                yield batch
+
+        if files:
+            spark.range(0, len(files), 1, len(files)).mapInArrow(join, "id long").count()
+    finally:
+        remove_files(found(path, f"*.{run}.*"))
+
