@@ -3,29 +3,50 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .batches import mapped
 from .text import col, ratio, round2_single, single, total_bytes, words
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _NUMBER_OR_PUNCTUATION = r"[\p{N}!-/:-@\[-`{-~]"
 
 
 def _repeated_windows(data: bytes, n: int, first: int, last: int) -> int:
-    """Windows of n bytes starting in [first, last) that equal an earlier one in that range."""
+    """Windows of n bytes starting in [first, last) that equal an earlier one in that range.
+
+    A window whose hash occurs once equals no other; the others are compared as columns of eight bytes."""
     if last - first <= 1:
         return 0
-    whole, parts = np.frombuffer(data, np.uint8).astype(np.uint64), []
-    for at in range(0, n, 8):  # windows as columns of eight bytes
-        part = np.zeros(last - first, np.uint64)
-        for j in range(at, min(n, at + 8)):
-            part = part << np.uint64(8) | whole[first + j : last + j]
-        parts.append(part)
-    order = np.lexsort(parts)
-    new = np.zeros(len(order) - 1, bool)
+    whole, width = np.frombuffer(data, np.uint8)[first : last + n - 1].astype(np.uint64), 1
+    while width * 2 <= min(n, 8):  # words of 2, 4, 8 bytes at every place
+        whole = whole[:-width] << np.uint64(8 * width) | whole[width:]
+        width *= 2
+    places = [*range(0, n - width, width), n - width]  # the last may overlap
+    size = last - first
+    hashed = np.zeros(size, np.uint64)
+    for at in places:
+        hashed = (hashed ^ whole[at : at + size]) * _MIX
+        hashed ^= hashed >> np.uint64(29)
+    ordered = np.sort(hashed)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    twice = twice[np.concatenate([[True], twice[1:] != twice[:-1]])]
+    found = np.searchsorted(twice, hashed)
+    own = np.flatnonzero(twice[np.minimum(found, len(twice) - 1)] == hashed)
+    parts = [whole[own + at] for at in places]
+    order = np.argsort(hashed[own])  # equal windows are next to each other, but for those that share a hash
+    new = np.zeros(len(own) - 1, bool)
     for part in parts:
         new |= part[order[1:]] != part[order[:-1]]
+    if (new & (hashed[own][order[1:]] == hashed[own][order[:-1]])).any():
+        order = np.lexsort(parts)
+        new[:] = False
+        for part in parts:
+            new |= part[order[1:]] != part[order[:-1]]
     return int(len(new) - new.sum())
 
 
@@ -34,15 +55,13 @@ def repetitions(text: Column | str, n: int = 20) -> Column:
 
     Exact: windows are compared by content."""
 
-    @F.pandas_udf("double")
-    def run(s: pd.Series) -> pd.Series:
-        def one(t):
-            if t is None:
-                return None
-            data = t.encode()
-            return 0.0 if len(data) <= n else float(np.float32(_repeated_windows(data, n, 1, len(data) - n + 1)) / np.float32(len(data)))
+    def one(t: str) -> float:
+        data = t.encode()
+        return 0.0 if len(data) <= n else float(np.float32(_repeated_windows(data, n, 1, len(data) - n + 1)) / np.float32(len(data)))
 
-        return s.map(one, na_action="ignore") if len(s) else pd.Series([], dtype=float)
+    @F.arrow_udf("double")
+    def run(s: pa.Array) -> pa.Array:
+        return mapped(s, one, pa.float64())
 
     return run(col(text))
 
@@ -50,9 +69,13 @@ def repetitions(text: Column | str, n: int = 20) -> Column:
 def repetition_count(text: Column | str, n: int = 20) -> Column:
     """How many windows of n bytes, the last window of the text left out, occur earlier in it."""
 
-    @F.pandas_udf("long")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: _repeated_windows(d := t.encode(), n, 0, len(d) - n) if len(t.encode()) > n else 0, na_action="ignore").astype("Int64") if len(s) else pd.Series([], dtype="Int64")
+    def one(t: str) -> int:
+        data = t.encode()
+        return _repeated_windows(data, n, 0, len(data) - n) if len(data) > n else 0
+
+    @F.arrow_udf("long")
+    def run(s: pa.Array) -> pa.Array:
+        return mapped(s, one, pa.int64())
 
     return run(col(text))
 
