@@ -6,7 +6,7 @@ hash seeds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,18 +24,27 @@ _PRIME = np.uint64(1099511628211)
 
 def hashes(lines: list[bytes], seed: int) -> np.ndarray:
     """FNV-1a of each line, all lines byte by byte together."""
+    return next(all_hashes(lines, [seed]))
+
+
+def all_hashes(lines: list[bytes], seeds: Sequence[int]) -> Iterator[np.ndarray]:
+    """The same for several seeds; the bytes are laid out once, those at one place of all lines together."""
     size = np.array([len(x) for x in lines], np.int64)
     order = np.argsort(-size, kind="stable")
+    longest_first = size[order]
     data = np.frombuffer(b"".join(lines), np.uint8)
     start = (np.cumsum(size) - size)[order]
-    state = np.full(len(lines), seed, np.uint64)
-    longest_first = size[order]
-    for k in range(int(size.max(initial=0))):
-        n = int(np.searchsorted(-longest_first, -k, "left"))  # lines longer than k bytes
-        state[:n] = (state[:n] ^ data[start[:n] + k].astype(np.uint64)) * _PRIME
-    out = np.empty_like(state)
-    out[order] = state
-    return out
+    longer = np.searchsorted(-longest_first, -np.arange(int(size.max(initial=0))), "left")  # lines longer than k bytes
+    columns = [data[start[:n] + k] for k, n in enumerate(longer)]
+    for seed in seeds:
+        state = np.full(len(lines), seed, np.uint64)
+        for n, column in zip(longer, columns):
+            part = state[:n]
+            part ^= column
+            part *= _PRIME
+        out = np.empty_like(state)
+        out[order] = state
+        yield out
 
 
 class BloomFilter:
@@ -59,36 +68,56 @@ class BloomFilter:
     def to_bytes(self) -> bytes:
         return np.array([self.num_hashes], "<i4").tobytes() + np.array([len(self.bits)], "<u8").tobytes() + self.bits.tobytes()
 
-    def _places(self, lines: list[str], i: int) -> tuple[np.ndarray, np.ndarray]:
-        at = hashes([x.encode() for x in lines], SEEDS[i]) % np.uint64(8 * len(self.bits))
-        return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+    def _places(self, lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for found in all_hashes([x.encode() for x in lines], SEEDS[: self.num_hashes]):
+            at = found % np.uint64(8 * len(self.bits))
+            yield (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
 
     def get(self, lines: list[str]) -> np.ndarray:
-        out = np.ones(len(lines), bool)
-        for i in range(self.num_hashes):
-            at, bit = self._places(lines, i)
-            out &= (self.bits[at] & bit) != 0
+        """Lines that the first hash rules out are not hashed again."""
+        own = [x.encode() for x in lines]
+        left = np.arange(len(own))
+        for some in (SEEDS[:1], SEEDS[1 : self.num_hashes]):
+            own = own if len(own) == len(left) else [own[k] for k in left]
+            inside = np.ones(len(own), bool)
+            for found in all_hashes(own, some) if own else ():
+                at = found % np.uint64(8 * len(self.bits))
+                inside &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            left = np.flatnonzero(inside) if some == SEEDS[:1] else left[inside]
+        out = np.zeros(len(lines), bool)
+        out[left] = True
         return out
 
     def set(self, lines: list[str]) -> None:
-        for i in range(self.num_hashes):
-            at, bit = self._places(lines, i)
+        for at, bit in self._places(lines):
             np.bitwise_or.at(self.bits, at, bit)
 
 
+#: Bytes of a filter that one group of rows makes.
+SEGMENT_BYTES = 1 << 20
+
+
 def build(lines: DataFrame, column: str, size_bits: int, num_hashes: int) -> BloomFilter:
-    """A filter of so many bits that has all lines of a column; the driver gets its bytes, no lines."""
+    """A filter of so many bits that has all lines of a column; tasks make its segments, and the driver gets these, no lines."""
+    bloom = BloomFilter.empty(size_bits, num_hashes)
+    size = len(bloom.bits)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [x or "" for x in batch.column(0).to_pylist()]
-            for i in range(num_hashes):
-                at = hashes([x.encode() for x in own], SEEDS[i]) % np.uint64(size_bits // 8 * 8)
-                yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(3)).astype(np.int64)), pa.array(np.left_shift(1, (at & np.uint64(7)).astype(np.int64)))], names=["byte", "bit"])
-
-    found = lines.select(column).mapInArrow(places, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bloom = BloomFilter.empty(size_bits, num_hashes)
-    bloom.bits[found.column("byte").to_numpy()] = found.column("bits").to_numpy().astype(np.uint8)
+            for found in all_hashes([(x or "").encode() for x in batch.column(0).to_pylist()], SEEDS[:num_hashes]):
+                at = (found % np.uint64(8 * size)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array((at // (8 * SEGMENT_BYTES)).astype(np.int32)), pa.array((at % (8 * SEGMENT_BYTES)).astype(np.int32))], names=["segment", "bit"])
+
+    def segment(key: tuple, rows: pa.Table) -> pa.Table:
+        first = key[0].as_py() * SEGMENT_BYTES
+        bits = np.zeros(8 * min(SEGMENT_BYTES, size - first), bool)
+        bits[rows.column("bit").to_numpy()] = True
+        return pa.table({"first": pa.array([first], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
+
+    found = lines.select(column).mapInArrow(places, "segment int, bit int").groupBy("segment").applyInArrow(segment, "first long, bits binary").toArrow()
+    for first, bits in zip(found.column("first").to_pylist(), found.column("bits")):
+        own = np.frombuffer(bits.as_buffer(), np.uint8)
+        bloom.bits[first : first + len(own)] = own
     return bloom
 
 
